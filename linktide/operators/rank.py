@@ -138,8 +138,8 @@ def ranked_pages(ranks: DataFrame, graph: Graph, scratch: Scratch) -> DataFrame:
 
 def contributions(state: DataFrame, graph: RankGraph) -> DataFrame:
     """``(dst, contrib)``: the sum of ``rank / out_degree`` over the inlinks."""
-    shares = state.where(F.col("out_degree") > 0).select(
-        F.col("id").alias("src"), (F.col("rank") / F.col("out_degree")).alias("share"), "out_degree"
+    shares = state.where("out_degree > 0").selectExpr(
+        "id as src", "rank / out_degree as share", "out_degree"
     )
     received = shares.hint("shuffle_hash").join(graph.edges, "src").select("dst", "share")
     if graph.hub_edges is not None:
@@ -164,11 +164,12 @@ def damped_update(
     state: DataFrame, contrib: DataFrame, sink_mass: float, n_nodes: int, damping: float = DAMPING
 ) -> DataFrame:
     """The next state; every page stays, also without inlinks."""
-    received = F.coalesce("contrib", F.lit(0.0)) + F.lit(sink_mass) / F.lit(n_nodes)
-    rejoined = state.join(contrib.hint("shuffle_hash"), F.col("id") == F.col("dst"), "left")
-    return rejoined.select(
-        "id", (F.lit(1 - damping) + F.lit(damping) * received).alias("rank"), "out_degree"
+    from_sinks = sink_mass / n_nodes
+    rejoined = state.join(
+        contrib.withColumnRenamed("dst", "id").hint("shuffle_hash"), "id", "left"
     )
+    received = F.expr("coalesce(contrib, 0D)") + from_sinks
+    return rejoined.select("id", (1 - damping + damping * received).alias("rank"), "out_degree")
 
 
 def rank_graph(

@@ -1,0 +1,182 @@
+"""Ranking against an exact model, its invariants, and both physical paths."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from model import induced_edges, masses_and_ranks
+from pyspark.sql import functions as F
+
+from linktide import rank_graph
+from linktide.operators import rank as r
+from linktide.operators.graph import outlink_lists
+
+
+def _random_graph(seed, n=40, m=160, red=5):
+    rng = random.Random(seed)
+    nodes = [f"n{i}" for i in range(n)]
+    ids = nodes + [f"red{i}" for i in range(red)]
+    links = [(rng.choice(ids), rng.choice(ids)) for _ in range(m)]
+    return nodes, links + links[:20]
+
+
+def _ranks(ranked, number):
+    return {row.id: row.rank for row in ranked.ranks(number).collect()}
+
+
+def _assert_close(actual, expected):
+    assert actual.keys() == expected.keys()
+    for node, rank in expected.items():
+        assert actual[node] == pytest.approx(float(rank), abs=1e-12)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_matches_the_exact_model(graph_of, scratch, seed):
+    nodes, links = _random_graph(seed)
+    edges = induced_edges(set(nodes), links)
+    masses, ranks = masses_and_ranks(nodes, edges, 4)
+    graph = graph_of(nodes, links)
+    assert (graph.n_nodes, graph.n_edges) == (len(nodes), len(edges))
+    ranked = rank_graph(graph, scratch, iterations=4, snapshots=(1, 4))
+    _assert_close(_ranks(ranked, 1), ranks[0])
+    _assert_close(_ranks(ranked, 4), ranks[3])
+    assert [n for n, _, _ in ranked.metric_rows] == [1, 2, 3, 4]
+    for (_, total, sink), (model_total, model_sink) in zip(
+        ranked.metric_rows, masses, strict=True
+    ):
+        assert total == pytest.approx(float(model_total), abs=1e-10)
+        assert sink == pytest.approx(float(model_sink), abs=1e-10)
+    assert min(_ranks(ranked, 4).values()) >= 0.15
+
+
+@pytest.mark.parametrize("hub_rows", [1, 3, 10])
+def test_hubs_take_another_path_to_the_same_ranks(spark, graph_of, scratch, hub_rows):
+    nodes, links = _random_graph(3)
+    links += [("n0", n) for n in nodes]
+    edges = induced_edges(set(nodes), links)
+    _, ranks = masses_and_ranks(nodes, edges, 3)
+    laid_out = r.prepare_ranking(graph_of(nodes, links), scratch, hub_rows=hub_rows)
+    assert laid_out.hub_edges.count() + laid_out.edges.count() == len(edges)
+    assert laid_out.hub_edges.groupBy("src").count().agg(F.min("count")).first()[0] > hub_rows
+    ranked = rank_graph(laid_out, scratch, iterations=3, snapshots=(3,))
+    _assert_close(_ranks(ranked, 3), ranks[2])
+
+
+def test_no_hub_table_without_hubs(graph_of, scratch):
+    assert r.prepare_ranking(graph_of("ab", [("a", "b")]), scratch).hub_edges is None
+
+
+def test_colliding_keys_fall_back_to_ids(graph_of, scratch):
+    nodes, links = _random_graph(4)
+    _, ranks = masses_and_ranks(nodes, induced_edges(set(nodes), links), 2)
+    laid_out = r.prepare_ranking(
+        graph_of(nodes, links), scratch, surrogate=lambda id: F.pmod(F.crc32(id), 7)
+    )
+    assert dict(laid_out.edges.dtypes) == {"src": "string", "dst": "string"}
+    ranked = rank_graph(laid_out, scratch, iterations=2, snapshots=(2,))
+    _assert_close(_ranks(ranked, 2), ranks[1])
+
+
+def test_keys_are_numbers_normally(graph_of, scratch):
+    laid_out = r.prepare_ranking(graph_of("ab", [("a", "b")]), scratch)
+    assert dict(laid_out.edges.dtypes) == {"src": "bigint", "dst": "bigint"}
+
+
+def test_numeric_ids_are_their_own_keys(spark, scratch):
+    from linktide import clean_graph
+
+    nodes = spark.createDataFrame([(1,), (2,)], "id long")
+    links = spark.createDataFrame([(1, 2), (2, 3)], "src long, dst long")
+    ranked = rank_graph(
+        clean_graph(nodes, links, scratch), scratch, iterations=1, snapshots=(1,)
+    )
+    assert _ranks(ranked, 1) == pytest.approx({1: 0.575, 2: 1.425})
+
+
+def test_no_sinks_means_no_sink_mass(graph_of, scratch):
+    ring = [f"n{i}" for i in range(9)]
+    links = [(ring[i], ring[(i + step) % 9]) for i in range(9) for step in (1, 2)]
+    ranked = rank_graph(graph_of(ring, links), scratch)
+    assert [sink for _, _, sink in ranked.metric_rows] == [0.0] * 8
+    # A regular graph keeps every rank at 1.
+    assert list(_ranks(ranked, 8).values()) == pytest.approx([1.0] * 9)
+
+
+def test_no_edges(graph_of, scratch):
+    ranked = rank_graph(graph_of("abc", []), scratch)
+    assert _ranks(ranked, 8) == pytest.approx(dict.fromkeys("abc", 1.0))
+
+
+def test_empty_graph(spark, graph_of, scratch):
+    ranked = rank_graph(graph_of([], []), scratch)
+    assert ranked.ranks(8).count() == 0
+    assert ranked.metrics(spark).count() == 0
+
+
+def test_control_words_are_ordinary_ids(graph_of, scratch):
+    nodes = ["#sum", "#sink", "#non-red", "#counter"]
+    ranked = rank_graph(graph_of(nodes, [("#sum", "#sink")]), scratch)
+    _, ranks = masses_and_ranks(nodes, {("#sum", "#sink")}, 8)
+    _assert_close(_ranks(ranked, 8), ranks[7])
+
+
+def test_relabelling_permutes_the_result(graph_of, scratch):
+    nodes, links = _random_graph(5)
+    plain = _ranks(rank_graph(graph_of(nodes, links), scratch), 8)
+    renamed = _ranks(
+        rank_graph(
+            graph_of([f"x{n}" for n in nodes], [(f"x{s}", f"x{d}") for s, d in links]), scratch
+        ),
+        8,
+    )
+    assert renamed == pytest.approx({f"x{n}": rank for n, rank in plain.items()})
+
+
+def test_every_page_has_a_rank_and_a_record(graph_of, scratch):
+    graph = graph_of("abcd", [("a", "b"), ("c", "c")])
+    ranked = rank_graph(graph, scratch, iterations=1, snapshots=(1,))
+    pages = r.ranked_pages(ranked.ranks(1), graph, scratch).collect()
+    assert {p.id: p.outlinks for p in pages} == {"a": ["b"], "b": [], "c": ["c"], "d": []}
+    assert all(p.rank > 0 for p in pages)
+
+
+def test_lost_mass_is_an_error():
+    with pytest.raises(RuntimeError, match="total mass"):
+        r._check_mass(1, 9.9, 10)
+
+
+def test_snapshots_must_be_rounds(graph_of, scratch):
+    with pytest.raises(ValueError, match="snapshots"):
+        rank_graph(graph_of("ab", []), scratch, iterations=2, snapshots=(3,))
+
+
+def test_snapshot_zero_is_the_start(graph_of, scratch):
+    ranked = rank_graph(graph_of("ab", []), scratch, iterations=1, snapshots=(0,))
+    assert _ranks(ranked, 0) == {"a": 1.0, "b": 1.0}
+
+
+def test_a_round_shuffles_only_the_sums(graph_of, scratch):
+    nodes, links = _random_graph(6)
+    graph = r.prepare_ranking(graph_of(nodes, links), scratch)
+    state = r.initial_state(graph)
+    with r.shuffle_partitions(scratch.spark, graph.buckets):
+        update = r.damped_update(state, r.contributions(state, graph), 1.0, graph.n_nodes)
+        plan = update._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert plan.count("ShuffledHashJoin") == 2
+    assert "Sort" not in plan.replace("SortMerge", "")
+    assert "Broadcast" not in plan
+
+
+def test_buckets_grow_with_the_graph(spark):
+    assert r.bucket_count(spark, 1) == 1
+    assert r.bucket_count(spark, 50_000) == 3
+    assert r.bucket_count(spark, 10_000_000) == 8
+    assert r.bucket_count(spark, 8_000_000_000) == 1_000
+    assert r.bucket_count(spark, 10**13) == r.MAX_BUCKETS
+
+
+def test_outlink_lists_of_a_sink(graph_of, scratch):
+    lists = outlink_lists(graph_of("ab", [("a", "b")]), scratch).collect()
+    assert {row.id: (row.part, row.outlinks) for row in lists} == {"a": (0, ["b"]), "b": (0, [])}
