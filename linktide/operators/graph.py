@@ -7,8 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linktide.operators.skew import HOT_ROWS, hot_threshold, semi_join, with_parts
-from linktide.scratch import Scratch
+from linktide.operators.skew import HOT_ROWS, semi_join, with_parts
+from linktide.scratch import Scratch, shuffle_partitions, string_partitions
 
 
 @dataclass(frozen=True)
@@ -49,20 +49,26 @@ def clean_graph(
 ) -> Graph:
     """Distinct nodes and the distinct links between them.
 
-    ``max_links`` is an upper bound of the number of links where one is known. Below
-    the size at which a hot key can exist, links go to edges in one pass; above it
-    the distinct links are stored first, because the hot-key split reads them twice.
+    ``max_links`` is the number of ``links``, or a number above it, for links that
+    are cheap to read again; without it they are stored and counted first. Red links
+    go before duplicates do, so that only live links are compared; copies of one link
+    are either hot, and not shuffled, or few, and combined before the last shuffle.
     """
-    nodes, seen = scratch.save(nodes.select("id").distinct(), "nodes", {"n": F.count(F.lit(1))})
-    links = links.select("src", "dst").distinct()
-    if max_links is None or max_links > hot_threshold(max_links, hot_rows):
-        links, counted = scratch.save(links, "links", {"n": F.count(F.lit(1))})
-        max_links = counted["n"]
-    if not sources_are_nodes:
-        links = semi_join(links, "src", nodes, max_links, scratch, hot_rows)
-    links = drop_red_links(links, nodes, max_links, scratch, hot_rows)
-    edges, kept = scratch.save(links, "edges", {"n": F.count(F.lit(1))})
-    return Graph(nodes, edges, seen["n"], kept["n"])
+    spark = scratch.spark
+    counted = {"n": F.count(F.lit(1))}
+    links = links.select("src", "dst")
+    if max_links is None:
+        links, seen = scratch.save(links, "links", counted)
+        max_links = seen["n"]
+    with shuffle_partitions(spark, string_partitions(spark, max_links)):
+        nodes, seen = scratch.save(nodes.select("id").distinct(), "nodes", counted)
+    n_nodes = seen["n"]
+    with shuffle_partitions(spark, string_partitions(spark, max_links + n_nodes)):
+        if not sources_are_nodes:
+            links = semi_join(links, "src", nodes, max_links, scratch, hot_rows)
+        links = drop_red_links(links, nodes, max_links, scratch, hot_rows)
+        edges, kept = scratch.save(links.distinct(), "edges", counted)
+    return Graph(nodes, edges, n_nodes, kept["n"])
 
 
 def out_degrees(edges: DataFrame) -> DataFrame:
@@ -76,29 +82,32 @@ def page_count(nodes: DataFrame) -> DataFrame:
 
 
 def inlink_lists(graph: Graph, scratch: Scratch, list_rows: int = HOT_ROWS) -> DataFrame:
-    """``(id, part, inlinks)`` for pages that are linked to."""
-    return _lists(graph, "dst", "src", "inlinks", scratch, list_rows)
-
-
-def outlink_lists(graph: Graph, scratch: Scratch, list_rows: int = HOT_ROWS) -> DataFrame:
-    """``(id, part, outlinks)`` for every page; a page without outlinks has an empty list."""
-    lists = _lists(graph, "src", "dst", "outlinks", scratch, list_rows)
-    return graph.nodes.join(lists, "id", "left").select(
-        "id",
-        F.coalesce("part", F.lit(0)).alias("part"),
-        F.coalesce("outlinks", F.array().cast("array<string>")).alias("outlinks"),
-    )
+    """``(id, part, inlinks)`` for pages that are linked to.
 
+    Lists are sorted and hold at most about ``list_rows`` members (``hot_threshold``).
+    A page with more has several rows, numbered by ``part``, so that no single row or
+    task holds a hub's whole neighbourhood.
+    """
+    edges = with_parts(graph.edges, "dst", "src", graph.n_edges, scratch, list_rows)
+    members = edges.select(F.col("dst").alias("id"), "part", F.col("src").alias("member"))
+    return _lists(members, "inlinks")
 
-def _lists(
-    graph: Graph, key: str, member: str, list_name: str, scratch: Scratch, list_rows: int
-) -> DataFrame:
-    """Sorted lists of at most about ``list_rows`` members (see ``hot_threshold``).
 
-    A page with more has several rows, numbered by ``part``, so that no single row
-    or task holds a hub's whole neighbourhood.
+def outlink_lists(graph: Graph, scratch: Scratch, list_rows: int = HOT_ROWS) -> DataFrame:
+    """``(id, part, outlinks)`` for every page, in parts as in ``inlink_lists``; a page
+    without outlinks has an empty list.
     """
-    parted = with_parts(graph.edges, key, member, graph.n_edges, scratch, list_rows)
-    return parted.groupBy(F.col(key).alias("id"), "part").agg(
-        F.sort_array(F.collect_list(member)).alias(list_name)
+    edges = with_parts(graph.edges, "src", "dst", graph.n_edges, scratch, list_rows)
+    members = edges.select(F.col("src").alias("id"), "part", F.col("dst").alias("member"))
+    # Each page adds a null member, which a list leaves out: the outer join with the
+    # pages happens in the same shuffle as the grouping.
+    pages = graph.nodes.select("id", F.lit(0).cast("long"), F.lit(None))
+    return _lists(members.union(pages), "outlinks")
+
+
+def _lists(members: DataFrame, list_name: str) -> DataFrame:
+    # Shuffling plain rows first beats partial lists: hardly any meet before the shuffle.
+    together = members.repartition("id", "part")
+    return together.groupBy("id", "part").agg(
+        F.sort_array(F.collect_list("member")).alias(list_name)
     )

@@ -48,18 +48,20 @@ def semi_join(
     scratch: Scratch,
     floor: int = HOT_ROWS,
 ) -> DataFrame:
-    """Rows of ``df`` whose ``key`` is in ``ids.id``.
+    """Rows of ``df`` whose ``key`` is in the distinct ``ids.id``.
 
-    Rows of hot keys stay where they are and meet a broadcast; the others shuffle.
-    Give a stored ``df`` when it may hold hot keys, since it is then read per branch.
+    Rows of hot keys stay where they are and meet a broadcast; the others shuffle
+    and probe a hash table of their partition's ids, so that they need no sort.
+    ``df`` is read once per branch if there are hot keys.
     """
     wanted = ids.select(F.col("id").alias(key))
+    probed = wanted.hint("shuffle_hash")
     hot = hot_keys(df, key, total, scratch, floor)
     if hot is None:
-        return df.join(wanted, key, "left_semi").select(df.columns)
+        return df.join(probed, key, "left_semi").select(df.columns)
     hot = hot.select(key)
     hot_wanted = wanted.join(F.broadcast(hot), key, "left_semi")
-    cold_rows = df.join(F.broadcast(hot), key, "left_anti").join(wanted, key, "left_semi")
+    cold_rows = df.join(F.broadcast(hot), key, "left_anti").join(probed, key, "left_semi")
     hot_rows = df.join(F.broadcast(hot_wanted), key, "left_semi")
     return cold_rows.select(df.columns).unionByName(hot_rows.select(df.columns))
 

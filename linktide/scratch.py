@@ -13,6 +13,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
+ROWS_PER_PARTITION = 2_000_000
+MAX_PARTITIONS = 20_000
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of the session; a machine-local one only in local mode."""
@@ -26,15 +29,28 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 @contextmanager
-def shuffle_partitions(spark: SparkSession, partitions: int):
-    """Size the shuffles of the actions run inside the block."""
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(partitions))
+def settings(spark: SparkSession, values: dict[str, object]):
+    """Session settings for the actions run inside the block."""
+    before = {key: spark.conf.get(key) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, str(value))
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def shuffle_partitions(spark: SparkSession, partitions: int):
+    return settings(spark, {"spark.sql.shuffle.partitions": partitions})
+
+
+def string_partitions(spark: SparkSession, rows: int) -> int:
+    """Shuffle partitions for rows of a few strings: the session's number, or more where
+    a partition would outgrow a task's memory. Adaptive execution merges small ones.
+    """
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(configured, min(MAX_PARTITIONS, -(-rows // ROWS_PER_PARTITION)))
 
 
 class Scratch:
@@ -93,7 +109,9 @@ class Scratch:
         )
         self._tables.append(table)
         df, seen = _observed(df, metrics)
-        df.write.insertInto(table)
+        # A task writes few buckets: keeping their files open saves sorting by bucket.
+        with settings(self.spark, {"spark.sql.maxConcurrentOutputFileWriters": 8}):
+            df.write.insertInto(table)
         return self.spark.table(f"`{table}`"), seen.get if seen else {}
 
     def close(self) -> None:
