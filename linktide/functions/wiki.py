@@ -23,14 +23,14 @@ def is_subpage(title: Column) -> Column:
 def raw_links(text: Column) -> Column:
     """Array of the texts between each ``[[`` and the first ``]]`` after it.
 
-    Cutting at every ``]]`` first keeps this linear in the text: a lazy regex
-    rescans to the end of the text for each ``[[`` that is never closed. The last
-    piece has no closing mark, so it holds no link.
+    A ``[[`` that is never closed would make the pattern look through the rest of the
+    text, for each such mark anew; so whatever follows the last ``]]`` is cut off first,
+    and the scan stays linear on any text.
     """
-    pieces = F.split(text, r"\]\]")
-    closed = F.slice(pieces, 1, F.size(pieces) - 1)
-    linked = F.filter(closed, lambda piece: piece.contains("[["))
-    return F.transform(linked, lambda piece: F.substr(piece, F.instr(piece, "[[") + 2))
+    tail = F.substring_index(text, "]]", -1)
+    closed = F.left(text, F.length(text) - F.length(tail))
+    scanned = F.when(tail.contains("[["), closed).otherwise(text)
+    return F.regexp_extract_all(scanned, F.lit(r"(?s)\[\[(.*?)\]\]"), 1)
 
 
 def keeps_link(raw: Column, title: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,9 +23,8 @@ def read_blocks(spark: SparkSession, path, start_tag: str, end_tag: str) -> Data
         raise ValueError("both the start tag and the end tag of a block are needed")
     records = spark.read.text(path, lineSep=start_tag)
     in_head = (F.col("_metadata.file_block_start") == 0) & F.col("value").rlike(_FILE_HEAD)
+    content = F.split("value", re.escape(end_tag), 2)[0]
     return records.where(F.col("value").contains(end_tag) & ~in_head).select(
-        F.concat(
-            F.lit(start_tag), F.substring_index("value", end_tag, 1), F.lit(end_tag)
-        ).alias("block"),
+        F.concat(F.lit(start_tag), content, F.lit(end_tag)).alias("block"),
         F.col("_metadata.file_path").alias("file_path"),
     )
