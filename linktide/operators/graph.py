@@ -61,7 +61,8 @@ def clean_graph(
         links, seen = scratch.save(links, "links", counted)
         max_links = seen["n"]
     with shuffle_partitions(spark, string_partitions(spark, max_links)):
-        nodes, seen = scratch.save(nodes.select("id").distinct(), "nodes", counted)
+        nodes = nodes.where(F.col("id").isNotNull()).select("id").distinct()
+        nodes, seen = scratch.save(nodes, "nodes", counted)
     n_nodes = seen["n"]
     with shuffle_partitions(spark, string_partitions(spark, max_links + n_nodes)):
         if not sources_are_nodes:
@@ -93,11 +94,17 @@ def inlink_lists(graph: Graph, scratch: Scratch, list_rows: int = HOT_ROWS) -> D
     return _lists(members, "inlinks")
 
 
-def outlink_lists(graph: Graph, scratch: Scratch, list_rows: int = HOT_ROWS) -> DataFrame:
+def outlink_lists(
+    graph: Graph,
+    scratch: Scratch,
+    list_rows: int = HOT_ROWS,
+    degrees: DataFrame | None = None,
+) -> DataFrame:
     """``(id, part, outlinks)`` for every page, in parts as in ``inlink_lists``; a page
-    without outlinks has an empty list.
+    without outlinks has an empty list. ``degrees`` is ``out_degrees`` where stored.
     """
-    edges = with_parts(graph.edges, "src", "dst", graph.n_edges, scratch, list_rows)
+    counted = None if degrees is None else degrees.withColumnRenamed("out_degree", "n_rows")
+    edges = with_parts(graph.edges, "src", "dst", graph.n_edges, scratch, list_rows, counted)
     members = edges.select(F.col("src").alias("id"), "part", F.col("dst").alias("member"))
     # Each page adds a null member, which a list leaves out: the outer join with the
     # pages happens in the same shuffle as the grouping.

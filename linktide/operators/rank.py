@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linktide.operators.graph import Graph, out_degrees, outlink_lists
+from linktide.operators.graph import Graph, clean_graph, out_degrees, outlink_lists
 from linktide.operators.skew import HOT_ROWS, hot_threshold
 from linktide.scratch import Scratch, shuffle_partitions
 
@@ -131,11 +131,35 @@ def initial_state(graph: RankGraph) -> DataFrame:
     return graph.vertices.select("id", F.lit(INITIAL_RANK).alias("rank"), "out_degree")
 
 
+def initial_pages(lists: DataFrame) -> DataFrame:
+    """``(id, rank, outlinks)`` before the first round, from outlink lists."""
+    return lists.select("id", F.lit(INITIAL_RANK).alias("rank"), "outlinks")
+
+
 def ranked_pages(ranks: DataFrame, graph: Graph, scratch: Scratch) -> DataFrame:
     """``(id, rank, outlinks)``: ranks with the page structure, one row per list part."""
     return ranks.join(outlink_lists(graph, scratch), "id").select("id", "rank", "outlinks")
 
 
+def pages_graph(pages: DataFrame, scratch: Scratch) -> tuple[Graph, DataFrame]:
+    """The graph and the ranks ``(id, rank)`` held by ranked pages, to go on from them."""
+    links = pages.select(F.col("id").alias("src"), F.explode("outlinks").alias("dst"))
+    graph = clean_graph(pages, links, scratch, sources_are_nodes=True)
+    return graph, pages.select("id", "rank").distinct()
+
+
+def _stored_start(graph: RankGraph, start: DataFrame, scratch: Scratch) -> tuple[DataFrame, dict]:
+    """The state with given ranks, laid out like any round; every page needs a rank."""
+    given = start.select(F.col("id").alias("name"), "rank")
+    missing = F.raise_error(F.concat(F.lit("no rank given for "), F.col("name").cast("string")))
+    state = graph.vertices.join(given, "name", "left").select(
+        "id", F.coalesce("rank", missing.cast("double")).alias("rank"), "out_degree"
+    )
+    return scratch.save_bucketed(
+        state.repartition(graph.buckets, "id"), "start", "id", graph.buckets, masses()
+    )
+
+
 def contributions(state: DataFrame, graph: RankGraph) -> DataFrame:
     """``(dst, contrib)``: the sum of ``rank / out_degree`` over the inlinks."""
     shares = state.where("out_degree > 0").selectExpr(
@@ -179,8 +203,12 @@ def rank_graph(
     iterations: int = ROUNDS,
     damping: float = DAMPING,
     snapshots: Iterable[int] = SNAPSHOTS,
+    start: DataFrame | None = None,
 ) -> Ranking:
-    """Run the rounds; keep the states of the rounds named in ``snapshots``."""
+    """Run the rounds; keep the states of the rounds named in ``snapshots``.
+
+    ``start`` holds ranks ``(id, rank)`` to go on from; every page starts at 1 without.
+    """
     if isinstance(graph, Graph):
         graph = prepare_ranking(graph, scratch)
     snapshots = set(snapshots)
@@ -193,9 +221,12 @@ def rank_graph(
         "total_mass": INITIAL_RANK * graph.n_nodes,
         "sink_mass": INITIAL_RANK * graph.n_sinks,
     }
-    states = {0: state}
     metric_rows = []
     with shuffle_partitions(scratch.spark, graph.buckets):
+        if start is not None:
+            state, mass = _stored_start(graph, start, scratch)
+            _check_mass(0, mass["total_mass"], graph.n_nodes)
+        states = {0: state}
         for number in range(1, iterations + 1):
             metric_rows.append((number, mass["total_mass"], mass["sink_mass"]))
             update = damped_update(

@@ -22,17 +22,24 @@ def hot_threshold(total: int, floor: int = HOT_ROWS) -> int:
 
 
 def hot_keys(
-    df: DataFrame, key: str, total: int, scratch: Scratch, floor: int = HOT_ROWS
+    df: DataFrame,
+    key: str,
+    total: int,
+    scratch: Scratch,
+    floor: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame | None:
     """``(key, n_parts)`` of the hot keys; None if there are none.
 
-    ``total`` is the row count of ``df`` or a number above it. ``n_parts`` is how
-    many groups bring the key below the threshold again.
+    ``total`` is the row count of ``df`` or a number above it, ``counted`` the rows per
+    key (``key``, ``n_rows``) where they are known already. ``n_parts`` is how many
+    groups bring the key below the threshold again.
     """
     threshold = hot_threshold(total, floor)
     if total <= threshold:
         return None
-    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    if counted is None:
+        counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
     hot = counted.where(
         (F.col("n_rows") > threshold) & (F.octet_length(key) <= MAX_HOT_KEY_BYTES)
     ).select(key, F.ceil(F.col("n_rows") / threshold).alias("n_parts"))
@@ -67,10 +74,16 @@ def semi_join(
 
 
 def with_parts(
-    df: DataFrame, key: str, spread: str, total: int, scratch: Scratch, floor: int = HOT_ROWS
+    df: DataFrame,
+    key: str,
+    spread: str,
+    total: int,
+    scratch: Scratch,
+    floor: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``part``: 0 for ordinary keys, a hash of ``spread`` within hot ones."""
-    hot = hot_keys(df, key, total, scratch, floor)
+    hot = hot_keys(df, key, total, scratch, floor, counted)
     if hot is None:
         return df.withColumn("part", F.lit(0).cast("long"))
     part = F.coalesce(F.pmod(F.xxhash64(spread), F.col("n_parts")), F.lit(0))

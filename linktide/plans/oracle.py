@@ -133,6 +133,10 @@ ORACLE_SQL = {
     "ranked_page_roundtrip": _ranks(
         1, "select id, round(rank, 6) as rank, out_degree as n_out from state_1"
     ),
+    "initial_page_lines": _with_graph(
+        f"select id, 1.0::double as rank, outlinks from ({_OUTLINKS})"
+    ),
+    "resumed_ranking": _ranks(ROUNDS, f"select id, round(rank, 6) as rank from state_{ROUNDS}"),
     "dump_ranking": _ranks(
         ROUNDS, f"select {_WIKI_ID.format('id')} as id, round(rank, 6) as rank from state_{ROUNDS}"
     ),

@@ -175,6 +175,27 @@ def ranked_page_roundtrip(spark, sf_dir):
     )
 
 
+def resumed_ranking(spark, sf_dir):
+    """Three rounds, ranked pages to text and back, then the remaining five rounds."""
+    scratch, graph, ranked = _ranking(spark, sf_dir, 3)
+    path = scratch.path("ranked_pages")
+    write_ranked_pages(r.ranked_pages(ranked.ranks(3), graph, scratch), path)
+    pages = read_ranked_pages(spark, path)
+    graph, start = r.pages_graph(pages, scratch)
+    resumed = r.rank_graph(graph, scratch, iterations=5, snapshots=(5,), start=start)
+    return _rounded(resumed.ranks(5))
+
+
+def initial_page_lines(spark, sf_dir):
+    """Outlink lists from text, ranked with the initial rank."""
+    scratch = Scratch(spark)
+    path = scratch.path("outlinks")
+    lists = g.outlink_lists(trade_graph(spark, sf_dir, scratch), scratch)
+    write_adjacency(lists, "outlinks", path)
+    pages = r.initial_pages(read_adjacency(spark, path))
+    return pages.select("id", "rank", F.array_join("outlinks", " ").alias("outlinks"))
+
+
 def dump_ranking(spark, sf_dir):
     """Dump in, ranking out: the one-call run, its result read back from text."""
     scratch = Scratch(spark)
@@ -212,6 +233,8 @@ QUERIES = {
         kv_text_roundtrip,
         adjacency_text_links,
         ranked_page_roundtrip,
+        initial_page_lines,
+        resumed_ranking,
         dump_ranking,
     )
 } | {"ranking": ordered_ranking}

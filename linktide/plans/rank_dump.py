@@ -100,8 +100,13 @@ def rank_dump(
         )
 
 
+def _outlinks(graph: Graph, ranked: Ranking, scratch: Scratch) -> DataFrame:
+    degrees = ranked.graph.vertices.select(F.col("name").alias("src"), "out_degree")
+    return outlink_lists(graph, scratch, degrees=degrees)
+
+
 def _write_text(spark, graph: Graph, ranked: Ranking, scratch, out: str, single_file: bool):
-    write_adjacency(outlink_lists(graph, scratch), "outlinks", f"{out}/outlinks")
+    write_adjacency(_outlinks(graph, ranked, scratch), "outlinks", f"{out}/outlinks")
     write_count(spark, graph.n_nodes, f"{out}/n")
     masses = F.concat_ws(" ", F.col("total_mass").cast("string"), F.col("sink_mass").cast("string"))
     write_key_values(
@@ -116,7 +121,7 @@ def _write_parquet(spark, graph: Graph, ranked: Ranking, scratch, out: str, sing
     if single_file:
         raise ValueError("single_file is for text results")
     tables = {
-        "outlinks": outlink_lists(graph, scratch),
+        "outlinks": _outlinks(graph, ranked, scratch),
         "n": spark.range(1).select(F.lit(graph.n_nodes).alias("n")),
         "masses": ranked.metrics(spark),
         **{f"ranking_{k}": ranking(ranked.ranks(k)) for k in sorted(ranked.states)},

@@ -6,6 +6,7 @@ table. That cuts the lineage, and an executor lost later costs only a re-read.
 
 from __future__ import annotations
 
+import atexit
 import itertools
 import tempfile
 import uuid
@@ -57,7 +58,8 @@ class Scratch:
     """One run's own folder (and catalog tables) below the shared root.
 
     DataFrames returned by ``save`` and ``save_bucketed`` read from that folder,
-    so call ``close`` (or leave the ``with`` block) only after using them.
+    so call ``close`` (or leave the ``with`` block) only after using them. What is
+    still open when Python exits is closed then.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
@@ -66,6 +68,10 @@ class Scratch:
         self.folder = f"{(root or scratch_root(spark)).rstrip('/')}/linktide-{self.run_id}"
         self._serial = itertools.count()
         self._tables: list[str] = []
+        context = spark.sparkContext
+        self._path = context._jvm.org.apache.hadoop.fs.Path(self.folder)
+        self._file_system = self._path.getFileSystem(context._jsc.hadoopConfiguration())
+        atexit.register(self.close)
 
     def __enter__(self) -> Scratch:
         return self
@@ -116,11 +122,11 @@ class Scratch:
 
     def close(self) -> None:
         """Drop this run's tables and its own uniquely named folder."""
-        while self._tables:
-            self.spark.sql(f"DROP TABLE IF EXISTS `{self._tables.pop()}`")
-        context = self.spark.sparkContext
-        folder = context._jvm.org.apache.hadoop.fs.Path(self.folder)
-        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+        atexit.unregister(self.close)
+        if self.spark.sparkContext._jsc is not None:  # the session has not been stopped
+            while self._tables:
+                self.spark.sql(f"DROP TABLE IF EXISTS `{self._tables.pop()}`")
+        self._file_system.delete(self._path, True)
 
 
 def _observed(df: DataFrame, metrics: dict[str, Column] | None):

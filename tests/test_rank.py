@@ -6,6 +6,7 @@ import random
 
 import pytest
 from model import induced_edges, masses_and_ranks
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from linktide import rank_graph
@@ -141,6 +142,43 @@ def test_every_page_has_a_rank_and_a_record(graph_of, scratch):
     assert all(p.rank > 0 for p in pages)
 
 
+def test_going_on_from_ranks(graph_of, scratch):
+    nodes, links = _random_graph(7)
+    graph = graph_of(nodes, links)
+    first = rank_graph(graph, scratch, iterations=2, snapshots=(2,))
+    pages = r.ranked_pages(first.ranks(2), graph, scratch)
+    again, start = r.pages_graph(pages, scratch)
+    assert (again.n_nodes, again.n_edges) == (graph.n_nodes, graph.n_edges)
+    resumed = rank_graph(again, scratch, iterations=3, snapshots=(0, 3), start=start)
+    whole = rank_graph(graph, scratch, iterations=5, snapshots=(2, 5))
+    assert _ranks(resumed, 0) == _ranks(whole, 2)
+    assert _ranks(resumed, 3) == pytest.approx(_ranks(whole, 5), abs=1e-12)
+    for (_, total, sink), (_, whole_total, whole_sink) in zip(
+        resumed.metric_rows, whole.metric_rows[2:], strict=True
+    ):
+        assert (total, sink) == pytest.approx((whole_total, whole_sink))
+
+
+def test_going_on_needs_a_rank_for_every_page(spark, graph_of, scratch):
+    start = spark.createDataFrame([("a", 1.0)], "id string, rank double")
+    with pytest.raises(PySparkException, match="no rank given for b"):
+        rank_graph(graph_of("ab", []), scratch, start=start)
+
+
+def test_known_degrees_spare_the_count(graph_of, scratch):
+    graph = graph_of("abcd", [("a", x) for x in "abcd"] + [("b", "a")])
+    degrees = r.out_degrees(graph.edges)
+    plain = outlink_lists(graph, scratch, 2).collect()
+    known = outlink_lists(graph, scratch, 2, degrees).collect()
+    assert sorted(plain) == sorted(known)
+    assert len([row for row in known if row.id == "a"]) > 1
+
+
+def test_null_ids_are_no_nodes(graph_of):
+    graph = graph_of(["a", "b", None], [("a", "b"), ("a", None), (None, "b")])
+    assert (graph.n_nodes, graph.n_edges) == (2, 1)
+
+
 def test_lost_mass_is_an_error():
     with pytest.raises(RuntimeError, match="total mass"):
         r._check_mass(1, 9.9, 10)
