@@ -34,8 +34,8 @@ def page_links(targets: DataFrame) -> DataFrame:
 def drop_red_links(
     links: DataFrame, nodes: DataFrame, n_links: int, scratch: Scratch, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Links whose target is a node."""
-    return semi_join(links, "dst", nodes, n_links, scratch, hot_rows)
+    """The distinct links whose target is a node."""
+    return semi_join(links, "dst", nodes, n_links, scratch, hot_rows, distinct=True)
 
 
 def clean_graph(
@@ -50,9 +50,8 @@ def clean_graph(
     """Distinct nodes and the distinct links between them.
 
     ``max_links`` is the number of ``links``, or a number above it, for links that
-    are cheap to read again; without it they are stored and counted first. Red links
-    go before duplicates do, so that only live links are compared; copies of one link
-    are either hot, and not shuffled, or few, and combined before the last shuffle.
+    are cheap to read again; without it they are stored and counted first. Links move
+    once, to the partition of their target's page, and duplicates are dropped there.
     """
     spark = scratch.spark
     counted = {"n": F.count(F.lit(1))}
@@ -68,7 +67,7 @@ def clean_graph(
         if not sources_are_nodes:
             links = semi_join(links, "src", nodes, max_links, scratch, hot_rows)
         links = drop_red_links(links, nodes, max_links, scratch, hot_rows)
-        edges, kept = scratch.save(links.distinct(), "edges", counted)
+        edges, kept = scratch.save(links, "edges", counted)
     return Graph(nodes, edges, n_nodes, kept["n"])
 
 

@@ -7,6 +7,8 @@ limit on key length this bounds what is broadcast to about 50 MB.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,23 +56,33 @@ def semi_join(
     total: int,
     scratch: Scratch,
     floor: int = HOT_ROWS,
+    distinct: bool = False,
 ) -> DataFrame:
-    """Rows of ``df`` whose ``key`` is in the distinct ``ids.id``.
+    """Rows of ``df`` whose ``key`` is in the distinct ``ids.id``; ``distinct`` ones only.
 
     Rows of hot keys stay where they are and meet a broadcast; the others shuffle
-    and probe a hash table of their partition's ids, so that they need no sort.
-    ``df`` is read once per branch if there are hot keys.
+    and probe a hash table of their partition's ids, so that they need no sort. No key
+    is on both sides, so each side can drop duplicates by itself: the cold side where
+    its rows are after the join, the hot side with a combine before its shuffle.
+    ``df`` is read once per side if there are hot keys.
     """
     wanted = ids.select(F.col("id").alias(key))
     probed = wanted.hint("shuffle_hash")
     hot = hot_keys(df, key, total, scratch, floor)
     if hot is None:
-        return df.join(probed, key, "left_semi").select(df.columns)
-    hot = hot.select(key)
-    hot_wanted = wanted.join(F.broadcast(hot), key, "left_semi")
-    cold_rows = df.join(F.broadcast(hot), key, "left_anti").join(probed, key, "left_semi")
-    hot_rows = df.join(F.broadcast(hot_wanted), key, "left_semi")
-    return cold_rows.select(df.columns).unionByName(hot_rows.select(df.columns))
+        sides = [df.join(probed, key, "left_semi")]
+    else:
+        hot = hot.select(key)
+        hot_wanted = wanted.join(F.broadcast(hot), key, "left_semi")
+        cold_rows = df.join(F.broadcast(hot), key, "left_anti")
+        sides = [
+            cold_rows.join(probed, key, "left_semi"),
+            df.join(F.broadcast(hot_wanted), key, "left_semi"),
+        ]
+    sides = [side.select(df.columns) for side in sides]
+    if distinct:
+        sides = [side.distinct() for side in sides]
+    return reduce(DataFrame.union, sides)
 
 
 def with_parts(

@@ -92,7 +92,8 @@ def outlink_lists(spark, sf_dir):
 
 
 def _listed(lists: DataFrame, name: str, size: str) -> DataFrame:
-    return lists.select("id", F.size(name).alias(size), F.array_join(name, " ").alias(name))
+    n = F.size(name).cast("long")
+    return lists.select("id", n.alias(size), F.array_join(name, " ").alias(name))
 
 
 def page_count(spark, sf_dir):
@@ -171,7 +172,7 @@ def ranked_page_roundtrip(spark, sf_dir):
     path = scratch.path("ranked_pages")
     write_ranked_pages(r.ranked_pages(ranked.ranks(1), graph, scratch), path)
     return read_ranked_pages(spark, path).select(
-        "id", F.round("rank", 6).alias("rank"), F.size("outlinks").alias("n_out")
+        "id", F.round("rank", 6).alias("rank"), F.size("outlinks").cast("long").alias("n_out")
     )
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import bz2
 import gzip
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from linktide.sources import read_blocks
 
@@ -51,6 +53,22 @@ def test_compressed(spark, tmp_path, many, name, pack):
     assert _blocks(spark, _write(tmp_path, pack(dump.encode()), name)) == sorted(pages)
 
 
+def test_bz2_is_split(spark, tmp_path):
+    rng = random.Random(0)
+    pages = [_page(f"Page {i}", rng.randbytes(1500).hex()) for i in range(2000)]
+    packed = bz2.compress("\n".join(pages).encode(), 1)
+    path = _write(tmp_path, packed, "d.xml.bz2")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(len(packed) // 11))
+    try:
+        blocks = read_blocks(spark, path, "<page>", "</page>")
+        tasks = blocks.select(F.spark_partition_id().alias("task")).distinct().count()
+        assert tasks > 5
+        assert sorted(r.block for r in blocks.collect()) == sorted(pages)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_several_files_keep_their_name(spark, tmp_path):
     _write(tmp_path, _page("A"), "a.xml")
     _write(tmp_path, _page("B"), "b.xml")

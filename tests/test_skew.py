@@ -44,6 +44,19 @@ def test_semi_join(spark, links, scratch, floor):
     assert sorted(map(tuple, kept.collect())) == sorted(expected)
 
 
+@pytest.mark.parametrize("floor, shuffles", [(20, 3), (1000, 2)])
+def test_duplicates_go_without_another_shuffle(spark, links, scratch, floor, shuffles):
+    """One for each side of the join; hot rows have one of their own, after a combine."""
+    copies, _ = scratch.save(links.union(links), "copies")
+    ids = spark.createDataFrame([("hot",), ("t1",)], "id string")
+    ids, _ = scratch.save(ids, "ids")
+    kept = skew.semi_join(copies, "dst", ids, 600, scratch, floor, distinct=True)
+    expected = {tuple(r) for r in links.collect() if r.dst in ("hot", "t1")}
+    assert sorted(map(tuple, kept.collect())) == sorted(expected)
+    plan = kept._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == shuffles
+
+
 def test_parts_split_hot_keys_only(links, scratch):
     parted = skew.with_parts(links, "dst", "src", 300, scratch, floor=20)
     widest = parted.groupBy("dst", "part").count()
