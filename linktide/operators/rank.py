@@ -23,11 +23,14 @@ from linktide.scratch import Scratch, shuffle_partitions
 
 log = logging.getLogger(__name__)
 
+# The rounds of a run, the damping, the rank of a page before the first round,
+# and the rounds whose ranking is kept.
 ROUNDS = 8
 DAMPING = 0.85
 INITIAL_RANK = 1.0
 SNAPSHOTS = (1, 8)
 
+# Sizes: a bucket of 8 million edges is about 130 MB of keys.
 ROWS_PER_BUCKET = 8_000_000
 SMALLEST_BUCKET = 20_000
 MAX_BUCKETS = 20_000

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from linktide.operators.graph import Graph, clean_graph, outlink_lists, page_links, page_nodes
 from linktide.operators.pages import has_title, page_targets, parse_pages, ranked_titles
 from linktide.operators.rank import DAMPING, ROUNDS, SNAPSHOTS, Ranking, rank_graph
-from linktide.scratch import Scratch
+from linktide.scratch import Scratch, shuffle_partitions, string_partitions
 from linktide.sinks import (
     ranking,
     write_adjacency,
@@ -94,7 +94,8 @@ def rank_dump(
             graph, scratch, iterations=iterations, damping=damping, snapshots=snapshots
         )
         write = _write_text if output_format == "text" else _write_parquet
-        write(spark, graph, ranked, scratch, output_path.rstrip("/"), single_file)
+        with shuffle_partitions(spark, string_partitions(spark, graph.n_nodes + graph.n_edges)):
+            write(spark, graph, ranked, scratch, output_path.rstrip("/"), single_file)
         return DumpReport(
             **counts, n_pages=graph.n_nodes, n_links=graph.n_edges, masses=ranked.metric_rows
         )

@@ -84,15 +84,25 @@ def test_keys_are_numbers_normally(graph_of, scratch):
     assert dict(laid_out.edges.dtypes) == {"src": "bigint", "dst": "bigint"}
 
 
-def test_numeric_ids_are_their_own_keys(spark, scratch):
+@pytest.mark.parametrize("hot_rows", [2, 1000])
+def test_numeric_ids_are_their_own_keys(spark, scratch, hot_rows):
     from linktide import clean_graph
 
-    nodes = spark.createDataFrame([(1,), (2,)], "id long")
-    links = spark.createDataFrame([(1, 2), (2, 3)], "src long, dst long")
-    ranked = rank_graph(
-        clean_graph(nodes, links, scratch), scratch, iterations=1, snapshots=(1,)
+    pairs = {(1, i) for i in range(2, 9)} | {(i, 9) for i in range(2, 12)} | {(3, 3)}
+    nodes = set(range(1, 10))
+    graph = clean_graph(
+        spark.createDataFrame([(n,) for n in nodes], "id long"),
+        spark.createDataFrame(sorted(pairs), "src long, dst long"),
+        scratch,
+        hot_rows=hot_rows,
     )
-    assert _ranks(ranked, 1) == pytest.approx({1: 0.575, 2: 1.425})
+    laid_out = r.prepare_ranking(graph, scratch, hub_rows=hot_rows)
+    assert (laid_out.hub_edges is not None) == (hot_rows == 2)
+    _, ranks = masses_and_ranks(nodes, induced_edges(nodes, pairs), 2)
+    ranked = rank_graph(laid_out, scratch, iterations=2, snapshots=(2,))
+    _assert_close(_ranks(ranked, 2), ranks[1])
+    lists = outlink_lists(graph, scratch, hot_rows).collect()
+    assert sorted(d for row in lists if row.id == 1 for d in row.outlinks) == list(range(2, 9))
 
 
 def test_no_sinks_means_no_sink_mass(graph_of, scratch):
