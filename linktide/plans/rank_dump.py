@@ -109,11 +109,10 @@ def _outlinks(graph: Graph, ranked: Ranking, scratch: Scratch) -> DataFrame:
 def _write_text(spark, graph: Graph, ranked: Ranking, scratch, out: str, single_file: bool):
     write_adjacency(_outlinks(graph, ranked, scratch), "outlinks", f"{out}/outlinks")
     write_count(spark, graph.n_nodes, f"{out}/n")
-    masses = F.concat_ws(" ", F.col("total_mass").cast("string"), F.col("sink_mass").cast("string"))
-    write_key_values(
-        ranked.metrics(spark).coalesce(1).select(F.col("iteration").alias("key"), masses.alias("value")),
-        f"{out}/masses",
+    masses = ranked.metrics(spark).coalesce(1).selectExpr(
+        "iteration as key", "concat_ws(' ', string(total_mass), string(sink_mass)) as value"
     )
+    write_key_values(masses, f"{out}/masses")
     for number in sorted(ranked.states):
         write_ranking(ranked.ranks(number), f"{out}/ranking_{number}", single_file)
 
