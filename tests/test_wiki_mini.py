@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 
 from linktide import rank_dump
+from linktide.__main__ import main
 from linktide.operators import pages as p
 from linktide.operators.graph import inlink_lists
 from linktide.plans.rank_dump import dump_graph
@@ -153,6 +154,16 @@ def test_results_replace_only_their_own_folders(spark, dump, tmp_path):
     assert len(_lines(spark, out / "ranking_1")) == 7
 
 
+def test_command_line(spark, dump, tmp_path, capsys):
+    out = str(tmp_path / "results")
+    main([dump, dump, out, "--iterations", "2", "--snapshots", "1", "2", "--single-file"])
+    printed = capsys.readouterr().out
+    assert "pages: 7, links: 8" in printed and "blocks: 16" in printed
+    assert "round 2: total mass 7.0" in printed
+    lines = [line.split("\t")[0] for line in _lines(spark, f"{out}/ranking_1")]
+    assert lines == [name for name, _ in RANKING_1]
+
+
 def test_bad_arguments(spark, dump, tmp_path):
     with pytest.raises(ValueError, match="output_format"):
         rank_dump(spark, dump, str(tmp_path / "out"), output_format="csv")
