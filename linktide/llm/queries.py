@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from linktide.llm.decontaminate import OP5_SQL, op5_benchmark_decontamination
 from linktide.llm.near_dedup import op8_minhash_near_dedup
+from linktide.llm.token_output import op2_token_files
 
 QUERIES = {
+    "op2_token_files": op2_token_files,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op5_benchmark_decontamination": OP5_SQL,
+}
