@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from linktide.llm.decontaminate import OP5_SQL, op5_benchmark_decontamination
+from linktide.llm.mixing import OP6_SQL, op6_mix_sources
 from linktide.llm.near_dedup import op8_minhash_near_dedup
 from linktide.llm.token_output import op2_token_files
 
 QUERIES = {
     "op2_token_files": op2_token_files,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_mix_sources": op6_mix_sources,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
 
 ORACLE_SQL = {
     "op5_benchmark_decontamination": OP5_SQL,
+    "op6_mix_sources": OP6_SQL,
 }
