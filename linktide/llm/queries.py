@@ -5,16 +5,23 @@ from __future__ import annotations
 from linktide.llm.decontaminate import OP5_SQL, op5_benchmark_decontamination
 from linktide.llm.mixing import OP6_SQL, op6_mix_sources
 from linktide.llm.near_dedup import op8_minhash_near_dedup
+from linktide.llm.quality import op1_quality_classifier
+from linktide.llm.rules import OP3_SQL, op3_quality_rules
+from linktide.llm.secrets import op10_secret_scan
 from linktide.llm.token_output import op2_token_files
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_token_files": op2_token_files,
+    "op3_quality_rules": op3_quality_rules,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_mix_sources": op6_mix_sources,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE_SQL = {
+    "op3_quality_rules": OP3_SQL,
     "op5_benchmark_decontamination": OP5_SQL,
     "op6_mix_sources": OP6_SQL,
 }
