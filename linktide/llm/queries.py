@@ -5,6 +5,7 @@ from __future__ import annotations
 from linktide.llm.decontaminate import OP5_SQL, op5_benchmark_decontamination
 from linktide.llm.mixing import OP6_SQL, op6_mix_sources
 from linktide.llm.near_dedup import op8_minhash_near_dedup
+from linktide.llm.pii import op7_personal_data
 from linktide.llm.quality import op1_quality_classifier
 from linktide.llm.rules import OP3_SQL, op3_quality_rules
 from linktide.llm.secrets import op10_secret_scan
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_mix_sources": op6_mix_sources,
+    "op7_personal_data": op7_personal_data,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_secret_scan": op10_secret_scan,
 }
