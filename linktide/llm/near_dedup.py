@@ -303,5 +303,20 @@ def _class_sets(texts: DataFrame, words: int) -> DataFrame:
     return texts.mapInArrow(run, "set_id binary, shingles binary")
 
 
+def drop_near_duplicates(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
+    """``docs`` with one document of each near-duplicate group, all columns kept.
+
+    The one with the least doc_id stays; rows that repeat it in doc_id and text are one
+    document. Texts without words stay. So do rows without a doc_id, as they can't be
+    named.
+    """
+    kept = near_duplicates(docs, scratch, **options).where("kept").groupBy("doc_id").count()
+    kept, seen = scratch.save(kept, "kept", {"most": F.max("count")})
+    found = docs.join(kept.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    if (seen["most"] or 0) > 1:
+        found = found.dropDuplicates(["doc_id", "text"])
+    return found.union(docs.where("doc_id is null"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark), words=4)

@@ -259,6 +259,16 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
+def _trained(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> tuple[Model | None, DataFrame]:
+    """The model (None for an empty table) and the stored features of all documents."""
+    trusted = labels.where("quality = 1").select(F.col("doc_id").cast("long")).distinct()
+    features = feature_table(docs).withColumn("held_out", held_out())
+    trusted = trusted.where(~held_out()).withColumn("trusted", F.lit(True))
+    rows = features.join(trusted, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
+    rows, seen = scratch.save(rows, "features", {"n": F.count(F.lit(1))})
+    return fit(rows) if seen["n"] else None, rows
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
     """``(doc_id, held_out, score)``, one row per row of ``docs``.
 
@@ -269,14 +279,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> Data
     several labels is trusted if one is 1. A null doc_id has no label and is not held
     out. An empty table gives an empty result; other columns are ignored.
     """
-    trusted = labels.where("quality = 1").select(F.col("doc_id").cast("long")).distinct()
-    features = feature_table(docs).withColumn("held_out", held_out())
-    trusted = trusted.where(~held_out()).withColumn("trusted", F.lit(True))
-    rows = features.join(trusted, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
-    rows, seen = scratch.save(rows, "features", {"n": F.count(F.lit(1))})
-    if not seen["n"]:
+    model, rows = _trained(docs, labels, scratch)
+    if model is None:
         return rows.select("doc_id", "held_out", F.lit(0.5).alias("score"))
-    model = fit(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,6 +294,27 @@ def quality_scores(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> Data
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double")
 
 
+def keep_good(
+    docs: DataFrame, labels: DataFrame, scratch: Scratch, threshold: float = THRESHOLD
+) -> DataFrame:
+    """The rows of ``docs`` that score ``threshold`` or more, with all columns.
+
+    Texts are scored again where they are, so that only features are stored and no text
+    is moved to be filtered.
+    """
+    model, _ = _trained(docs, labels, scratch)
+    if model is None:
+        return docs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, offsets in text_blocks(batches, "text"):
+            found = [text_features(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            scores = model.scores(np.array(found, np.float32).astype(np.float64))
+            yield rows.filter(pa.array(scores >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scores = quality_scores(docs, labels, Scratch(spark))
