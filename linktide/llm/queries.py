@@ -9,12 +9,14 @@ from linktide.llm.pii import op7_personal_data
 from linktide.llm.quality import op1_quality_classifier
 from linktide.llm.rules import OP3_SQL, op3_quality_rules
 from linktide.llm.secrets import op10_secret_scan
+from linktide.llm.suffix_dedup import op4_suffix_dedup
 from linktide.llm.token_output import op2_token_files
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_token_files": op2_token_files,
     "op3_quality_rules": op3_quality_rules,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_mix_sources": op6_mix_sources,
     "op7_personal_data": op7_personal_data,
