@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linktide.llm.common import mixed, span_hashes, table, text_blocks
@@ -114,20 +114,41 @@ def text_runs(docs: DataFrame, cut: Cut) -> DataFrame:
 _SEGMENT = "key binary, segment_id binary, segment binary, core long, core_size long, low long, high long"
 
 
-def _candidates(texts: DataFrame, wanted: DataFrame, cut: Cut) -> DataFrame:
-    """The wanted runs with their bytes: ``(text_id, copies, at, ...segment)``.
+def _holder() -> Column:
+    """Of equal texts one is read: the one with the least doc_id (null: the least number)."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long"))
 
-    ``wanted(text_id, copies, runs)``. A segment holds all windows of a run; its id is a
-    128-bit digest of its bytes and its anchor's place.
-    """
-    schema = f"text_id binary, copies long, at long, {_SEGMENT}"
 
+def _held_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The columns of ``wanted(text_id, holder, ...)`` with ``data``, the text's bytes.
+
+    Copies of a text differ in the join key, so they don't meet in one task.
+    """
     def identified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, data, offsets in text_blocks(batches, "text"):
+        for rows, data, offsets in text_blocks(batches, "text"):
             raw = data.tobytes()
-            texts = [raw[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True) if b - a >= cut.length]
+            texts = [raw[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             ids = [hashlib.sha256(t).digest() for t in texts]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.array(texts, pa.binary())], ["text_id", "data"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.binary()), rows.column("holder"), pa.array(texts, pa.binary())],
+                ["text_id", "holder", "data"],
+            )
+
+    texts = docs.select(_holder().alias("holder"), "text").mapInArrow(
+        identified, "text_id binary, holder long, data binary"
+    )
+    keys = ["text_id", "holder"]
+    others = [c for c in ["data", *wanted.columns] if c not in keys]
+    return texts.join(wanted, keys).groupBy(keys).agg(*[F.first(c).alias(c) for c in others])
+
+
+def _candidates(docs: DataFrame, wanted: DataFrame, cut: Cut) -> DataFrame:
+    """The wanted runs with their bytes: ``(text_id, copies, at, ...segment)``.
+
+    ``wanted(text_id, holder, copies, runs)``. A segment holds all windows of a run; its id is a
+    128-bit digest of its bytes and its anchor's place.
+    """
+    schema = f"text_id binary, copies long, at long, {_SEGMENT}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,11 +175,7 @@ def _candidates(texts: DataFrame, wanted: DataFrame, cut: Cut) -> DataFrame:
             [pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], _NAMES
         )
 
-    held = texts.select("text").mapInArrow(identified, "text_id binary, data binary")
-    held = held.join(wanted, "text_id").groupBy("text_id").agg(
-        F.first("data").alias("data"), F.first("copies").alias("copies"), F.first("runs").alias("runs")
-    )
-    return held.mapInArrow(run, schema)
+    return _held_texts(docs, wanted).mapInArrow(run, schema)
 
 
 _NAMES = ["text_id", "copies", "at", "key", "segment_id", "segment", "core", "core_size", "low", "high"]
@@ -330,16 +347,17 @@ def repeated_spans(
     rows, _ = scratch.save(text_runs(docs, cut), "runs")
     lists = ["lows", "highs", "anchors", "keys"]
     texts = rows.where(F.size("keys") > 0).groupBy("text_id").agg(
-        F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in lists]
+        F.count(F.lit(1)).alias("copies"), F.min(_holder()).alias("holder"),
+        *[F.first(c).alias(c) for c in lists],
     )
     zipped = F.arrays_zip(*[F.col(c) for c in lists])
-    runs = texts.select("text_id", "copies", F.explode(zipped).alias("r")).select(
-        "text_id", "copies", F.col("r.lows").alias("low"), F.col("r.highs").alias("high"),
+    runs = texts.select("text_id", "holder", "copies", F.explode(zipped).alias("r")).select(
+        "text_id", "holder", "copies", F.col("r.lows").alias("low"), F.col("r.highs").alias("high"),
         F.col("r.anchors").alias("anchor"), F.col("r.keys").alias("key"),
     )
     runs, _ = scratch.save(runs, "keys")
     often = runs.groupBy("key").agg(F.sum("copies").alias("n")).where("n > 1").select("key")
-    wanted = runs.join(often, "key").groupBy("text_id", "copies").agg(
+    wanted = runs.join(often, "key").groupBy("text_id", "holder", "copies").agg(
         F.sort_array(F.collect_list(F.struct("low", "high", "anchor", "key"))).alias("runs")
     )
     held, _ = scratch.save(_candidates(docs, wanted, cut), "segments")
@@ -384,16 +402,11 @@ def repeated_spans(
     return rows.select("doc_id", "text_id", "n_bytes", "sha256"), scratch.save(merged, "spans")[0]
 
 
-def cut_texts(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``(text_id, kept)``: what is left, as bytes, of the texts that have spans."""
-
-    def identified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, data, offsets in text_blocks(batches, "text"):
-            raw = data.tobytes()
-            texts = [raw[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            ids = [hashlib.sha256(t).digest() for t in texts]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.array(texts, pa.binary())], ["text_id", "data"])
+def cut_texts(docs: DataFrame, rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """``(text_id, kept)``: what is left, as bytes, of each distinct text that has spans.
 
+    ``rows`` and ``spans`` as of ``repeated_spans``.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
@@ -402,14 +415,15 @@ def cut_texts(docs: DataFrame, spans: DataFrame) -> DataFrame:
                 kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
             yield pa.RecordBatch.from_arrays([batch.column("text_id"), pa.array(kept, pa.binary())], ["text_id", "kept"])
 
-    texts = docs.select("text").mapInArrow(identified, "text_id binary, data binary")
-    return texts.join(spans, "text_id").mapInArrow(run, "text_id binary, kept binary")
+    holders = rows.groupBy("text_id").agg(F.min(_holder()).alias("holder"))
+    wanted = spans.join(holders, "text_id").select("text_id", "holder", "spans")
+    return _held_texts(docs, wanted).mapInArrow(run, "text_id binary, kept binary")
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows, spans = repeated_spans(docs, Scratch(spark))
-    digests = cut_texts(docs, spans).select("text_id", F.sha2("kept", 256).alias("kept_sha256")).distinct()
+    digests = cut_texts(docs, rows, spans).select("text_id", F.sha2("kept", 256).alias("kept_sha256"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
     found = spans.select("text_id", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"))
     found = found.join(digests, "text_id")
