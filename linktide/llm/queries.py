@@ -10,6 +10,7 @@ from linktide.llm.quality import op1_quality_classifier
 from linktide.llm.rules import OP3_SQL, op3_quality_rules
 from linktide.llm.secrets import op10_secret_scan
 from linktide.llm.suffix_dedup import op4_suffix_dedup
+from linktide.llm.token_counts import op9_token_counts
 from linktide.llm.token_output import op2_token_files
 
 QUERIES = {
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_mix_sources": op6_mix_sources,
     "op7_personal_data": op7_personal_data,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_token_counts": op9_token_counts,
     "op10_secret_scan": op10_secret_scan,
 }
 
