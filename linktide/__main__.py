@@ -10,7 +10,7 @@ import logging
 
 from pyspark.sql import SparkSession
 
-from linktide.operators.rank import DAMPING, ROUNDS, SNAPSHOTS
+from linktide.operators.rank import DAMPING, ROUNDS
 from linktide.plans.rank_dump import rank_dump
 
 
@@ -20,9 +20,9 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("output", help="folder for the results")
     parser.add_argument("--iterations", type=int, default=ROUNDS)
     parser.add_argument("--damping", type=float, default=DAMPING)
-    parser.add_argument("--snapshots", type=int, nargs="+", default=list(SNAPSHOTS))
+    parser.add_argument("--snapshots", type=int, nargs="+")
     parser.add_argument("--format", choices=("text", "parquet"), default="text")
-    parser.add_argument("--single-file", action="store_true")
+    parser.add_argument("--replace", action="store_true", help="remove results that are there")
     options = parser.parse_args(arguments)
     logging.basicConfig(level=logging.WARNING)
     logging.getLogger("linktide").setLevel(logging.INFO)
@@ -34,7 +34,7 @@ def main(arguments: list[str] | None = None) -> None:
         damping=options.damping,
         snapshots=options.snapshots,
         output_format=options.format,
-        single_file=options.single_file,
+        replace=options.replace,
     )
     print(f"pages: {report.n_pages}, links: {report.n_links}")
     print(f"blocks: {report.n_blocks}, corrupt: {report.n_corrupt}, untitled: {report.n_untitled}")

@@ -16,6 +16,8 @@ from linktide.functions import (
 _PAGE_FIELDS = (
     "title string, text string, revision array<struct<text: string>>, _corrupt_record string"
 )
+# What ``read_records`` says of a block besides its text.
+RECORD_COLUMNS = ("record", "at_file_start", "record_file", "closed")
 _XML_OPTIONS = {
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": "_corrupt_record",
@@ -24,7 +26,8 @@ _XML_OPTIONS = {
 
 
 def parse_pages(blocks: DataFrame) -> DataFrame:
-    """``(title, texts, is_corrupt)`` per block; the title is normalised.
+    """``(title, texts, is_corrupt)`` per block, and where a block is from if ``blocks``
+    are records (``RECORD_COLUMNS``); the title is normalised.
 
     Each block is parsed on its own, so a malformed one costs only its own links:
     its title is read from the title element alone.
@@ -32,8 +35,9 @@ def parse_pages(blocks: DataFrame) -> DataFrame:
     title_element = F.regexp_extract("block", r"(<title[^>]*>[^<]*</title>)", 1)
     title_only = F.concat(F.lit("<page>"), title_element, F.lit("</page>"))
     # The explode of one element keeps the optimizer from parsing once per use of a field.
+    others = [c for c in RECORD_COLUMNS if c in blocks.columns]
     parsed = blocks.select(
-        "block", F.explode(F.array(F.from_xml("block", _PAGE_FIELDS, _XML_OPTIONS))).alias("page")
+        "block", *others, F.explode(F.array(F.from_xml("block", _PAGE_FIELDS, _XML_OPTIONS))).alias("page")
     )
     is_corrupt = F.col("page._corrupt_record").isNotNull()
     rescued = F.from_xml(title_only, _PAGE_FIELDS, _XML_OPTIONS)["title"]
@@ -43,11 +47,12 @@ def parse_pages(blocks: DataFrame) -> DataFrame:
         normalise_title(F.when(is_corrupt, rescued).otherwise(F.col("page.title"))).alias("title"),
         F.when(is_corrupt, F.array().cast("array<string>")).otherwise(texts).alias("texts"),
         is_corrupt.alias("is_corrupt"),
+        *others,
     )
 
 
-def has_title():
-    return F.coalesce(F.col("title") != "", F.lit(False))
+def has_title(column: str = "title"):
+    return F.coalesce(F.col(column) != "", F.lit(False))
 
 
 def ranked_titles(pages: DataFrame) -> DataFrame:
@@ -72,14 +77,17 @@ def filter_links(raw: DataFrame) -> DataFrame:
     return kept.select("src", link_target(F.col("raw")).alias("dst"))
 
 
-def page_targets(pages: DataFrame) -> DataFrame:
-    """``(id, targets)`` per page: the links of ``filter_links``, distinct in the page.
+def page_targets(pages: DataFrame, keep: bool = False) -> DataFrame:
+    """``(id, targets)`` per page: the links of ``filter_links``, distinct in the page;
+    with ``keep`` also what the parse says of the block.
 
     One narrow row per page, so that nodes and links come from a single parse.
     """
+    others = [c for c in (*RECORD_COLUMNS, "is_corrupt") if keep and c in pages.columns]
     raws = F.flatten(F.transform("texts", raw_links))
     kept = F.filter(raws, lambda raw: keeps_link(raw, F.col("title")))
     return pages.select(
         F.col("title").alias("id"),
         F.array_distinct(F.transform(kept, link_target)).alias("targets"),
+        *others,
     )

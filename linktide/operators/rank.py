@@ -23,17 +23,14 @@ from linktide.scratch import Scratch, shuffle_partitions
 
 log = logging.getLogger(__name__)
 
-# The rounds of a run, the damping, the rank of a page before the first round,
-# and the rounds whose ranking is kept.
+# The rounds of a run, the damping, the rank of a page before the first round.
 ROUNDS = 8
 DAMPING = 0.85
 INITIAL_RANK = 1.0
-SNAPSHOTS = (1, 8)
 
 # Sizes: a bucket of 8 million edges is about 130 MB of keys.
 ROWS_PER_BUCKET = 8_000_000
 SMALLEST_BUCKET = 20_000
-MAX_BUCKETS = 20_000
 
 
 @dataclass(frozen=True)
@@ -72,7 +69,7 @@ class Ranking:
 def bucket_count(spark: SparkSession, rows: int) -> int:
     """Buckets grow with the data; small graphs get no more than there are cores."""
     for_cores = min(spark.sparkContext.defaultParallelism, -(-rows // SMALLEST_BUCKET))
-    return min(MAX_BUCKETS, max(1, for_cores, -(-rows // ROWS_PER_BUCKET)))
+    return max(1, for_cores, -(-rows // ROWS_PER_BUCKET))
 
 
 def prepare_ranking(
@@ -205,18 +202,17 @@ def rank_graph(
     *,
     iterations: int = ROUNDS,
     damping: float = DAMPING,
-    snapshots: Iterable[int] = SNAPSHOTS,
+    snapshots: Iterable[int] | None = None,
     start: DataFrame | None = None,
 ) -> Ranking:
-    """Run the rounds; keep the states of the rounds named in ``snapshots``.
+    """Run the rounds; keep the states of the rounds named in ``snapshots`` (the first and
+    the last one unless given). Other states go once the next one is written.
 
     ``start`` holds ranks ``(id, rank)`` to go on from; every page starts at 1 without.
     """
     if isinstance(graph, Graph):
         graph = prepare_ranking(graph, scratch)
-    snapshots = set(snapshots)
-    if not snapshots <= set(range(iterations + 1)):
-        raise ValueError(f"snapshots {sorted(snapshots)} outside rounds 0 to {iterations}")
+    snapshots = checked_snapshots({1, iterations} if snapshots is None else snapshots, iterations)
     state = initial_state(graph)
     if graph.n_nodes == 0:
         return Ranking(graph, dict.fromkeys(snapshots, state))
@@ -241,9 +237,18 @@ def rank_graph(
             _check_mass(number, mass["total_mass"], graph.n_nodes)
             log.info("round %d: entering sink mass %r", number, metric_rows[-1][2])
             states[number] = state
+            if number - 1 not in snapshots:
+                scratch.drop_bucketed(states.pop(number - 1))
     return Ranking(graph, {n: states[n] for n in snapshots}, metric_rows)
 
 
+def checked_snapshots(snapshots: Iterable[int], iterations: int) -> set[int]:
+    snapshots = set(snapshots)
+    if not snapshots <= set(range(iterations + 1)):
+        raise ValueError(f"snapshots {sorted(snapshots)} outside rounds 0 to {iterations}")
+    return snapshots
+
+
 def _check_mass(number: int, total_mass: float, n_nodes: int) -> None:
     """Every round keeps the total mass at the number of pages."""
     if abs(total_mass - n_nodes) > 1e-9 * n_nodes:

@@ -1,28 +1,40 @@
 """Hot keys: found by an exact pre-aggregated count, then kept out of the shuffles.
 
 A key is hot when it holds more than ``max(floor, total / MAX_HOT_KEYS)`` rows, so
-there are fewer than MAX_HOT_KEYS of them however large the input is. With the
-limit on key length this bounds what is broadcast to about 50 MB.
+there are fewer than MAX_HOT_KEYS of them however large the input is. They are carried
+by hashes of fixed size, whatever their length, which bounds what is broadcast to about
+20 MB.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linktide.scratch import Scratch
 
 HOT_ROWS = 200_000
 MAX_HOT_KEYS = 200_000
-MAX_HOT_KEY_BYTES = 256
+_HASHES = ("hot_hash_1", "hot_hash_2")
 
 
 def hot_threshold(total: int, floor: int = HOT_ROWS) -> int:
     return max(floor, -(-total // MAX_HOT_KEYS))
 
 
+def _hashed(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with two 64-bit hashes of the key."""
+    named = F.col(key)
+    return df.withColumns({h: F.xxhash64(F.lit(h), named) for h in _HASHES})
+
+
+def _digest(key: str) -> Column:
+    """32 bytes that stand for a key of any length."""
+    return F.unhex(F.sha2(F.col(key).cast("string").cast("binary"), 256))
+
+
 def hot_keys(
     df: DataFrame,
     key: str,
@@ -31,7 +43,7 @@ def hot_keys(
     floor: int = HOT_ROWS,
     counted: DataFrame | None = None,
 ) -> DataFrame | None:
-    """``(key, n_parts)`` of the hot keys; None if there are none.
+    """``(hot_hash_1, hot_hash_2, n_parts)`` of the hot keys; None if there are none.
 
     ``total`` is the row count of ``df`` or a number above it, ``counted`` the rows per
     key (``key``, ``n_rows``) where they are known already. ``n_parts`` is how many
@@ -42,9 +54,9 @@ def hot_keys(
         return None
     if counted is None:
         counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
-    hot = counted.where(
-        (F.col("n_rows") > threshold) & (F.octet_length(key) <= MAX_HOT_KEY_BYTES)
-    ).select(key, F.ceil(F.col("n_rows") / threshold).alias("n_parts"))
+    hot = _hashed(counted.where(F.col("n_rows") > threshold), key)
+    parts = F.max(F.ceil(F.col("n_rows") / threshold)).alias("n_parts")
+    hot = hot.groupBy(*_HASHES).agg(parts)
     stored, seen = scratch.save(hot, f"hot_{key}", {"n": F.count(F.lit(1))})
     return stored if seen["n"] else None
 
@@ -72,12 +84,14 @@ def semi_join(
     if hot is None:
         sides = [df.join(probed, key, "left_semi")]
     else:
-        hot = hot.select(key)
-        hot_wanted = wanted.join(F.broadcast(hot), key, "left_semi")
-        cold_rows = df.join(F.broadcast(hot), key, "left_anti")
+        hot = F.broadcast(hot.select(*_HASHES))
+        hot_wanted = _hashed(wanted, key).join(hot, list(_HASHES), "left_semi")
+        hot_wanted = hot_wanted.select(_digest(key).alias("hot_digest"))
+        hashed = _hashed(df, key)
+        hot_rows = hashed.join(hot, list(_HASHES), "left_semi").withColumn("hot_digest", _digest(key))
         sides = [
-            cold_rows.join(probed, key, "left_semi"),
-            df.join(F.broadcast(hot_wanted), key, "left_semi"),
+            hashed.join(hot, list(_HASHES), "left_anti").join(probed, key, "left_semi"),
+            hot_rows.join(F.broadcast(hot_wanted), "hot_digest", "left_semi"),
         ]
     sides = [side.select(df.columns) for side in sides]
     if distinct:
@@ -99,6 +113,6 @@ def with_parts(
     if hot is None:
         return df.withColumn("part", F.lit(0).cast("long"))
     part = F.coalesce(F.pmod(F.xxhash64(spread), F.col("n_parts")), F.lit(0))
-    return df.join(F.broadcast(hot), key, "left").select(
+    return _hashed(df, key).join(F.broadcast(hot), list(_HASHES), "left").select(
         *df.columns, part.cast("long").alias("part")
     )

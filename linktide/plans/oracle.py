@@ -2,25 +2,26 @@
 
 from __future__ import annotations
 
-from linktide.operators.rank import DAMPING, ROUNDS
+# Fixed values, stated here again so that the oracle does not follow the engine.
+DAMPING = 0.85
+ROUNDS = 8
 
 _GRAPH = """
 nodes as (
   select 'C' || c_custkey as id from customer where c_acctbal > 0
   union all
   select 'S' || s_suppkey from supplier
+  union all
+  select 'P' || p_partkey from part
 ),
 raw_links as (
-  select distinct 'C' || o_custkey as src, 'S' || l_suppkey as dst
-  from lineitem join orders on l_orderkey = o_orderkey
-  where l_returnflag = 'R' and l_quantity > 40
-  union all
-  select distinct 'S' || l_suppkey, 'C' || o_custkey
+  select case when l_returnflag = 'A' then 'S' || l_suppkey else 'C' || o_custkey end as src,
+    case when l_returnflag = 'A' then 'C' || o_custkey
+         when l_returnflag = 'R' then 'S' || l_suppkey else 'P' || l_partkey end as dst
   from lineitem join orders on l_orderkey = o_orderkey
-  where l_returnflag = 'A' and l_quantity > 48
 ),
 page_links as (select * from raw_links where src in (select id from nodes)),
-edges as (select * from page_links where dst in (select id from nodes)),
+edges as (select distinct * from page_links where dst in (select id from nodes)),
 degrees as (select src, count(*) as out_degree from edges group by src)
 """
 
@@ -91,7 +92,33 @@ _OUTLINKS = (
     "from nodes left join edges on id = src group by id"
 )
 
+_WIKI_OUTLINKS = (
+    f"select {_WIKI_ID.format('id')} as key, "
+    f"coalesce(string_agg({_WIKI_ID.format('dst')}, ' ' order by dst), '') as value "
+    "from nodes left join edges on id = src group by id"
+)
+_MALFORMED = (
+    "select 'S' || s_suppkey || chr(9) || 'none S1' as value from supplier where s_suppkey % 3 = 0"
+)
+_CORRUPT = (
+    "select 'P_' || p_partkey as title, p_partkey % 3 = 2 as is_corrupt, "
+    "cast([1, 2, 0][1 + p_partkey % 3] as bigint) as n_links from part"
+)
+
 ORACLE_SQL = {
+    "block_scan_parts": _BLOCKS,
+    "corrupt_pages": _CORRUPT,
+    "malformed_lines": _MALFORMED,
+    "red_link_filter_hot": _with_graph("select src, dst from edges"),
+    "ranking_hubs": _ranks(8, "select id, round(rank, 6) as rank from state_8"),
+    "dump_ranking_1": _ranks(
+        1, f"select {_WIKI_ID.format('id')} as id, round(rank, 6) as rank from state_1"
+    ),
+    "dump_outlinks": _with_graph(_WIKI_OUTLINKS),
+    "dump_totals": _ranks(
+        ROUNDS - 1,
+        f"select iteration, total_mass, sink_mass, (select 'N=' || count(*) from nodes) as line from ({_MASSES})",
+    ),
     "block_scan": _BLOCKS,
     "block_scan_gzip": _BLOCKS,
     "block_scan_bzip2": _BLOCKS,

@@ -9,7 +9,7 @@ from linktide.operators import graph as g
 from linktide.operators import pages as p
 from linktide.operators import rank as r
 from linktide.plans.rank_dump import PAGE_END, PAGE_START, dump_graph, rank_dump
-from linktide.scratch import Scratch
+from linktide.scratch import Scratch, settings
 from linktide.sinks import (
     count_line,
     numbered,
@@ -17,7 +17,14 @@ from linktide.sinks import (
     write_adjacency,
     write_ranked_pages,
 )
-from linktide.sources import read_adjacency, read_blocks, read_key_values, read_ranked_pages
+from linktide.sources import (
+    malformed_ranked_pages,
+    read_adjacency,
+    read_blocks,
+    read_key_values,
+    read_ranked_pages,
+    read_records,
+)
 from linktide.testgraphs import trade_blocks, trade_graph, trade_links, trade_nodes, write_dump
 
 # The returned DataFrames read scratch tables, so the queries leave them in place.
@@ -57,6 +64,51 @@ def block_scan_bzip2(spark, sf_dir):
     return _dump_blocks(spark, sf_dir, "bzip2").agg(F.count(F.lit(1)).alias("n_blocks"))
 
 
+def block_scan_parts(spark, sf_dir):
+    """Blocks of files that start inside a page and end in another, with small splits."""
+    scratch = Scratch(spark)
+    blocks = trade_blocks(spark, sf_dir, scratch).select(F.lit(1).alias("place"), "block")
+    tail = '<page id="0"><title>X</title></page> the end of a page</text></revision></page>'
+    edges = [(0, tail), (2, "<page><title>cut off</title><text>[[S 1]]")]
+    ends = spark.createDataFrame(edges, "place int, block string")
+    files = F.explode(F.sequence(F.lit(0), F.lit(3)))
+    parted = blocks.withColumn("file", F.pmod(F.xxhash64("block"), F.lit(4)).cast("int")).union(
+        ends.withColumn("file", files)
+    )
+    path = scratch.path("parts")
+    dealt = parted.repartition(4, "file").sortWithinPartitions("file", "place")
+    dealt.select("file", F.col("block").alias("value")).write.partitionBy("file").text(path)
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": 50_000}):
+        found = read_blocks(spark, f"{path}/file=*", PAGE_START, PAGE_END)
+        counted, _ = scratch.save(found.agg(F.count(F.lit(1)).alias("n_blocks")), "counted")
+    return counted
+
+
+def corrupt_pages(spark, sf_dir):
+    """Pages with an entity, a CDATA section or a broken element, in turn by part."""
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("k"))
+    kind = F.pmod("k", F.lit(3))
+    text = (
+        F.when(kind == 0, F.lit("a &amp; [[S 1]]"))
+        .when(kind == 1, F.lit("<![CDATA[<b> [[S 2]] & [[S 3]]]]>"))
+        .otherwise(F.lit("[[S 4]] <b>broken"))
+    )
+    block = F.concat(F.lit("<page><title>P "), "k", F.lit("</title><text>"), text, F.lit("</text></page>"))
+    pages = p.parse_pages(parts.select(block.alias("block")))
+    n_links = F.aggregate("texts", F.lit(0), lambda a, t: a + F.regexp_count(t, F.lit(r"\[\[")))
+    return pages.select("title", "is_corrupt", n_links.cast("long").alias("n_links"))
+
+
+def malformed_lines(spark, sf_dir):
+    """Ranked-page lines of suppliers, every third without a rank."""
+    scratch = Scratch(spark)
+    path = scratch.path("lines")
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("k"))
+    rank = F.when(F.pmod("k", F.lit(3)) == 0, "none").otherwise("1.5")
+    suppliers.select(F.concat(F.lit("S"), "k", F.lit("\t"), rank, F.lit(" S1"))).write.text(path)
+    return malformed_ranked_pages(spark, path)
+
+
 def parse_pages(spark, sf_dir):
     return _pages(spark, sf_dir).select("title", F.size("texts").alias("n_texts"))
 
@@ -79,6 +131,19 @@ def red_link_filter(spark, sf_dir):
     return g.clean_graph(nodes, links, Scratch(spark)).edges
 
 
+def red_link_filter_hot(spark, sf_dir):
+    """As ``red_link_filter``, with targets of more than 20 links taken as hot."""
+    nodes, links = trade_nodes(spark, sf_dir), trade_links(spark, sf_dir)
+    return g.clean_graph(nodes, links, Scratch(spark), hot_rows=20).edges
+
+
+def ranking_hubs(spark, sf_dir):
+    """As ``rank_round_8``, with pages of more than 20 outlinks taken as hubs."""
+    scratch = Scratch(spark)
+    graph = r.prepare_ranking(trade_graph(spark, sf_dir, scratch), scratch, hub_rows=20)
+    return _rounded(r.rank_graph(graph, scratch).ranks(8))
+
+
 def inlink_lists(spark, sf_dir):
     scratch = Scratch(spark)
     lists = g.inlink_lists(trade_graph(spark, sf_dir, scratch), scratch)
@@ -197,17 +262,44 @@ def initial_page_lines(spark, sf_dir):
     return pages.select("id", "rank", F.array_join("outlinks", " ").alias("outlinks"))
 
 
-def dump_ranking(spark, sf_dir):
-    """Dump in, ranking out: the one-call run, its result read back from text."""
+def _dump_results(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of a one-call run on the rendered dump."""
     scratch = Scratch(spark)
     dump, out = scratch.path("dump"), scratch.path("results")
     write_dump(trade_blocks(spark, sf_dir, scratch), dump)
     rank_dump(spark, dump, out)
-    return _rounded(
-        read_key_values(spark, f"{out}/ranking_{r.ROUNDS}").select(
-            F.col("key").alias("id"), F.col("value").cast("double").alias("rank")
-        )
+    return out
+
+
+def _read_ranking(spark: SparkSession, path: str) -> DataFrame:
+    value = F.col("value").cast("double").alias("rank")
+    return _rounded(read_key_values(spark, path).select(F.col("key").alias("id"), value))
+
+
+def dump_ranking(spark, sf_dir):
+    """Dump in, ranking out: the one-call run, its result read back from text."""
+    return _read_ranking(spark, f"{_dump_results(spark, sf_dir)}/ranking_8")
+
+
+def dump_ranking_1(spark, sf_dir):
+    return _read_ranking(spark, f"{_dump_results(spark, sf_dir)}/ranking_1")
+
+
+def dump_outlinks(spark, sf_dir):
+    return read_key_values(spark, f"{_dump_results(spark, sf_dir)}/outlinks")
+
+
+def dump_totals(spark, sf_dir):
+    """The page count and the masses of a one-call run, as read back."""
+    out = _dump_results(spark, sf_dir)
+    masses = read_key_values(spark, f"{out}/masses").select(
+        F.col("key").cast("int").alias("iteration"),
+        *[
+            F.round(F.split("value", " ")[k].cast("double"), 6).alias(name)
+            for k, name in enumerate(("total_mass", "sink_mass"))
+        ],
     )
+    return masses.withColumn("line", F.lit(spark.read.text(f"{out}/n").first().value))
 
 
 QUERIES = {
@@ -216,11 +308,16 @@ QUERIES = {
         block_scan,
         block_scan_gzip,
         block_scan_bzip2,
+        block_scan_parts,
+        corrupt_pages,
+        malformed_lines,
         parse_pages,
         extract_links,
         filter_links,
         dump_edges,
         red_link_filter,
+        red_link_filter_hot,
+        ranking_hubs,
         inlink_lists,
         outlink_lists,
         page_count,
@@ -237,5 +334,8 @@ QUERIES = {
         initial_page_lines,
         resumed_ranking,
         dump_ranking,
+        dump_ranking_1,
+        dump_outlinks,
+        dump_totals,
     )
 } | {"ranking": ordered_ranking}

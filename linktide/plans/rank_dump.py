@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linktide.functions import is_subpage
 from linktide.operators.graph import Graph, clean_graph, outlink_lists, page_links, page_nodes
-from linktide.operators.pages import has_title, page_targets, parse_pages, ranked_titles
-from linktide.operators.rank import DAMPING, ROUNDS, SNAPSHOTS, Ranking, rank_graph
+from linktide.operators.pages import has_title, page_targets, parse_pages
+from linktide.operators.rank import DAMPING, ROUNDS, Ranking, checked_snapshots, rank_graph
 from linktide.scratch import Scratch, shuffle_partitions, string_partitions
 from linktide.sinks import (
     ranking,
@@ -20,7 +22,7 @@ from linktide.sinks import (
     write_key_values,
     write_ranking,
 )
-from linktide.sources import read_blocks
+from linktide.sources import drop_file_heads, file_heads, read_records
 
 log = logging.getLogger(__name__)
 
@@ -28,6 +30,12 @@ log = logging.getLogger(__name__)
 PAGE_START = "<page>"
 PAGE_END = "</page>"
 
+# Files up to which the numbers of their first records (8 bytes each) are broadcast.
+BROADCAST_FILES = 1_000_000
+
+_MARKER = "_SUCCESS"
+_RESULT = re.compile(rf"outlinks|n|masses|ranking_\d+|{_MARKER}")
+
 
 @dataclass(frozen=True)
 class DumpReport:
@@ -40,23 +48,29 @@ class DumpReport:
 
 
 def dump_graph(blocks: DataFrame, scratch: Scratch) -> tuple[Graph, dict]:
-    """The clean link graph of page blocks, and counts of the blocks.
+    """The clean link graph of page blocks or of ``read_records``, and counts of the blocks.
 
     Each block is parsed once: titles and targets are stored narrow, and nodes and
-    links are both read from there. A link's source is a page by construction.
+    links are both read from there. A link's source is a page by construction. Of
+    records, each file's first one is found in what is stored, and left out.
     """
-    seen = Observation()
-    parsed = parse_pages(blocks).observe(
-        seen,
-        F.count(F.lit(1)).alias("n_blocks"),
-        F.count_if("is_corrupt").alias("n_corrupt"),
-        F.count_if(~has_title()).alias("n_untitled"),
-    )
-    targets, written = scratch.save(
-        page_targets(ranked_titles(parsed)),
-        "targets",
+    pages, written = scratch.save(
+        page_targets(parse_pages(blocks), keep=True),
+        "pages",
         {"n_links": F.coalesce(F.sum(F.size("targets")), F.lit(0))},
     )
+    if "record" in pages.columns:
+        heads, found = scratch.save(file_heads(pages), "heads", {"n": F.count(F.lit(1))})
+        if found["n"] <= BROADCAST_FILES:
+            heads = F.broadcast(heads)
+        pages = drop_file_heads(pages, heads).where("closed")
+    titled = has_title("id")
+    counts = pages.agg(
+        F.count(F.lit(1)).alias("n_blocks"),
+        F.count_if("is_corrupt").alias("n_corrupt"),
+        F.count_if(~titled).alias("n_untitled"),
+    ).first()
+    targets = pages.where(titled & ~is_subpage(F.col("id"))).select("id", "targets")
     graph = clean_graph(
         page_nodes(targets),
         page_links(targets),
@@ -64,7 +78,7 @@ def dump_graph(blocks: DataFrame, scratch: Scratch) -> tuple[Graph, dict]:
         max_links=written["n_links"],
         sources_are_nodes=True,
     )
-    return graph, seen.get
+    return graph, counts.asDict()
 
 
 def rank_dump(
@@ -74,39 +88,69 @@ def rank_dump(
     *,
     iterations: int = ROUNDS,
     damping: float = DAMPING,
-    snapshots: Iterable[int] = SNAPSHOTS,
+    snapshots: Iterable[int] | None = None,
     output_format: str = "text",
-    single_file: bool = False,
+    replace: bool = False,
 ) -> DumpReport:
     """Rank the pages of a dump and write the results below ``output_path``.
 
-    Writes ``outlinks``, ``n``, ``masses`` and one ``ranking_<round>`` per snapshot,
-    replacing just these. ``output_format`` is ``text`` (ids must be free of
-    whitespace) or ``parquet``.
+    Writes ``outlinks``, ``n``, ``masses`` and one ``ranking_<round>`` per snapshot (the
+    first and the last round unless given), then an empty file ``_SUCCESS``: results
+    without it are of a run that failed. Results that are there already are refused, or
+    removed first with ``replace``; nothing else below ``output_path`` is touched.
+    ``output_format`` is ``text`` (ids must be free of whitespace) or ``parquet``.
     """
     if output_format not in ("text", "parquet"):
         raise ValueError(f"output_format {output_format!r} is neither text nor parquet")
+    if iterations < 1:
+        raise ValueError(f"iterations is {iterations}, at least 1 is needed")
+    if not 0 <= damping <= 1:
+        raise ValueError(f"damping is {damping}, not between 0 and 1")
+    snapshots = checked_snapshots({1, iterations} if snapshots is None else snapshots, iterations)
+    out = output_path.rstrip("/")
+    _clear_results(spark, out, replace)
     with Scratch(spark) as scratch:
-        blocks = read_blocks(spark, input_path, PAGE_START, PAGE_END)
-        graph, counts = dump_graph(blocks, scratch)
+        records = read_records(spark, input_path, PAGE_START, PAGE_END)
+        graph, counts = dump_graph(records, scratch)
         log.info("total pages: %d", graph.n_nodes)
         ranked = rank_graph(
             graph, scratch, iterations=iterations, damping=damping, snapshots=snapshots
         )
         write = _write_text if output_format == "text" else _write_parquet
         with shuffle_partitions(spark, string_partitions(spark, graph.n_nodes + graph.n_edges)):
-            write(spark, graph, ranked, scratch, output_path.rstrip("/"), single_file)
+            write(spark, graph, ranked, scratch, out)
+        system, path = _file_system(spark, f"{out}/{_MARKER}")
+        system.create(path).close()
         return DumpReport(
             **counts, n_pages=graph.n_nodes, n_links=graph.n_edges, masses=ranked.metric_rows
         )
 
 
+def _file_system(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()), path
+
+
+def _clear_results(spark: SparkSession, out: str, replace: bool) -> None:
+    """Results of another run must not stand beside those of this one."""
+    system, path = _file_system(spark, out)
+    if not system.exists(path):
+        return
+    entries = {status.getPath().getName(): status.getPath() for status in system.listStatus(path)}
+    found = sorted(name for name in entries if _RESULT.fullmatch(name))
+    if found and not replace:
+        raise FileExistsError(f"{out} holds results: {', '.join(found)}")
+    for name in found:
+        system.delete(entries[name], True)
+
+
 def _outlinks(graph: Graph, ranked: Ranking, scratch: Scratch) -> DataFrame:
     degrees = ranked.graph.vertices.select(F.col("name").alias("src"), "out_degree")
     return outlink_lists(graph, scratch, degrees=degrees)
 
 
-def _write_text(spark, graph: Graph, ranked: Ranking, scratch, out: str, single_file: bool):
+def _write_text(spark, graph: Graph, ranked: Ranking, scratch, out: str):
     write_adjacency(_outlinks(graph, ranked, scratch), "outlinks", f"{out}/outlinks")
     write_count(spark, graph.n_nodes, f"{out}/n")
     masses = ranked.metrics(spark).coalesce(1).selectExpr(
@@ -114,12 +158,10 @@ def _write_text(spark, graph: Graph, ranked: Ranking, scratch, out: str, single_
     )
     write_key_values(masses, f"{out}/masses")
     for number in sorted(ranked.states):
-        write_ranking(ranked.ranks(number), f"{out}/ranking_{number}", single_file)
+        write_ranking(ranked.ranks(number), f"{out}/ranking_{number}")
 
 
-def _write_parquet(spark, graph: Graph, ranked: Ranking, scratch, out: str, single_file: bool):
-    if single_file:
-        raise ValueError("single_file is for text results")
+def _write_parquet(spark, graph: Graph, ranked: Ranking, scratch, out: str):
     tables = {
         "outlinks": _outlinks(graph, ranked, scratch),
         "n": spark.range(1).select(F.lit(graph.n_nodes).alias("n")),

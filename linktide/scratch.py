@@ -15,16 +15,18 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 ROWS_PER_PARTITION = 2_000_000
-MAX_PARTITIONS = 20_000
+# Run tables are in a database of their own: what a killed session leaves is found there.
+DATABASE = "linktide_scratch"
 
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of the session; a machine-local one only in local mode."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     configured = configured or spark.sparkContext.getCheckpointDir()
-    if configured:
+    local = spark.sparkContext.master.startswith("local")
+    if configured and (local or not configured.startswith("file:")):
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="linktide-")
 
@@ -51,7 +53,7 @@ def string_partitions(spark: SparkSession, rows: int) -> int:
     a partition would outgrow a task's memory. Adaptive execution merges small ones.
     """
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(configured, min(MAX_PARTITIONS, -(-rows // ROWS_PER_PARTITION)))
+    return max(configured, -(-rows // ROWS_PER_PARTITION))
 
 
 class Scratch:
@@ -68,8 +70,10 @@ class Scratch:
         self.folder = f"{(root or scratch_root(spark)).rstrip('/')}/linktide-{self.run_id}"
         self._serial = itertools.count()
         self._tables: list[str] = []
+        self._stored: list[tuple[DataFrame, str, str]] = []
         context = spark.sparkContext
-        self._path = context._jvm.org.apache.hadoop.fs.Path(self.folder)
+        self._jvm_path = context._jvm.org.apache.hadoop.fs.Path
+        self._path = self._jvm_path(self.folder)
         self._file_system = self._path.getFileSystem(context._jsc.hadoopConfiguration())
         atexit.register(self.close)
 
@@ -109,8 +113,10 @@ class Scratch:
         table = f"linktide_{self.run_id}_{path.rsplit('/', 1)[1]}"
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
         location = path.replace("'", "\\'")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{DATABASE}`")
+        table = f"{DATABASE}.{table}"
         self.spark.sql(
-            f"CREATE TABLE `{table}` ({columns}) USING parquet "
+            f"CREATE TABLE {table} ({columns}) USING parquet "
             f"CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{location}'"
         )
         self._tables.append(table)
@@ -118,14 +124,26 @@ class Scratch:
         # A task writes few buckets: keeping their files open saves sorting by bucket.
         with settings(self.spark, {"spark.sql.maxConcurrentOutputFileWriters": 8}):
             df.write.insertInto(table)
-        return self.spark.table(f"`{table}`"), seen.get if seen else {}
+        stored = self.spark.table(table)
+        self._stored.append((stored, table, path))
+        return stored, seen.get if seen else {}
+
+    def drop_bucketed(self, df: DataFrame) -> None:
+        """Drop a table that ``save_bucketed`` returned, once nothing reads it any more."""
+        for entry in [e for e in self._stored if e[0] is df]:
+            _, table, path = entry
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            self._tables.remove(table)
+            self._stored.remove(entry)
+            self._file_system.delete(self._jvm_path(path), True)
 
     def close(self) -> None:
         """Drop this run's tables and its own uniquely named folder."""
         atexit.unregister(self.close)
-        if self.spark.sparkContext._jsc is not None:  # the session has not been stopped
-            while self._tables:
-                self.spark.sql(f"DROP TABLE IF EXISTS `{self._tables.pop()}`")
+        if self.spark.sparkContext._jsc is None:  # the session has been stopped
+            return
+        while self._tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._tables.pop()}")
         self._file_system.delete(self._path, True)
 
 

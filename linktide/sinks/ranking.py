@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from linktide.scratch import Scratch
 from linktide.sinks.text import write_key_values
 
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def _order(rank: Column) -> list[Column]:
     # With the id as second key, ties (all pages without inlinks) spread over ranges.
@@ -42,15 +40,7 @@ def numbered(ranked: DataFrame, scratch: Scratch) -> DataFrame:
     )
 
 
-def write_ranking(ranks: DataFrame, path: str, single_file: bool = False) -> None:
-    """Lines ``id TAB rank`` whose part files, in name order, are the ranking.
-
-    ``single_file`` gathers a small ranking in one part and refuses a large one.
-    """
-    if single_file:
-        if ranks.count() > SINGLE_FILE_ROWS:
-            raise ValueError(f"more than {SINGLE_FILE_ROWS} rows: read the ordered part files")
-        ordered = ranks.repartition(1).sortWithinPartitions(*_order(F.col("rank")))
-    else:
-        ordered = ranking(ranks)
+def write_ranking(ranks: DataFrame, path: str) -> None:
+    """Lines ``id TAB rank`` whose part files, in name order, are the ranking."""
+    ordered = ranking(ranks)
     write_key_values(ordered.select(F.col("id").alias("key"), F.col("rank").alias("value")), path)

@@ -26,9 +26,10 @@ def write_adjacency(lists: DataFrame, list_name: str, path: str) -> None:
 
 
 def write_ranked_pages(pages: DataFrame, path: str) -> None:
-    """``pages`` has ``id``, ``rank`` and ``outlinks`` (null means none)."""
+    """``pages`` has ``id``, ``rank`` (a null one fails) and ``outlinks`` (null means none)."""
     head = F.concat(_checked_id(F.col("id")), F.lit("\t"), F.col("rank").cast("string"))
-    line = F.concat_ws(" ", head, _checked_members(F.col("outlinks")))
+    ranked = F.when(F.col("rank").isNull(), F.raise_error(F.concat(F.lit("no rank for "), "id")))
+    line = F.concat_ws(" ", F.coalesce(ranked.cast("string"), head), _checked_members(F.col("outlinks")))
     pages.where(F.col("id").isNotNull()).select(line.alias("value")).write.mode("overwrite").text(
         path
     )

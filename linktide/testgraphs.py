@@ -15,33 +15,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def trade_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(id)``: customers in credit and all suppliers."""
+    """``(id)``: customers in credit, all suppliers and all parts."""
     customers = _table(spark, sf_dir, "customer").where("c_acctbal > 0")
-    suppliers = _table(spark, sf_dir, "supplier")
-    return customers.select(F.concat(F.lit("C"), "c_custkey").alias("id")).union(
-        suppliers.select(F.concat(F.lit("S"), "s_suppkey").alias("id"))
+    suppliers, parts = _table(spark, sf_dir, "supplier"), _table(spark, sf_dir, "part")
+    return (
+        customers.select(F.concat(F.lit("C"), "c_custkey").alias("id"))
+        .union(suppliers.select(F.concat(F.lit("S"), "s_suppkey")))
+        .union(parts.select(F.concat(F.lit("P"), "p_partkey")))
     )
 
 
 def trade_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(src, dst)``, distinct: large returns link customer to supplier, large accepted
-    lines link supplier to customer. Some ends are no nodes. Lines are cut down before
-    they move; an order with very many is split by the adaptive skew join, as the rows
-    are shuffled again for the distinct."""
-    lines = _table(spark, sf_dir, "lineitem").where(
-        "(l_returnflag = 'R' and l_quantity > 40) or (l_returnflag = 'A' and l_quantity > 48)"
-    )
-    orders = _table(spark, sf_dir, "orders")
+    """``(src, dst)``, one per line: a returned one links customer to supplier, an accepted
+    one supplier to customer, any other customer to part. Pairs repeat, and some ends are
+    no nodes. Parts have no outlinks."""
+    lines, orders = _table(spark, sf_dir, "lineitem"), _table(spark, sf_dir, "orders")
     customer = F.concat(F.lit("C"), "o_custkey")
     supplier = F.concat(F.lit("S"), "l_suppkey")
-    returned = F.col("l_returnflag") == "R"
-    return (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .select(
-            F.when(returned, customer).otherwise(supplier).alias("src"),
-            F.when(returned, supplier).otherwise(customer).alias("dst"),
-        )
-        .distinct()
+    part = F.concat(F.lit("P"), "l_partkey")
+    flag = F.col("l_returnflag")
+    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
+        F.when(flag == "A", supplier).otherwise(customer).alias("src"),
+        F.when(flag == "A", customer).when(flag == "R", supplier).otherwise(part).alias("dst"),
     )
 
 

@@ -9,6 +9,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from linktide.scratch import settings
 from linktide.sources import read_blocks
 
 
@@ -104,6 +105,15 @@ def test_text_after_the_block_is_cut(spark, tmp_path):
     assert _blocks(spark, _write(tmp_path, dump)) == [_page("A"), _page("B")]
 
 
+@pytest.mark.parametrize("split_bytes", [1_000, 100_000_000])
+@pytest.mark.parametrize("name, pack", [("d.xml", bytes), ("d.xml.gz", gzip.compress)])
+def test_a_declaration_inside_blocks(spark, tmp_path, split_bytes, name, pack):
+    dump = "".join(f"<record><?xml version='1.0'?>{i}</record>" for i in range(1000))
+    path = _write(tmp_path, pack(dump.encode()), name)
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": split_bytes}):
+        assert read_blocks(spark, path, "<record>", "</record>").count() == 1000
+
+
 def test_no_blocks(spark, tmp_path):
     assert _blocks(spark, _write(tmp_path, "<mediawiki></mediawiki>")) == []
 

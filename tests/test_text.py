@@ -114,21 +114,18 @@ def _expected(ranks):
     return sorted((tuple(r) for r in ranks.collect()), key=lambda r: (-r[1], r[0]))
 
 
-@pytest.mark.parametrize("single_file", [False, True])
-def test_ranking_parts_are_in_order(ranks, tmp_path, single_file):
+def test_ranking_parts_are_in_order(ranks, tmp_path):
     path = tmp_path / "ranking"
-    write_ranking(ranks, str(path), single_file)
+    write_ranking(ranks, str(path))
     parts = sorted(path.glob("part-*"))
     lines = [line for part in parts for line in part.read_text().splitlines()]
     assert [(i, float(r)) for i, r in (x.split("\t") for x in lines)] == _expected(ranks)
-    if single_file:
-        assert len(parts) == 1
 
 
-def test_single_file_refuses_a_large_result(spark, tmp_path):
-    many = spark.range(1_000_001).selectExpr("string(id) as id", "1D as rank")
-    with pytest.raises(ValueError, match="ordered part files"):
-        write_ranking(many, str(tmp_path / "out"), single_file=True)
+def test_a_null_rank_fails(spark, tmp_path):
+    pages = spark.createDataFrame([("a", None, ["b", "c"])], "id string, rank double, outlinks array<string>")
+    with pytest.raises(Exception, match="no rank for a"):
+        write_ranked_pages(pages, str(tmp_path / "out"))
 
 
 def test_positions(ranks, scratch):

@@ -11,7 +11,8 @@ from linktide.__main__ import main
 from linktide.operators import pages as p
 from linktide.operators.graph import inlink_lists
 from linktide.plans.rank_dump import dump_graph
-from linktide.sources import read_blocks, read_key_values
+from linktide.scratch import DATABASE, Scratch, settings
+from linktide.sources import read_blocks, read_key_values, read_records
 
 WIKI_MINI = """<mediawiki xml:lang="en">
   <siteinfo><sitename>Mini</sitename></siteinfo>
@@ -111,10 +112,9 @@ def _lines(spark, path):
     return [line for part in parts for line in part.read_text(encoding="utf-8").splitlines()]
 
 
-@pytest.mark.parametrize("single_file", [False, True])
-def test_whole_run(spark, dump, tmp_path, single_file):
+def test_whole_run(spark, dump, tmp_path):
     out = str(tmp_path / "results")
-    report = rank_dump(spark, dump, out, single_file=single_file)
+    report = rank_dump(spark, dump, out)
     assert (report.n_pages, report.n_links, report.n_corrupt) == (7, 8, 1)
     assert [round(sink, 9) for _, _, sink in report.masses] == SINK_MASSES
     assert all(abs(total - 7) < 1e-12 for _, total, _ in report.masses)
@@ -148,15 +148,18 @@ def test_results_replace_only_their_own_folders(spark, dump, tmp_path):
     out = tmp_path / "results"
     out.mkdir()
     (out / "notes.txt").write_text("mine")
-    for _ in range(2):
-        rank_dump(spark, dump, str(out), iterations=1, snapshots=(1,))
+    rank_dump(spark, dump, str(out), iterations=2)
+    with pytest.raises(FileExistsError, match="ranking_2"):
+        rank_dump(spark, dump, str(out), iterations=1)
+    rank_dump(spark, dump, str(out), iterations=1, replace=True)
     assert (out / "notes.txt").read_text() == "mine"
     assert len(_lines(spark, out / "ranking_1")) == 7
+    assert (out / "_SUCCESS").exists() and not (out / "ranking_2").exists()
 
 
 def test_command_line(spark, dump, tmp_path, capsys):
     out = str(tmp_path / "results")
-    main([dump, dump, out, "--iterations", "2", "--snapshots", "1", "2", "--single-file"])
+    main([dump, dump, out, "--iterations", "2", "--snapshots", "1", "2"])
     printed = capsys.readouterr().out
     assert "pages: 7, links: 8" in printed and "blocks: 16" in printed
     assert "round 2: total mass 7.0" in printed
@@ -168,13 +171,36 @@ def test_bad_arguments(spark, dump, tmp_path):
     with pytest.raises(ValueError, match="output_format"):
         rank_dump(spark, dump, str(tmp_path / "out"), output_format="csv")
     with pytest.raises(ValueError, match="snapshots"):
-        rank_dump(spark, dump, str(tmp_path / "out"), iterations=3)
+        rank_dump(spark, dump, str(tmp_path / "out"), iterations=3, snapshots=(8,))
+    with pytest.raises(ValueError, match="iterations"):
+        rank_dump(spark, dump, str(tmp_path / "out"), iterations=0)
+    assert not (tmp_path / "out").exists()
+
+
+def test_default_snapshots_follow_the_rounds(spark, dump, tmp_path):
+    rank_dump(spark, dump, str(tmp_path / "out"), iterations=5)
+    names = {p.name for p in (tmp_path / "out").iterdir() if not p.name.startswith(".")}
+    assert names == {"outlinks", "n", "masses", "ranking_1", "ranking_5", "_SUCCESS"}
+
+
+@pytest.mark.parametrize("split_bytes", [300, 100_000_000])
+def test_what_stands_before_the_first_start_tag_is_no_page(spark, tmp_path, split_bytes):
+    page = "<page><title>{}</title><revision><text>[[A]] [[X]]</text></revision></page>\n"
+    head = '<page id="1"><title>X</title></page>'
+    (tmp_path / "one.xml").write_text(head + page.format("A") + page.format("B") * 9)
+    (tmp_path / "two.xml").write_text("inside [[B]]</text></page>" + page.format("C") + "<page><title>D")
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": split_bytes}), Scratch(spark) as scratch:
+        records = read_records(spark, str(tmp_path), "<page>", "</page>")
+        graph, counts = dump_graph(records, scratch)
+        assert {r.id for r in graph.nodes.collect()} == {"A", "B", "C"}
+        assert counts == {"n_blocks": 11, "n_corrupt": 0, "n_untitled": 0}
 
 
 def test_scratch_is_removed(spark, dump, tmp_path):
     def leftovers():
         folders = Path(spark.conf.get("spark.checkpoint.dir")).glob("linktide-*")
-        return {f.name for f in folders} | {t.name for t in spark.catalog.listTables()}
+        tables = spark.catalog.listTables(DATABASE) if spark.catalog.databaseExists(DATABASE) else []
+        return {f.name for f in folders} | {t.name for t in tables}
 
     before = leftovers()
     rank_dump(spark, dump, str(tmp_path / "out"), iterations=1, snapshots=(1,))
