@@ -36,6 +36,19 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def plain_names(docs: DataFrame) -> DataFrame:
+    """``docs`` under names that ``mapInArrow`` can resolve; ``toDF`` gives the old ones back."""
+    taken = set(docs.columns)
+    names = []
+    for k, name in enumerate(docs.columns):
+        if "." in name or "`" in name:
+            name = f"column_{k}"
+            while name in taken:
+                name += "_"
+        names.append(name)
+    return docs.toDF(*names)
+
+
 def text_blocks(
     batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:

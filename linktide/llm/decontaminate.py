@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from linktide.llm.automaton import ItemAutomaton
-from linktide.llm.common import table, text_blocks
+from linktide.llm.common import plain_names, table, text_blocks
 
 WINDOW = 10
 # Item words per automaton, which is broadcast: some 100 MB at most.
@@ -85,12 +85,13 @@ def mark_contamination(
         StructField(names.spans, ArrayType(ArrayType(LongType()))),
         StructField(names.items, ArrayType(StringType())),
     ]
+    given, docs = docs.columns, plain_names(docs)
     schema = StructType([*docs.schema.fields, *marks])
     arrow = to_arrow_schema(schema)
     for k, automaton in enumerate(_automata(items, window, block_words)):
         shared = spark.sparkContext.broadcast(automaton)
         docs = docs.mapInArrow(_marker(shared, names, arrow, first=k == 0), schema)
-    return docs, names
+    return docs.toDF(*given, *docs.columns[len(given) :]), names
 
 
 def _marker(shared, names: MarkNames, arrow: pa.Schema, first: bool):
@@ -114,9 +115,7 @@ def _marker(shared, names: MarkNames, arrow: pa.Schema, first: bool):
                     spans, hit = [], 0
                 for column, value in zip(marks, (len(words), hit, spans, sorted(items | set(old_items))), strict=True):
                     column.append(value)
-            kept = {f.name: rows.column(f.name) for f in arrow}if not first else {
-                name: rows.column(name) for name in rows.schema.names
-            }
+            kept = {name: rows.column(name) for name in rows.schema.names}
             made = dict(zip((names.n_words, names.n_hit, names.spans, names.items), marks, strict=True))
             kept |= {name: pa.array(values, arrow.field(name).type) for name, values in made.items()}
             yield pa.RecordBatch.from_arrays([kept[f.name].cast(f.type) for f in arrow], schema=arrow)
@@ -155,14 +154,12 @@ def decontaminate(
     marked = marked.where(n_hit <= n_words * F.lit(float(max_coverage)))
     cut = n_hit > max_hit_words
     text = F.when(cut, _without(F.col("text"), spans)).otherwise(F.col("text"))
-    columns = {"text": text}
+    marked = marked.withColumn("text", text)  # a step of its own, as n_chars reads it
+    columns = {}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        columns["n_chars"] = F.when(cut, F.length("text").cast(kind)).otherwise(F.col("n_chars"))
-    kept = marked.withColumn("text", text)
-    if "n_chars" in columns:
-        kept = kept.withColumn("n_chars", columns["n_chars"])
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+        n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(cut, n_chars).otherwise(F.col("n_chars"))
+    return marked.select(*[columns.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
 def _without(text: Column, spans: Column) -> Column:

@@ -312,7 +312,8 @@ def drop_near_duplicates(docs: DataFrame, scratch: Scratch, **options) -> DataFr
     """
     kept = near_duplicates(docs, scratch, **options).where("kept").groupBy("doc_id").count()
     kept, seen = scratch.save(kept, "kept", {"most": F.max("count")})
-    found = docs.join(kept.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    found = docs.join(kept.select("doc_id"), "doc_id", "left_semi").select(columns)
     if (seen["most"] or 0) > 1:
         found = found.dropDuplicates(["doc_id", "text"])
     return found.union(docs.where("doc_id is null"))

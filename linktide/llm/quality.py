@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linktide.llm.common import SPACE, table, text_blocks
+from linktide.llm.common import SPACE, plain_names, table, text_blocks
 from linktide.scratch import Scratch
 
 THRESHOLD = 0.3
@@ -312,7 +312,8 @@ def keep_good(
             scores = model.scores(np.array(found, np.float32).astype(np.float64))
             yield rows.filter(pa.array(scores >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    plain = plain_names(docs)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
