@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from linktide.llm.common import mixed, shingle_sets, table, text_blocks
 from linktide.llm.components import components
+from linktide.llm.membership import IdFilter
 from linktide.scratch import Scratch
 
 COORDINATES = 64
@@ -269,8 +270,12 @@ def near_duplicates(
     # One row of each class brings its text; which one does not matter.
     wanted = groups.select("set_id").distinct()
     holders = worded.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
-    holders = holders.join(wanted, "set_id").select("doc_id").distinct()
-    texts = docs.join(holders, "doc_id", "left_semi")
+    holders = holders.join(wanted, "set_id").select("doc_id")
+    holders, unnamed = scratch.save(holders, "holders", {"n": F.count_if(F.col("doc_id").isNull())})
+    # A filter by doc_id lets few other texts pass, and no text has to move to be found.
+    texts, _ = IdFilter(holders, "doc_id", scratch).split(docs, "doc_id")
+    if unnamed["n"]:  # classes of rows without a doc_id only
+        texts = texts.union(docs.where("doc_id is null"))
     sets = _class_sets(texts, words).join(wanted, "set_id", "left_semi")
     sets = sets.groupBy("set_id").agg(F.first("shingles").alias("shingles"))
     sets = sets.join(classes, "set_id")
@@ -310,13 +315,18 @@ def drop_near_duplicates(docs: DataFrame, scratch: Scratch, **options) -> DataFr
     document. Texts without words stay. So do rows without a doc_id, as they can't be
     named.
     """
-    kept = near_duplicates(docs, scratch, **options).where("kept").groupBy("doc_id").count()
-    kept, seen = scratch.save(kept, "kept", {"most": F.max("count")})
+    rows = near_duplicates(docs, scratch, **options).where("doc_id is not null")
+    counted = rows.groupBy("doc_id").agg(F.count_if("kept").alias("n"), F.count(F.lit(1)).alias("rows"))
+    counted, _ = scratch.save(counted, "kept")
+    # Rows that are surely the one kept row of their doc_id stay where they are; only the
+    # others, and the few that the filter takes for them, move to be looked up.
+    doubted = counted.where("n <> 1 or rows <> 1")
+    asked, sure = IdFilter(doubted, "doc_id", scratch).split(docs, "doc_id")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    found = docs.join(kept.select("doc_id"), "doc_id", "left_semi").select(columns)
-    if (seen["most"] or 0) > 1:
-        found = found.dropDuplicates(["doc_id", "text"])
-    return found.union(docs.where("doc_id is null"))
+    once = asked.join(counted.where("n = 1 and rows = 1").select("doc_id"), "doc_id", "left_semi")
+    again = asked.join(counted.where("n > 0 and rows > 1").select("doc_id"), "doc_id", "left_semi")
+    again = again.dropDuplicates(["doc_id", "text"])
+    return sure.union(once.select(columns)).union(again.select(columns))
 
 
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import re
 
 import pytest
 
+from linktide.llm import membership
 from linktide.llm.components import components
 from linktide.llm.near_dedup import drop_near_duplicates, near_duplicates
 
@@ -87,3 +88,15 @@ def test_components_of_paths_and_stars(spark, scratch):
     found = components(spark.createDataFrame(links, "a long, b long"), scratch)
     roots = {r.node: r.root for r in found.collect()}
     assert roots == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 140)}
+
+
+@pytest.mark.parametrize("most_bits", [64, 1 << 27])
+def test_filter_never_drops_an_id(spark, scratch, monkeypatch, most_bits):
+    monkeypatch.setattr(membership, "MOST_BITS", most_bits)
+    ids = spark.range(0, 3000, 7).union(spark.createDataFrame([(None,)], "id long"))
+    rows = spark.range(3000).union(spark.createDataFrame([(None,), (6,)], "id long"))
+    maybe, sure = membership.IdFilter(ids, "id", scratch).split(rows.selectExpr("cast(id as int) as id"), "id")
+    maybe, sure = ([r.id for r in x.collect()] for x in (maybe, sure))
+    assert set(range(0, 3000, 7)) <= set(maybe) and not set(range(0, 3000, 7)) & set(sure)
+    assert sorted(maybe + sure, key=str) == sorted([*range(3000), None, 6], key=str)
+    assert most_bits == 64 or len(maybe) < 700
