@@ -133,13 +133,12 @@ def _read(manifest: DataFrame, files_per_task: int, digest: bool) -> DataFrame:
     return manifest.select("path", "start").repartition(tasks).mapInArrow(run, schema)
 
 
-def token_output(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+def token_output(docs: DataFrame, scratch: Scratch, tokenizer: str | None = None) -> DataFrame:
     """Write the documents' token files to the session's shared folder and read them back."""
-    scratch = Scratch(spark)
     folder = scratch.path("tokens")
     manifest = write_token_files(docs, folder, tokenizer or word_bpe_path(), scratch)
     return document_digests(manifest)
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_output(spark, table(spark, sf_dir, "documents"))
+    return token_output(table(spark, sf_dir, "documents"), Scratch(spark))
