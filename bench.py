@@ -16,17 +16,18 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from linktide import Scratch, rank_dump, rank_graph
-from linktide.operators.graph import inlink_lists, outlink_lists
+from linktide.operators.graph import clean_graph, inlink_lists, outlink_lists
 from linktide.operators.pages import extract_links, filter_links, parse_pages, ranked_titles
 from linktide.operators.rank import ROUNDS, prepare_ranking
 from linktide.plans.rank_dump import PAGE_END, PAGE_START, dump_graph
 from linktide.sinks import ranking
-from linktide.sources import read_blocks
-from linktide.testgraphs import trade_blocks, trade_graph, write_dump
+from linktide.sources import read_blocks, read_records
+from linktide.testgraphs import trade_blocks, trade_graph, trade_links, trade_nodes, write_dump
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 1))
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+HUB_ROWS = 100  # low enough that hot targets and hubs are on their own paths
 
 
 def run_all(df: DataFrame) -> None:
@@ -72,6 +73,7 @@ def main() -> None:
     dump, results = kept.path("dump"), kept.path("results")
     write_dump(trade_blocks(spark, SF_DIR, kept), dump)
     blocks = read_blocks(spark, dump, PAGE_START, PAGE_END)
+    records = read_records(spark, dump, PAGE_START, PAGE_END)
     n_blocks = blocks.count()
 
     def last_rounds(scratch):
@@ -84,14 +86,20 @@ def main() -> None:
         "filter_links": lambda scratch: run_all(
             filter_links(extract_links(ranked_titles(parse_pages(blocks))))
         ),
-        "dump_to_graph": lambda scratch: dump_graph(blocks, scratch),
+        "dump_to_graph": lambda scratch: dump_graph(records, scratch),
         "tables_to_graph": lambda scratch: trade_graph(spark, SF_DIR, scratch),
         "inlink_lists": lambda scratch: run_all(inlink_lists(graph, scratch)),
         "outlink_lists": lambda scratch: run_all(outlink_lists(graph, scratch)),
         "prepare_ranking": lambda scratch: prepare_ranking(graph, scratch),
         "rank_8_rounds": last_rounds,
+        "hub_rounds": lambda scratch: rank_graph(
+            prepare_ranking(graph, scratch, hub_rows=HUB_ROWS), scratch
+        ),
+        "red_links_hot": lambda scratch: clean_graph(
+            trade_nodes(spark, SF_DIR), trade_links(spark, SF_DIR), scratch, hot_rows=HUB_ROWS
+        ),
         "ranking": lambda scratch: run_all(ranking(ranked.ranks(ROUNDS))),
-        "dump_to_ranking": lambda scratch: rank_dump(spark, dump, results),
+        "dump_to_ranking": lambda scratch: rank_dump(spark, dump, results, replace=True),
     }
     seconds = {}
     for name, query in queries.items():
