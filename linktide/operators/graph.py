@@ -82,14 +82,16 @@ def page_count(nodes: DataFrame) -> DataFrame:
 
 
 def inlink_lists(graph: Graph, scratch: Scratch, list_rows: int = HOT_ROWS) -> DataFrame:
-    """``(id, part, inlinks)`` for pages that are linked to.
+    """``(id, part, degree, inlinks)`` for pages that are linked to.
 
-    Lists are sorted and hold at most about ``list_rows`` members (``hot_threshold``).
-    A page with more has several rows, numbered by ``part``, so that no single row or
-    task holds a hub's whole neighbourhood.
+    Lists are sorted and hold at most about ``list_rows`` members. A page with more has
+    several rows, numbered by ``part``, so that no single row holds a hub's whole
+    neighbourhood; ``degree`` is the page's full number of members in each of them.
     """
     edges = with_parts(graph.edges, "dst", "src", graph.n_edges, scratch, list_rows)
-    members = edges.select(F.col("dst").alias("id"), "part", F.col("src").alias("member"))
+    members = edges.select(
+        F.col("dst").alias("id"), "part", "key_rows", F.col("src").alias("member")
+    )
     return _lists(members, "inlinks")
 
 
@@ -99,21 +101,24 @@ def outlink_lists(
     list_rows: int = HOT_ROWS,
     degrees: DataFrame | None = None,
 ) -> DataFrame:
-    """``(id, part, outlinks)`` for every page, in parts as in ``inlink_lists``; a page
+    """``(id, part, degree, outlinks)`` for every page, in parts as in ``inlink_lists``; a page
     without outlinks has an empty list. ``degrees`` is ``out_degrees`` where stored.
     """
     counted = None if degrees is None else degrees.withColumnRenamed("out_degree", "n_rows")
     edges = with_parts(graph.edges, "src", "dst", graph.n_edges, scratch, list_rows, counted)
-    members = edges.select(F.col("src").alias("id"), "part", F.col("dst").alias("member"))
+    members = edges.select(
+        F.col("src").alias("id"), "part", "key_rows", F.col("dst").alias("member")
+    )
     # Each page adds a null member, which a list leaves out: the outer join with the
     # pages happens in the same shuffle as the grouping.
-    pages = graph.nodes.select("id", F.lit(0).cast("long"), F.lit(None))
+    nothing = F.lit(None).cast("long")
+    pages = graph.nodes.select("id", F.lit(0).cast("long"), nothing, F.lit(None))
     return _lists(members.union(pages), "outlinks")
 
 
 def _lists(members: DataFrame, list_name: str) -> DataFrame:
     # Shuffling plain rows first beats partial lists: hardly any meet before the shuffle.
     together = members.repartition("id", "part")
-    return together.groupBy("id", "part").agg(
-        F.sort_array(F.collect_list("member")).alias(list_name)
-    )
+    members = F.sort_array(F.collect_list("member"))
+    degree = F.coalesce(F.max("key_rows"), F.count("member"))
+    return together.groupBy("id", "part").agg(degree.alias("degree"), members.alias(list_name))

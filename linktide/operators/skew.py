@@ -43,22 +43,32 @@ def hot_keys(
     floor: int = HOT_ROWS,
     counted: DataFrame | None = None,
 ) -> DataFrame | None:
-    """``(hot_hash_1, hot_hash_2, n_parts)`` of the hot keys; None if there are none.
+    """``(hot_hash_1, hot_hash_2, n_parts, n_rows)`` of the hot keys; None if there are none.
 
     ``total`` is the row count of ``df`` or a number above it, ``counted`` the rows per
     key (``key``, ``n_rows``) where they are known already. ``n_parts`` is how many
     groups bring the key below the threshold again.
     """
-    threshold = hot_threshold(total, floor)
+    return _keys_above(df, key, total, scratch, hot_threshold(total, floor), counted)[0]
+
+
+def _keys_above(
+    df: DataFrame,
+    key: str,
+    total: int,
+    scratch: Scratch,
+    threshold: int,
+    counted: DataFrame | None = None,
+) -> tuple[DataFrame | None, int]:
     if total <= threshold:
-        return None
+        return None, 0
     if counted is None:
         counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
     hot = _hashed(counted.where(F.col("n_rows") > threshold), key)
     parts = F.max(F.ceil(F.col("n_rows") / threshold)).alias("n_parts")
-    hot = hot.groupBy(*_HASHES).agg(parts)
+    hot = hot.groupBy(*_HASHES).agg(parts, F.max("n_rows").alias("n_rows"))
     stored, seen = scratch.save(hot, f"hot_{key}", {"n": F.count(F.lit(1))})
-    return stored if seen["n"] else None
+    return (stored if seen["n"] else None), seen["n"]
 
 
 def semi_join(
@@ -108,11 +118,17 @@ def with_parts(
     floor: int = HOT_ROWS,
     counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``part``: 0 for ordinary keys, a hash of ``spread`` within hot ones."""
-    hot = hot_keys(df, key, total, scratch, floor, counted)
+    """Add ``part`` and ``key_rows``: 0 and null for keys of up to ``floor`` rows, a hash of
+    ``spread`` and the key's rows for others.
+
+    What part a row is in hangs on its key's rows and ``floor`` alone, not on ``total``.
+    Up to MAX_HOT_KEYS keys are broadcast; with more the rows are joined in a shuffle.
+    """
+    hot, n_hot = _keys_above(df, key, total, scratch, floor, counted)
     if hot is None:
-        return df.withColumn("part", F.lit(0).cast("long"))
+        return df.withColumns({"part": F.lit(0).cast("long"), "key_rows": F.lit(None).cast("long")})
     part = F.coalesce(F.pmod(F.xxhash64(spread), F.col("n_parts")), F.lit(0))
-    return _hashed(df, key).join(F.broadcast(hot), list(_HASHES), "left").select(
-        *df.columns, part.cast("long").alias("part")
+    hot = F.broadcast(hot) if n_hot <= MAX_HOT_KEYS else hot
+    return _hashed(df, key).join(hot, list(_HASHES), "left").select(
+        *df.columns, part.cast("long").alias("part"), F.col("n_rows").alias("key_rows")
     )

@@ -92,6 +92,10 @@ _OUTLINKS = (
     "from nodes left join edges on id = src group by id"
 )
 
+_INLINKS = (
+    "select dst as id, count(*) as n_in, string_agg(src, ' ' order by src) as inlinks "
+    "from edges group by dst"
+)
 _WIKI_OUTLINKS = (
     f"select {_WIKI_ID.format('id')} as key, "
     f"coalesce(string_agg({_WIKI_ID.format('dst')}, ' ' order by dst), '') as value "
@@ -131,11 +135,10 @@ ORACLE_SQL = {
         f"select {_WIKI_ID.format('src')} as src, {_WIKI_ID.format('dst')} as dst from edges"
     ),
     "red_link_filter": _with_graph("select src, dst from edges"),
-    "inlink_lists": _with_graph(
-        "select dst as id, count(*) as n_in, string_agg(src, ' ' order by src) as inlinks "
-        "from edges group by dst"
-    ),
+    "inlink_lists": _with_graph(_INLINKS),
     "outlink_lists": _with_graph(_OUTLINKS),
+    "inlink_lists_parts": _with_graph(_INLINKS),
+    "outlink_lists_parts": _with_graph(_OUTLINKS),
     "page_count": _with_graph("select count(*) as n from nodes"),
     "count_property": _with_graph("select 'N=' || count(*) as line from nodes"),
     "out_degrees": _with_graph("select src, out_degree from degrees"),

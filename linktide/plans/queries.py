@@ -157,8 +157,26 @@ def outlink_lists(spark, sf_dir):
 
 
 def _listed(lists: DataFrame, name: str, size: str) -> DataFrame:
-    n = F.size(name).cast("long")
-    return lists.select("id", n.alias(size), F.array_join(name, " ").alias(name))
+    return lists.select("id", F.col("degree").alias(size), F.array_join(name, " ").alias(name))
+
+
+def _put_together(lists: DataFrame, name: str) -> DataFrame:
+    whole = F.sort_array(F.flatten(F.collect_list(name)))
+    return lists.groupBy("id", "degree").agg(whole.alias(name))
+
+
+def inlink_lists_parts(spark, sf_dir):
+    """As ``inlink_lists``, from parts of about 20 members."""
+    scratch = Scratch(spark)
+    lists = g.inlink_lists(trade_graph(spark, sf_dir, scratch), scratch, list_rows=20)
+    return _listed(_put_together(lists, "inlinks"), "inlinks", "n_in")
+
+
+def outlink_lists_parts(spark, sf_dir):
+    """As ``outlink_lists``, from parts of about 20 members."""
+    scratch = Scratch(spark)
+    lists = g.outlink_lists(trade_graph(spark, sf_dir, scratch), scratch, list_rows=20)
+    return _listed(_put_together(lists, "outlinks"), "outlinks", "n_out")
 
 
 def page_count(spark, sf_dir):
@@ -320,6 +338,8 @@ QUERIES = {
         ranking_hubs,
         inlink_lists,
         outlink_lists,
+        inlink_lists_parts,
+        outlink_lists_parts,
         page_count,
         count_property,
         out_degrees,
