@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linktide.llm.common import mixed, span_hashes, table, text_blocks
+from linktide.llm.membership import IdFilter
 from linktide.llm.suffix_order import suffix_array
 from linktide.scratch import Scratch
 
@@ -119,10 +120,11 @@ def _holder() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long"))
 
 
-def _held_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _held_texts(docs: DataFrame, wanted: DataFrame, scratch: Scratch) -> DataFrame:
     """The columns of ``wanted(text_id, holder, ...)`` with ``data``, the text's bytes.
 
-    Copies of a text differ in the join key, so they don't meet in one task.
+    A filter by holder keeps most other texts from being moved. Copies of a text differ
+    in the join key, so they don't meet in one task.
     """
     def identified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_blocks(batches, "text"):
@@ -134,15 +136,15 @@ def _held_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 ["text_id", "holder", "data"],
             )
 
-    texts = docs.select(_holder().alias("holder"), "text").mapInArrow(
-        identified, "text_id binary, holder long, data binary"
-    )
+    named = docs.select(_holder().alias("holder"), "text")
+    texts, _ = IdFilter(wanted, "holder", scratch).split(named, "holder")
+    texts = texts.mapInArrow(identified, "text_id binary, holder long, data binary")
     keys = ["text_id", "holder"]
     others = [c for c in ["data", *wanted.columns] if c not in keys]
     return texts.join(wanted, keys).groupBy(keys).agg(*[F.first(c).alias(c) for c in others])
 
 
-def _candidates(docs: DataFrame, wanted: DataFrame, cut: Cut) -> DataFrame:
+def _candidates(docs: DataFrame, wanted: DataFrame, cut: Cut, scratch: Scratch) -> DataFrame:
     """The wanted runs with their bytes: ``(text_id, copies, at, ...segment)``.
 
     ``wanted(text_id, holder, copies, runs)``. A segment holds all windows of a run; its id is a
@@ -175,7 +177,7 @@ def _candidates(docs: DataFrame, wanted: DataFrame, cut: Cut) -> DataFrame:
             [pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], _NAMES
         )
 
-    return _held_texts(docs, wanted).mapInArrow(run, schema)
+    return _held_texts(docs, wanted, scratch).mapInArrow(run, schema)
 
 
 _NAMES = ["text_id", "copies", "at", "key", "segment_id", "segment", "core", "core_size", "low", "high"]
@@ -183,8 +185,25 @@ _TYPES = [pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.bina
 _MARKS = "segment_id binary, first long, last long"
 
 
+def _common(parts: list[bytes]) -> int:
+    """The length of the longest common prefix."""
+    low, high = min(parts), max(parts)
+    size = min(len(low), len(high))
+    if low[:size] == high[:size]:
+        return size
+    a, b = np.frombuffer(low[:size], np.uint8), np.frombuffer(high[:size], np.uint8)
+    return int(np.argmax(a != b))
+
+
 class _Order:
-    """Collects groups of segments and finds windows that two of a group's segments share."""
+    """Collects groups of segments and finds windows that two of a group's segments share.
+
+    What all segments of a group have around their core is one symbol with it, the
+    middle. A window that starts before the middle is a suffix of its own; it is shared
+    if it equals its neighbour in the order. Windows that start in the middle differ
+    only behind it: those of two segments are equal as far as the bytes behind agree,
+    which is the most for neighbours in the order of the middles.
+    """
 
     def __init__(self, length: int):
         self.length = length
@@ -193,46 +212,59 @@ class _Order:
     def clear(self) -> None:
         self.symbols: list[int] = []
         self.windows: list[tuple[int, int, int]] = []  # (place, segment number, window)
-        self.segments: list[tuple[bytes, bytes]] = []
+        self.middles: list[tuple[int, int, int, int]] = []  # (place, number, first, behind)
+        self.segments: list[tuple[bytes, bytes, int]] = []
+        self.found: list[tuple[int, int]] = []
         self.groups = 0
 
     def add(self, rows: list[dict]) -> None:
-        """One group: the core that all its segments share is one symbol of its own."""
-        core = 258 + self.groups
+        middle = 258 + self.groups
         self.groups += 1
-        for row in rows:
-            data, at, size = row["segment"], row["core"], row["core_size"]
-            low, high = row["low"], row["high"]
-            base = len(self.symbols)
+        left = [r["segment"][r["low"] : r["core"]] for r in rows]
+        right = [r["segment"][r["core"] + r["core_size"] : r["high"] + self.length] for r in rows]
+        before, after = _common([x[::-1] for x in left]), _common(right)
+        for row, own_left, own_right in zip(rows, left, right, strict=True):
+            low, high, end = row["low"], row["high"], row["core"] + row["core_size"] + after
             number = len(self.segments)
-            self.segments.append((row["segment_id"], data))
-            self.symbols += [b + 2 for b in data[low:at]]
-            self.symbols.append(core)
-            self.symbols += [b + 2 for b in data[at + size : high + self.length]]
+            self.segments.append((row["segment_id"], row["segment"], high))
+            base = len(self.symbols)
+            first = row["core"] - before  # of the middle
+            self.symbols += [b + 2 for b in own_left[: len(own_left) - before]]
+            self.windows += [(base + p - low, number, p) for p in range(low, min(first, high + 1))]
+            self.middles.append((len(self.symbols), number, max(low, first), end))
+            self.symbols.append(middle)
+            self.symbols += [b + 2 for b in own_right[after:]]
             self.symbols.append(1)
-            self.windows += [(base + p - low, number, p) for p in range(low, high + 1)]
+
+    def _share(self, number: int, first: int, last: int) -> None:
+        last = min(last, self.segments[number][2])
+        self.found += [(number, p) for p in range(first, last + 1)]
 
     def marks(self) -> list[tuple[bytes, int, int]]:
         """``(segment_id, first, last)``: the shared windows, as ranges."""
-        owner: list[tuple[int, int] | None] = [None] * (len(self.symbols) + 1)
-        for place, number, p in self.windows:
-            owner[place] = (number, p)
-        found: list[tuple[int, int]] = []
-        before, marked = None, False
+        window_at: dict[int, tuple[int, int]] = {w[0]: w[1:] for w in self.windows}
+        middle_at = {m[0]: m[1:] for m in self.middles}
+        before, marked, last_middle = None, False, None
         for place in suffix_array([*self.symbols, 0]):
-            here = owner[place]
-            if here is None:
-                continue
-            window = self.segments[here[0]][1][here[1] : here[1] + self.length]
-            same = before is not None and before[0] == window
-            if same:
-                if not marked:
-                    found.append(before[1])
-                found.append(here)
-            before, marked = (window, here), same
-        found.sort()
+            if (here := window_at.get(place)) is not None:
+                window = self.segments[here[0]][1][here[1] : here[1] + self.length]
+                same = before is not None and before[0] == window
+                if same:
+                    if not marked:
+                        self.found.append(before[1])
+                    self.found.append(here)
+                before, marked = (window, here), same
+            elif (middle := middle_at.get(place)) is not None:
+                number, first, end = middle
+                behind = self.segments[number][1][end : self.segments[number][2] + self.length]
+                symbol = self.symbols[place]
+                if last_middle is not None and last_middle[0] == symbol:
+                    agreed = _common([behind, last_middle[1]])
+                    for k, start, stop in (middle, last_middle[2]):
+                        self._share(k, start, stop + agreed - self.length)
+                last_middle = (symbol, behind, middle)
         ranges: list[list[int]] = []
-        for number, p in found:
+        for number, p in sorted(set(self.found)):
             if ranges and ranges[-1][0] == number and ranges[-1][2] == p - 1:
                 ranges[-1][2] = p
             else:
@@ -312,6 +344,7 @@ def shared_windows(segments: DataFrame, cut: Cut, scratch: Scratch, group_rows:
     left, marks = segments.select(columns), []
     while True:
         counts = left.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        counts, _ = scratch.save(counts, "counts")
         counted, seen = scratch.save(left.join(counts, "key"), "groups", {"most": F.max("n")})
         full = F.col("core_size") == cut.length
         small = counted.where((F.col("n") <= group_rows) & ~full).select(columns)
@@ -356,16 +389,20 @@ def repeated_spans(
         F.col("r.anchors").alias("anchor"), F.col("r.keys").alias("key"),
     )
     runs, _ = scratch.save(runs, "keys")
+    # Stored, so that the join has a shuffle of its own, in which a hot key can be split.
     often = runs.groupBy("key").agg(F.sum("copies").alias("n")).where("n > 1").select("key")
+    often, _ = scratch.save(often, "often")
     wanted = runs.join(often, "key").groupBy("text_id", "holder", "copies").agg(
         F.sort_array(F.collect_list(F.struct("low", "high", "anchor", "key"))).alias("runs")
     )
-    held, _ = scratch.save(_candidates(docs, wanted, cut), "segments")
+    wanted, _ = scratch.save(wanted, "wanted")
+    held, _ = scratch.save(_candidates(docs, wanted, cut, scratch), "segments")
 
     kinds = held.groupBy("key", "segment_id").agg(F.sum("copies").alias("n"))
     kinds, _ = scratch.save(kinds, "kinds")
     whole = kinds.where("n > 1").select("segment_id").distinct()
     several = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("key")
+    several, _ = scratch.save(several, "several")
     columns = ["segment", "core", "core_size", "low", "high"]
     compared = held.join(several, "key").groupBy("key", "segment_id").agg(
         *[F.first(c).alias(c) for c in columns]
@@ -402,7 +439,7 @@ def repeated_spans(
     return rows.select("doc_id", "text_id", "n_bytes", "sha256"), scratch.save(merged, "spans")[0]
 
 
-def cut_texts(docs: DataFrame, rows: DataFrame, spans: DataFrame) -> DataFrame:
+def cut_texts(docs: DataFrame, rows: DataFrame, spans: DataFrame, scratch: Scratch) -> DataFrame:
     """``(text_id, kept)``: what is left, as bytes, of each distinct text that has spans.
 
     ``rows`` and ``spans`` as of ``repeated_spans``.
@@ -417,13 +454,15 @@ def cut_texts(docs: DataFrame, rows: DataFrame, spans: DataFrame) -> DataFrame:
 
     holders = rows.groupBy("text_id").agg(F.min(_holder()).alias("holder"))
     wanted = spans.join(holders, "text_id").select("text_id", "holder", "spans")
-    return _held_texts(docs, wanted).mapInArrow(run, "text_id binary, kept binary")
+    wanted, _ = scratch.save(wanted, "cuts")
+    return _held_texts(docs, wanted, scratch).mapInArrow(run, "text_id binary, kept binary")
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows, spans = repeated_spans(docs, Scratch(spark))
-    digests = cut_texts(docs, rows, spans).select("text_id", F.sha2("kept", 256).alias("kept_sha256"))
+    scratch = Scratch(spark)
+    rows, spans = repeated_spans(docs, scratch)
+    digests = cut_texts(docs, rows, spans, scratch).select("text_id", F.sha2("kept", 256).alias("kept_sha256"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
     found = spans.select("text_id", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"))
     found = found.join(digests, "text_id")

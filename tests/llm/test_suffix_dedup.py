@@ -66,7 +66,7 @@ def test_against_all_windows(make_docs, scratch, length, group_rows):
     rows = [(k % 70 if k % 9 else None, t) for k, t in enumerate(texts)]
     docs = make_docs(rows)
     found, spans = repeated_spans(docs, scratch, length=length, group_rows=group_rows)
-    kept = {bytes(r.text_id): bytes(r.kept) for r in cut_texts(docs, found, spans).collect()}
+    kept = {bytes(r.text_id): bytes(r.kept) for r in cut_texts(docs, found, spans, scratch).collect()}
     spans = {bytes(r.text_id): [(s.start, s.end) for s in r.spans] for r in spans.collect()}
     raw = [(t or "").encode() for t in texts]
     for t, (want, left) in zip(raw, expected(raw, length), strict=True):
