@@ -1,0 +1,81 @@
+"""The registered queries: SQL where there is some, and the promised columns."""
+
+from __future__ import annotations
+
+import hashlib
+from pathlib import Path
+
+import duckdb
+import pytest
+
+from linktide.llm.queries import ORACLE_SQL, QUERIES
+from tests.llm.test_near_dedup import expected
+from tests.llm.test_spans import PII, SECRETS, found
+from tests.llm.test_suffix_dedup import expected as expected_passages
+
+SF_DIR = "/root/testdata/sf0.001"
+COLUMNS = {
+    "op1_quality_classifier": "doc_id held_out score predicted",
+    "op2_token_files": "doc_id start n_tokens ids_crc32",
+    "op9_token_counts": "doc_id section start end n_tokens n_crossing",
+}
+
+
+def by_name(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(columns), sorted(tuple(row[i] for i in order) for row in rows)
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    return {r.doc_id: r.text for r in rows}
+
+
+def test_ten_operators():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_sql(spark, name):
+    duck = duckdb.connect()
+    for path in Path(SF_DIR).glob("*.parquet"):
+        duck.execute(f"create view {path.stem} as select * from '{path}'")
+    result = QUERIES[name](spark, SF_DIR)
+    cursor = duck.execute(ORACLE_SQL[name])
+    want = by_name([d[0] for d in cursor.description], cursor.fetchall())
+    assert by_name(result.columns, result.collect()) == want and want[1]
+
+
+@pytest.mark.parametrize("name", sorted(COLUMNS))
+def test_columns(spark, texts, name):
+    result = QUERIES[name](spark, SF_DIR)
+    assert result.columns == COLUMNS[name].split()
+    assert {r.doc_id for r in result.select("doc_id").collect()} == set(texts)
+
+
+def test_passages(spark, texts):
+    rows = {r.doc_id: r for r in QUERIES["op4_suffix_dedup"](spark, SF_DIR).collect()}
+    raw = {i: t.encode() for i, t in texts.items()}
+    for (i, t), (spans, kept) in zip(raw.items(), expected_passages(list(raw.values()), 400), strict=True):
+        r = rows[i]
+        assert (r.n_bytes, r.n_removed, r.n_spans) == (len(t), len(t) - len(kept), len(spans))
+        assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()
+
+
+def test_near_duplicates(spark, texts):
+    rows = QUERIES["op8_minhash_near_dedup"](spark, SF_DIR)
+    assert rows.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    assert sorted(map(tuple, rows.collect())) == sorted(expected(list(texts.items()), 4))
+
+
+@pytest.mark.parametrize(
+    "name, patterns, by_start",
+    [("op7_personal_data", PII, False), ("op10_secret_scan", SECRETS, True)],
+)
+def test_spans(spark, texts, name, patterns, by_start):
+    for r in QUERIES[name](spark, SF_DIR).collect():
+        want = found(texts[r.doc_id], patterns, by_start)
+        assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
+        assert set(want) <= set(r.spans.split(","))  or not want
+        assert [r[f"n_{k}"] for k, _ in patterns] == [sum(w.startswith(k) for w in want) for k, _ in patterns]
