@@ -1,4 +1,4 @@
-"""Shared pieces: stored steps, text blocks inside tasks, hashes of words."""
+"""Shared pieces: tables, text blocks inside tasks, hashes of words."""
 
 from __future__ import annotations
 
@@ -10,8 +10,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linktide.scratch import Scratch
-
 # The white space of all word rules here: [\x20\x09-\x0D].
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 9, 10, 11, 12, 13]] = True
@@ -27,11 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def store(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the session's shared folder and read from there."""
-    return Scratch(spark).save(df, name)[0]
-
-
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
