@@ -23,7 +23,6 @@ from linktide.sources import (
     read_blocks,
     read_key_values,
     read_ranked_pages,
-    read_records,
 )
 from linktide.testgraphs import trade_blocks, trade_graph, trade_links, trade_nodes, write_dump
 
