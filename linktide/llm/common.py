@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +17,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 # Text handled at once inside a task; a longer single text is one block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,12 +64,19 @@ def text_blocks(
             first = last
 
 
-@cache
+_tables: list[tuple[np.ndarray, np.ndarray]] = []
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    base = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
-    up, down = np.full(n, base, np.uint64), np.full(n, pow(base, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+    """The first ``n`` powers of an odd base and of its inverse; one table per process."""
+    if not _tables or len(_tables[0][0]) < n:
+        base, size = 0x9E3779B97F4A7C15, -(-n // (1 << 20)) << 20
+        up, down = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 1 << 64), np.uint64)
+        up[0] = down[0] = 1
+        np.multiply.accumulate(up, out=up)
+        np.multiply.accumulate(down, out=down)
+        _tables[:] = [(up, down)]
+    return _tables[0]
 
 
 _BYTE_VALUES = np.random.default_rng(7).integers(1 << 63, (1 << 64) - 1, 256, np.uint64)
@@ -85,8 +91,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of ``data[start:end]``, whatever stands around."""
-    size = 1 << max(16, int(len(data)).bit_length())
-    up, down = _powers(size)
+    up, down = _powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE_VALUES[data] * up[: len(data)], out=sums[1:])
     h = (sums[ends] - sums[starts]) * down[starts]
