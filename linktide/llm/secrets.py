@@ -23,7 +23,8 @@ _IDENT = (
     r"(?<![A-Za-z0-9])(?:(?:ASIA|AIDA|AROA)[A-Z0-9]{12,}+"
     r"|(?i:access_?key_?id|client_?id|account_?id|user_?name|login)[\"']?\x20{0,4}[:=]\x20{0,4}[\"']?[A-Za-z0-9@._-]{4,}+)"
 )
-_KEY = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{24,128}+={0,2}(?![A-Za-z0-9+/=_-])"
+# '=' may stand before a key (name=value, ?sig=value); after one it is padding only.
+_KEY = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}+={0,2}(?![A-Za-z0-9+/=_-])"
 _ENDPOINT = r"(?<![A-Za-z0-9])(?:https?|ftp|jdbc|postgres|postgresql|mysql|mongodb|redis|amqp|s3)://[^\s\"'<>]{4,}+"
 
 
