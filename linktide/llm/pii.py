@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linktide.llm.common import table, text_of
-from linktide.llm.spans import empty, in_order, joined, matches, row_key
+from linktide.llm.spans import empty, in_order, joined, let, matches, row_key, spans
 from linktide.scratch import Scratch
 
 KINDS = ("email", "ip", "card", "phone")
@@ -28,9 +26,21 @@ _PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?:\.|$)){4}$"
 
 # What could be an identifier: a token with a digit or an at sign.
 _TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
-_PLACE = "struct<kind:string,start:long,end:long,value:string,pattern:string>"
-_CONTEXT_CHARS = 80
-_CONTEXT = r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$"
+_TOKEN_TYPE = "struct<kind:string,start:long,end:long,value:string,pattern:string,glue:string,part:boolean>"
+# The last word of a text, and the last but one. What is read is linear in the text.
+_LAST = r"(?s)^.*(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++)[\x20\x09-\x0D]*+\z"
+_SECOND = r"(?s)^.*(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++)[\x20\x09-\x0D]++[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+\z"
+# Longer patterns are told apart by their digests.
+_PATTERN_CHARS = 80
+
+# Parts of one number: digits and the signs of a number, a blank or a sign between blanks apart.
+# A part with as many digits as a whole local number has is the last one.
+_PART = r"^[\"'(\[<+]*+[0-9][0-9()./-]*+(?<=[0-9)/-])\z"
+_NEXT = r"^\(?[0-9][0-9()./-]*+[^\p{L}0-9@]*+\z"
+_GLUE = r"^\x20(?:[./-]\x20)?\z"
+_WHOLE_DIGITS = 7
+# Signs in front of a value; an opening bracket belongs to it if the number goes on behind "(12)".
+_SIGNS = r"^[^A-Za-z0-9+@]*?(?=\([0-9]++\)[^A-Za-z0-9]*+[0-9]|[A-Za-z0-9+@]|\z)"
 
 
 def _digits(value: Column) -> Column:
@@ -47,32 +57,76 @@ def _luhn(value: Column) -> Column:
     return total % 10 == 0
 
 
-def _pattern(before: Column) -> Column:
-    """The lexical pattern: the two words before, lower-cased, with digits as 0; null if
-    there are not two in the text since the token before."""
-    first = F.greatest(F.length(before) - (_CONTEXT_CHARS - 1), F.lit(1))
-    tail = F.lower(F.substr(before, first, F.lit(_CONTEXT_CHARS)))
-    pair = F.concat_ws(" ", F.regexp_extract(tail, _CONTEXT, 1), F.regexp_extract(tail, _CONTEXT, 2))
-    return F.nullif(F.regexp_replace(pair, "[0-9]", "0"), F.lit(" "))
-
+def _tokens(text: Column) -> Column:
+    """What could be an identifier, each with the lexical pattern in front: the two words of
+    the text before it, lower-cased, with digits as 0; null if there are not two.
 
-def _with_context(
-    text: Column, kind: str, pattern: str, keep: Callable[[Column], Column] | None = None
-) -> Column:
-    """The matches that ``keep`` accepts, each with the lexical pattern in front."""
+    A token is a whole word, so the words before it are those of the gap and, where the gap
+    has fewer than two, the tokens around that. ``part``: more of a number may follow;
+    ``glue``: what parts this token from the one before, if it may go on with that.
+    """
 
-    def one(value: Column, start: Column, before: Column) -> Column:
+    def one(value: Column, start: Column, gap: Column) -> Column:
+        follows = value.rlike(_NEXT) & gap.rlike(_GLUE)
         return F.struct(
-            F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(value)).alias("end"),
-            value.alias("value"), _pattern(before).alias("pattern"),
+            start.alias("start"), value.alias("value"),
+            F.nullif(F.regexp_extract(gap, _LAST, 1), F.lit("")).alias("last"),
+            F.nullif(F.regexp_extract(gap, _SECOND, 1), F.lit("")).alias("second"),
+            F.when(follows, gap).alias("glue"),
+            (value.rlike(_PART) & (F.length(_digits(value)) < _WHOLE_DIGITS)).alias("part"),
         )
 
-    found = matches(text, pattern, one)
-    return found if keep is None else F.filter(found, lambda s: keep(s["value"]))
+    def placed(found: Column) -> Column:
+        def token(t: Column, i: Column) -> Column:
+            back, back2 = F.get(found, i - 1), F.get(found, i - 2)
+            last = F.coalesce(t["last"], back["value"])
+            second = F.coalesce(
+                t["second"],
+                F.when(t["last"].isNotNull(), back["value"]).otherwise(F.coalesce(back["last"], back2["value"])),
+            )
+            pair = F.regexp_replace(F.lower(F.concat(second, F.lit(" "), last)), "[0-9]", "0")
+            return F.struct(
+                F.lit("token").alias("kind"), t["start"].alias("start"),
+                (t["start"] + F.length(t["value"])).alias("end"), t["value"].alias("value"),
+                F.when(F.length(pair) > _PATTERN_CHARS, F.sha2(pair, 256)).otherwise(pair).alias("pattern"),
+                t["glue"].alias("glue"), t["part"].alias("part"),
+            )
+
+        return F.transform(found, token)
+
+    return let(matches(text, _TOKEN, one), placed)
+
+
+def _joined_parts(tokens: Column) -> Column:
+    """``tokens`` with neighbours that are parts of one number as one, in order."""
+
+    def goes_on(t: Column, i: Column) -> Column:
+        back = F.get(tokens, i - 1)
+        return F.coalesce(back["part"] & (back["end"] + F.length(t["glue"]) == t["start"]), F.lit(False))
+
+    def one(heads: Column, first: Column, k: Column) -> Column:
+        until = F.coalesce(F.get(heads, k + 1), F.size(tokens))
+        parts = F.slice(tokens, first + 1, until - first)
+        value = F.array_join(
+            F.transform(parts, lambda p, j: F.when(j == 0, p["value"]).otherwise(F.concat(p["glue"], p["value"]))), ""
+        )
+        return _place(F.get(tokens, first), F.get(tokens, first)["pattern"], F.get(tokens, until - 1)["end"], value)
+
+    heads = F.filter(
+        F.sequence(F.lit(0), F.size(tokens) - 1), lambda i: ~goes_on(F.get(tokens, i), i)
+    )
+    return F.when(F.size(tokens) > 0, let(heads, lambda h: F.transform(h, lambda first, k: one(h, first, k))))
+
+
+def _place(span: Column, pattern: Column, end: Column | None = None, value: Column | None = None) -> Column:
+    return F.struct(
+        span["kind"].alias("kind"), span["start"].alias("start"), (span["end"] if end is None else end).alias("end"),
+        (span["value"] if value is None else value).alias("value"), pattern.alias("pattern"),
+    )
 
 
 def base_spans(text: Column) -> dict[str, Column]:
-    """The spans that are reported by themselves, per kind, with their patterns."""
+    """The spans that are reported by themselves, per kind."""
     has_digit = text.rlike("[0-9]")
     n = lambda v: F.length(_digits(v))
     found = {
@@ -82,7 +136,7 @@ def base_spans(text: Column) -> dict[str, Column]:
         "phone": (F.contains(text, F.lit("+")), _PHONE, lambda v: n(v).between(8, 15)),
     }
     return {
-        kind: F.when(where, _with_context(text, kind, pattern, keep)).otherwise(empty(_PLACE))
+        kind: F.when(where, spans(text, kind, pattern, keep)).otherwise(empty())
         for kind, (where, pattern, keep) in found.items()
     }
 
@@ -124,28 +178,42 @@ def learn_patterns(
 def find_personal_data(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
     """``(doc_id, email, ip, card, phone, found)``: spans with kind, start, end and value.
 
-    The base kinds are seeds. The two words in front of an instance are its pattern;
-    trusted patterns (``learn_patterns``) mark further tokens that hold a digit or an at
-    sign as that kind. ``found`` has base and further spans by kind and then start.
+    The base kinds are seeds. A candidate is a word that holds a digit or an at sign, with
+    the neighbours that are parts of the same number: "(545) 555-1234" and "545 555 1234"
+    are one, numbers with other signs, more blanks or line ends between them are several.
+    The pattern of a seed or a candidate is the two words before the word that it begins
+    in, whatever these words hold; trusted patterns (``learn_patterns``) mark further
+    candidates as that kind. ``found`` has base and further spans by kind and then start.
     Offsets are code points, the end is exclusive. A null text is empty, an empty one has
     no spans; every row gives a row, equal rows equal spans. Only spans and their
     patterns are moved, never texts.
     """
     text = F.col("text")
-    tokens = F.when(text.rlike("[0-9@]"), _with_context(text, "token", _TOKEN)).otherwise(empty(_PLACE))
+    tokens = F.when(text.rlike("[0-9@]"), _tokens(text)).otherwise(empty(_TOKEN_TYPE))
     rows = docs.select("doc_id", text_of().alias("text")).select(
         "doc_id", row_key().alias("row"), *[c.alias(kind) for kind, c in base_spans(text).items()],
         tokens.alias("tokens"),
     )
     rows, _ = scratch.save(rows, "spans")
-    seeds = F.concat(*KINDS)
+    # Every base span begins in a token.
+    seeds = F.transform(
+        F.concat(*KINDS),
+        lambda s: _place(
+            s, F.filter("tokens", lambda t: (t["start"] <= s["start"]) & (s["start"] < t["end"]))[0]["pattern"]
+        ),
+    )
     # A token that a base span reaches into is that span.
-    free = F.filter("tokens", lambda t: ~F.exists(seeds, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    places = rows.select("row", F.explode(F.concat(seeds, free)).alias("c")).select("row", "c.*")
+    free = F.filter(
+        "tokens", lambda t: ~F.exists(F.concat(*KINDS), lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
+    )
+    places = rows.select("row", seeds.alias("seeds"), free.alias("free")).select(
+        "row", F.explode(F.concat("seeds", F.coalesce(_joined_parts(F.col("free")), F.array()))).alias("c")
+    ).select("row", "c.*")
+    bare = F.regexp_replace("value", _SIGNS, "")
     places = places.where("pattern is not null").select(
         "row", "start", "pattern", F.expr("nullif(kind, 'token')").alias("kind"),
-        F.regexp_replace("value", r"^[^A-Za-z0-9+@]+|[^A-Za-z0-9]+$", "").alias("value"),
-        (F.length("value") - F.length(F.regexp_replace("value", r"^[^A-Za-z0-9+@]+", ""))).alias("skipped"),
+        F.regexp_replace(bare, r"[^A-Za-z0-9]+$", "").alias("value"),
+        (F.length("value") - F.length(bare)).alias("skipped"),
     ).where("value <> ''")
     places, _ = scratch.save(places, "places")
     pairs = places.select("pattern", "value", "kind").distinct()
@@ -156,15 +224,8 @@ def find_personal_data(docs: DataFrame, scratch: Scratch, **options) -> DataFram
             F.struct("kind", start.alias("start"), (start + F.length("value")).alias("end"), "value")
         ).alias("more")
     )
-    base = {kind: F.transform(kind, _span) for kind in KINDS}
-    found = in_order(F.concat(*base.values(), F.coalesce("more", empty())), KINDS, by_start=False)
-    return rows.join(more, "row", "left").select(
-        "doc_id", *[c.alias(kind) for kind, c in base.items()], found.alias("found")
-    )
-
-
-def _span(place: Column) -> Column:
-    return F.struct(*[place[name].alias(name) for name in ("kind", "start", "end", "value")])
+    found = in_order(F.concat(*KINDS, F.coalesce("more", empty())), KINDS, by_start=False)
+    return rows.join(more, "row", "left").select("doc_id", *KINDS, found.alias("found"))
 
 
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

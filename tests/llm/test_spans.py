@@ -91,6 +91,31 @@ def test_patterns_find_unseen_numbers(make_docs, scratch):
     assert all(v == "" for k, v in got.items() if k > 10)
 
 
+def test_numbers_in_several_parts_and_rows_of_numbers(make_docs, scratch):
+    rows = [(50 + k, f"you may call me at +1 (545) 555-69{k:02}, please") for k in range(12)]
+    rows += [(10 + k, f"ext {k} phone +1 545 555 69{k:02}; ok") for k in range(4)]
+    rows += [(20 + k, f"list of numbers: +1 545 555 70{k:02}, +1 545 555 71{k:02}, fine") for k in range(4)]
+    blank = " " * 200
+    more = {
+        30: ("call me at (545) 555-1234", ["(545) 555-1234"]), 31: ("call me at 545 555 1234.", ["545 555 1234"]),
+        32: ("call me at 545 - 555 - 1234 or not", ["545 - 555 - 1234"]), 33: ("call me at (545), yes", ["545"]),
+        34: ("my ext 7 phone 555-1234", ["555-1234"]), 35: (f"call me at{blank}555-1234", ["555-1234"]),
+        36: ("list of numbers: 555-1234, 555-2345, 555-3456", ["555-1234"]),
+        37: ("+1 545 555 6900, 545 555 2345, 545 555 3456, end", ["+1 545 555 6900", "545 555 2345", "545 555 3456"]),
+        38: ("call me at 555-1234 555-2345", ["555-1234"]), 39: ("call me at 2019 1.2.3.4", ["2019", "1.2.3.4"]),
+    }
+    result = pii.find_personal_data(make_docs(rows + [(k, t) for k, (t, _) in more.items()]), scratch)
+    got = {r.doc_id: sorted((s.start, s.value) for s in r.found) for r in result.collect()}
+    for k, (t, want) in more.items():
+        assert [v for _, v in got[k]] == want, k
+        assert all(t[i : i + len(v)] == v for i, v in got[k])
+
+
+@pytest.mark.parametrize("shape", ["x1 " * 4000, "!" * 60_000 + "1 2", "w" * 60_000 + " b c 1", " " * 60_000 + "a b 1", "1 " * 20_000])
+def test_candidates_of_long_texts(make_docs, scratch, shape):
+    assert pii.find_personal_data(make_docs([(1, shape)]), scratch).count() == 1
+
+
 def test_patterns_spread_over_rounds(spark, scratch):
     """x is known by its first pattern; the second pattern is trusted through x alone."""
     edges = [("first", f"v{k}", "phone") for k in range(4)] + [("first", f"x{k}", None) for k in range(3)]
