@@ -17,13 +17,14 @@ SEED = "mix"
 ROWS_PER_BUCKET = 50_000
 # Sources up to which the table of targets, one row each, is broadcast.
 BROADCAST_SOURCES = 100_000
+_DRAWN = "array<struct<after_q:double,after_key:string,most:long,until_q:double,until_key:string>>"
 
 
 @dataclass(frozen=True)
 class Mix:
     """What to take: one row per source, and the columns it is applied to."""
 
-    sources: DataFrame  # source, source_size, target, copies, cut_q, cut_key, closing_key
+    sources: DataFrame  # of, source_size, target, copies, want, drawn, closing_key
     seed: str
     broadcast: bool
 
@@ -89,17 +90,21 @@ def source_targets(
 def plan_mix(
     docs: DataFrame, scratch: Scratch, *, weights: tuple[int, ...] = WEIGHTS, share_percent: int = 150,
     max_copies: int = MAX_COPIES, seed: str = SEED, rows_per_bucket: int = ROWS_PER_BUCKET,
+    fill: bool = True,
 ) -> tuple[Mix, DataFrame]:
     """Decide what to take of ``docs(doc_id, text, source)``; also return their sizes.
 
     Each document is taken ``floor(target / source_size)`` whole times. What is then
     left of the target is a sample without replacement: documents are ranked by their
-    random odds divided by their inclusion odds and taken in that order as long as their
-    words fit; one closing document, the one whose size comes nearest to the gap, is
-    taken if that brings the source nearer to its target.
-
-    The cut is found without sorting a source: sizes are summed per source and bucket of
-    the random number, and only the bucket that holds the cut is ordered. The random
+    random odds divided by their inclusion odds, and each is taken in that order if its
+    words fit what is still wanted; one closing document, the one whose size comes nearest
+    to the gap, is taken if that brings the source nearer to its target. Without ``fill``
+    the order ends at the first document that does not fit.
+
+    A round takes documents no longer than the gap up to the first that does not fit, and
+    the next one goes on behind that with the gap left, until nothing does not fit. The
+    place is found without sorting a source: sizes are summed per source and bucket of
+    the random number, and only the bucket that holds it is ordered. The random
     number hangs on ``seed`` and doc_id only, so reruns agree. Rows that agree in doc_id
     and text are taken together. Sizes are words of white-space separated text; null and
     empty texts have none and take no part. A null source is a source. An empty table
@@ -115,65 +120,106 @@ def plan_mix(
     targets = targets.withColumn("copies", copies).withColumn(
         "want", F.col("target") - F.col("copies") * F.col("source_size")
     )
-    targets, found = scratch.save(targets, "targets", {"n": F.count(F.lit(1))})
+    targets, found = scratch.save(targets.withColumnRenamed("source", "of"), "targets", {"n": F.count(F.lit(1))})
     small = found["n"] <= BROADCAST_SOURCES
 
     # Within a source q rises with u, so buckets of u are in the order of q.
     inclusion = F.expr("try_divide(want, source_size)")
     q = F.when(F.col("want") > 0, _odds(F.col("u")) / _odds(inclusion))
-    ranked = _with_source(sized, targets.withColumnRenamed("source", "of"), small).select(
-        "source", "size", "key", "want", q.alias("q"), F.floor(F.col("u") * buckets).alias("bucket")
+    ranked = _with_source(sized, targets, small).select(
+        "source", "size", "key", q.alias("q"), F.floor(F.col("u") * buckets).alias("bucket")
     ).where(F.col("q").isNotNull() & (F.col("size") > 0))
-    sums = ranked.groupBy("source", "bucket", "want").agg(F.sum("size").alias("words"))
-    upto = Window.partitionBy("source").orderBy("bucket")
-    sums = sums.withColumn("end", F.sum("words").over(upto))
-    cut = sums.where("end > want").groupBy("source").agg(
-        F.min(F.struct("bucket", (F.col("end") - F.col("words")).alias("before"))).alias("cut")
-    ).select(F.col("source").alias("of"), "cut.*")
-    cut, _ = scratch.save(cut.withColumnRenamed("bucket", "cut_bucket"), "cuts")
-    at_cut = _with_source(ranked, cut, small).where("bucket = cut_bucket")
-    words = F.sum("size").over(Window.partitionBy("source").orderBy("q", "key"))
-    last = at_cut.withColumn("end", F.col("before") + words).where("end <= want").groupBy("source").agg(
-        F.max(F.struct("q", "key")).alias("last"), F.max("end").alias("end")
-    ).select(F.col("source").alias("last_of"), F.col("last.q").alias("cut_q"), F.col("last.key").alias("cut_key"), "end")
-    cut = cut.join(last, F.col("of").eqNullSafe(F.col("last_of")), "left").select(
-        "of", "cut_bucket", "cut_q", "cut_key", F.coalesce("end", "before").alias("taken")
+    state = targets.select(
+        "of", F.col("want").alias("gap"), F.lit(None).cast("double").alias("after_q"),
+        F.lit(None).cast("string").alias("after_key"), F.array().cast(_DRAWN).alias("drawn"), F.lit(True).alias("open"),
     )
-    cut, _ = scratch.save(cut, "last")
-
-    rest = _with_source(ranked, cut, small).where(~_before_cut())
-    rest = rest.groupBy("source", "want", "taken", "q", "key").agg(F.sum("size").alias("size"))
-    gap = F.col("want") - F.col("taken")
+    left = 1
+    while left:
+        state, seen = scratch.save(
+            _round(ranked, state, scratch, small, fill), "drawn", {"n": F.count_if(F.col("open") & (F.col("gap") >= 1))}
+        )
+        left = seen["n"] if fill else 0
+
+    rest = _with_source(ranked, state, small).where(~_is_drawn())
+    rest = rest.groupBy("source", "gap", "q", "key").agg(F.sum("size").alias("size"))
+    gap = F.col("gap")
     closing = rest.where(F.abs(gap - F.col("size")) < gap).groupBy("source").agg(
         F.min(F.struct(F.abs(gap - F.col("size")), "q", "key")).alias("best")
     ).select(F.col("source").alias("closing_of"), F.col("best.key").alias("closing_key"))
+    drawn = state.select(F.col("of").alias("drawn_of"), "drawn")
     sources = (
-        targets.join(cut, F.col("source").eqNullSafe(F.col("of")), "left")
-        .join(closing, F.col("source").eqNullSafe(F.col("closing_of")), "left")
-        .withColumn("buckets", F.lit(buckets))
-        .drop("closing_of", "of", "taken")
-        .withColumnRenamed("source", "of")
+        targets.join(drawn, F.col("of").eqNullSafe(F.col("drawn_of")), "left")
+        .join(closing, F.col("of").eqNullSafe(F.col("closing_of")), "left")
+        .drop("closing_of", "drawn_of")
     )
     sources, _ = scratch.save(sources, "plan")
     return Mix(sources, seed, small), sized
 
 
 def _with_source(docs: DataFrame, sources: DataFrame, small: bool) -> DataFrame:
-    return docs.join(F.broadcast(sources) if small else sources, F.col("source").eqNullSafe(F.col("of")))
+    return docs.join(F.broadcast(sources) if small else sources, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+
+
+def _behind(q: str | Column, key: str | Column) -> Column:
+    q, key = (F.col(c) if isinstance(c, str) else c for c in (q, key))
+    return (F.col("q") > q) | ((F.col("q") == q) & (F.col("key") > key))
+
 
+def _round(ranked: DataFrame, state: DataFrame, scratch: Scratch, small: bool, fill: bool) -> DataFrame:
+    """``state(of, gap, after_q, after_key, drawn, open)`` after one more round.
 
-def _before_cut() -> Column:
-    later = (F.col("q") > F.col("cut_q")) | ((F.col("q") == F.col("cut_q")) & (F.col("key") > F.col("cut_key")))
-    inside = (F.col("bucket") == F.col("cut_bucket")) & F.coalesce(~later, F.lit(False))
-    return F.coalesce(F.col("bucket") < F.col("cut_bucket"), F.lit(True)) | F.coalesce(inside, F.lit(False))
+    ``drawn`` has what each round took: what lies between two places and is no longer
+    than ``most``; a null place is no bound. Only ``open`` sources go on. Rows that go
+    together are summed, so several that are short enough alone may be what does not fit.
+    """
+    most = F.floor("gap") if fill else F.lit((1 << 62) - 1)
+    going = state.where("open").withColumn("most", most.cast("long"))
+    fits = (F.col("size") <= F.col("most")) & F.coalesce(_behind("after_q", "after_key"), F.lit(True))
+    rows = _with_source(ranked, going.drop("drawn", "open"), small).where(fits)
+    sums = rows.groupBy("source", "bucket", "gap").agg(F.sum("size").alias("words"))
+    sums = sums.withColumn("end", F.sum("words").over(Window.partitionBy("source").orderBy("bucket")))
+    place = F.struct("bucket", (F.col("end") - F.col("words")).alias("before"))
+    cut = sums.groupBy("source").agg(
+        F.max("end").alias("total"), F.min(F.when(F.col("end") > F.col("gap"), place)).alias("cut")
+    ).select(F.col("source").alias("cut_of"), "total", F.col("cut.bucket").alias("cut_bucket"), F.col("cut.before").alias("before"))
+    cut, _ = scratch.save(cut, "cuts")
+    at_cut = _with_source(rows, cut.withColumnRenamed("cut_of", "of"), small).where("bucket = cut_bucket")
+    words = F.sum("size").over(Window.partitionBy("source").orderBy("q", "key"))
+    end = at_cut.withColumn("end", F.col("before") + words).groupBy("source").agg(
+        F.max(F.when(F.col("end") <= F.col("gap"), F.col("end"))).alias("end"),
+        F.min(F.when(F.col("end") > F.col("gap"), F.struct("q", "key"))).alias("until"),
+    ).withColumnRenamed("source", "end_of")
+    taken = F.when(F.col("until").isNull(), F.coalesce("total", F.lit(0))).otherwise(F.coalesce("end", "before"))
+    drawn = F.struct("after_q", "after_key", "most", F.col("until.q").alias("until_q"), F.col("until.key").alias("until_key"))
+    gone = (
+        going.join(cut, F.col("of").eqNullSafe(F.col("cut_of")), "left")
+        .join(end, F.col("of").eqNullSafe(F.col("end_of")), "left")
+        .select(
+            "of", (F.col("gap") - taken).alias("gap"), F.col("until.q").alias("after_q"),
+            F.col("until.key").alias("after_key"), F.concat("drawn", F.array(drawn)).cast(_DRAWN).alias("drawn"),
+            F.col("until").isNotNull().alias("open"),
+        )
+    )
+    return gone.unionByName(state.where("not open"))
+
+
+def _is_drawn() -> Column:
+    return F.exists(
+        "drawn",
+        lambda d: (F.col("size") <= d["most"])
+        & F.coalesce(_behind(d["after_q"], d["after_key"]), F.lit(True))
+        & F.coalesce(
+            (F.col("q") < d["until_q"]) | ((F.col("q") == d["until_q"]) & (F.col("key") < d["until_key"])), F.lit(True)
+        ),
+    )
 
 
 def _decided(rows: DataFrame) -> DataFrame:
     """Rows of ``_with_source`` with ``times``: how often each is taken."""
     q = F.when(F.col("want") > 0, _odds(F.col("u")) / _odds(F.expr("try_divide(want, source_size)")))
-    rows = rows.withColumn("q", q).withColumn("bucket", F.floor(F.col("u") * F.col("buckets")))
-    drawn = _before_cut() | F.coalesce(F.col("key") == F.col("closing_key"), F.lit(False))
-    extra = F.when(F.col("q").isNotNull() & drawn, 1).otherwise(0)
+    rows = rows.withColumn("q", q)
+    drawn = _is_drawn() | F.coalesce(F.col("key") == F.col("closing_key"), F.lit(False))
+    extra = F.when(F.col("q").isNotNull() & (F.col("size") > 0) & drawn, 1).otherwise(0)
     return rows.withColumn("times", (F.col("copies") + extra).cast("long"))
 
 
@@ -192,7 +238,7 @@ def mix_documents(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
     u, key = _order(mix.seed)
     inner = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "source",
-        u.alias("u"), key.alias("key"),
+        _size().alias("size"), u.alias("u"), key.alias("key"),
     )
     rows = _decided(_with_source(inner, mix.sources, mix.broadcast))
     return rows.select(F.explode(F.array_repeat("row", F.col("times").cast("int"))).alias("row")).select("row.*")
@@ -200,7 +246,8 @@ def mix_documents(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixed_sizes(docs, Scratch(spark))
+    # OP6_SQL ends a source at the first document that does not fit; so does this query.
+    return mixed_sizes(docs, Scratch(spark), fill=False)
 
 
 OP6_SQL = r"""

@@ -62,6 +62,16 @@ def test_targets_and_samples(make_docs, scratch, rows, rows_per_bucket):
     assert {(r.doc_id, r.taken) for r in other} != {(r.doc_id, r.taken) for r in found}
 
 
+def test_long_documents_do_not_end_a_source(make_docs, scratch):
+    rows = [(1001 * s + k, "w " * (100 if k else 60_000), f"s{s}") for s in range(7) for k in range(1001)]
+    found = mixed_sizes(make_docs(rows), scratch, weights=(1,), share_percent=15, rows_per_bucket=500).collect()
+    taken = defaultdict(int)
+    for r in found:
+        assert r.target == 24_000
+        taken[r.doc_id // 1001] += r.taken
+    assert dict(taken) == dict.fromkeys(range(7), 24_000)
+
+
 def test_documents_as_often_as_taken(make_docs, scratch, rows):
     docs = make_docs(rows)
     mixed = mix_documents(docs, scratch)
