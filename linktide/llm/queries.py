@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from linktide.llm.decontaminate import OP5_SQL, op5_benchmark_decontamination
+from linktide.llm.importance import op13_importance_resampling
 from linktide.llm.mixing import OP6_SQL, op6_mix_sources
 from linktide.llm.near_dedup import op8_minhash_near_dedup
 from linktide.llm.pii import op7_personal_data
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_secret_scan": op10_secret_scan,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 ORACLE_SQL = {
