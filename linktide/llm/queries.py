@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from linktide.llm.conversations import op12_conversation_repair
 from linktide.llm.decontaminate import OP5_SQL, op5_benchmark_decontamination
 from linktide.llm.importance import op13_importance_resampling
 from linktide.llm.mixing import OP6_SQL, op6_mix_sources
@@ -13,6 +14,7 @@ from linktide.llm.secrets import op10_secret_scan
 from linktide.llm.suffix_dedup import op4_suffix_dedup
 from linktide.llm.token_counts import op9_token_counts
 from linktide.llm.token_output import op2_token_files
+from linktide.llm.toxicity import op11_toxicity
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
@@ -25,6 +27,8 @@ QUERIES = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_secret_scan": op10_secret_scan,
+    "op11_toxicity": op11_toxicity,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_importance_resampling": op13_importance_resampling,
 }
 
