@@ -226,9 +226,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> tuple[
     known = known.where(F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known, _ = scratch.save(known, "known")
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    # Only texts that may have a label move to meet it.
+    # Only texts that may have a label move to meet it, at every size in the same way.
     asked, _ = IdFilter(known, "doc_id", scratch).split(docs, "doc_id")
-    weights = slot_weights(docs, asked.join(known, "doc_id").select("text", "toxic"), scratch)
+    labelled = asked.join(known.hint("shuffle_hash"), "doc_id").select("text", "toxic")
+    weights = slot_weights(docs, labelled, scratch)
     found, _ = scratch.save(segment_table(docs, weights), "segments")
     told = found.where("n_words > 0").join(known, "doc_id")
     clean = told.where("toxic = 0")

@@ -80,7 +80,8 @@ def test_passages_and_weights(spark, make_docs, scratch):
     assert {r.doc_id for r in found} == {i for i, _ in rows if i % 5 == 0}
     for r in found:
         passage = texts[r.doc_id][r.start : r.end]
-        assert passage.startswith("Vile foul") and passage.endswith("VILE") and r.e_value < 1e-4
+        assert "Vile foul" in passage and "VILE" in passage and r.e_value < 1e-4
+        assert len(passage.split()) <= 8  # a neighbour may have a weight as well
     # The counts and log-odds again, in plain Python.
     train = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 5}
     counts = {k: Counter() for k in ("toxic", "clean", "all")}
