@@ -23,6 +23,8 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--snapshots", type=int, nargs="+")
     parser.add_argument("--format", choices=("text", "parquet"), default="text")
     parser.add_argument("--replace", action="store_true", help="remove results that are there")
+    parser.add_argument("--versioned", action="store_true", help="publish by a pointer once whole")
+    parser.add_argument("--resume", action="store_true", help="go on after the last whole round")
     options = parser.parse_args(arguments)
     logging.basicConfig(level=logging.WARNING)
     logging.getLogger("linktide").setLevel(logging.INFO)
@@ -35,6 +37,8 @@ def main(arguments: list[str] | None = None) -> None:
         snapshots=options.snapshots,
         output_format=options.format,
         replace=options.replace,
+        versioned=options.versioned,
+        resume=options.resume,
     )
     print(f"pages: {report.n_pages}, links: {report.n_links}")
     print(f"blocks: {report.n_blocks}, corrupt: {report.n_corrupt}, untitled: {report.n_untitled}")

@@ -11,15 +11,17 @@ written, so they cost no pass of their own.
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterable
-from dataclasses import dataclass, field
+from collections.abc import Iterable
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linktide.journal import Journal
+from linktide.operators.dictionary import dense_ids, encode_edges
 from linktide.operators.graph import Graph, clean_graph, out_degrees, outlink_lists
 from linktide.operators.skew import HOT_ROWS, hot_threshold
-from linktide.scratch import Scratch, shuffle_partitions
+from linktide.scratch import Scratch, shuffle_partitions, string_partitions
 
 log = logging.getLogger(__name__)
 
@@ -28,6 +30,11 @@ ROUNDS = 8
 DAMPING = 0.85
 INITIAL_RANK = 1.0
 
+# Ranks are added up as whole numbers, so that a sum does not hang on the order in which
+# its rows arrive: a count of 2 ** -20 and, of what is left, a count of 2 ** -52. Sums of
+# either stay whole for 2 ** 31 rows of one target and 2 ** 43 pages; beyond, they fail.
+COARSE, FINE = float(1 << 20), float(1 << 32)
+
 # Sizes: a bucket of 8 million edges is about 130 MB of keys.
 ROWS_PER_BUCKET = 8_000_000
 SMALLEST_BUCKET = 20_000
@@ -72,21 +79,17 @@ def bucket_count(spark: SparkSession, rows: int) -> int:
     return max(1, for_cores, -(-rows // ROWS_PER_BUCKET))
 
 
-def prepare_ranking(
-    graph: Graph,
-    scratch: Scratch,
-    *,
-    hub_rows: int = HOT_ROWS,
-    surrogate: Callable[[Column], Column] = F.xxhash64,
-) -> RankGraph:
-    """Lay the graph out in buckets, under 64-bit keys where these are unique."""
+def prepare_ranking(graph: Graph, scratch: Scratch, *, hub_rows: int = HOT_ROWS) -> RankGraph:
+    """Lay the graph out in buckets, under the dense numbers of its nodes."""
     spark = scratch.spark
-    key = _node_key(graph, surrogate)
     buckets = bucket_count(spark, graph.n_nodes + graph.n_edges)
     hub_degree = hot_threshold(graph.n_edges, hub_rows)
-    edges = graph.edges.select(key(F.col("src")).alias("src"), key(F.col("dst")).alias("dst"))
+    with shuffle_partitions(spark, string_partitions(spark, graph.n_nodes + graph.n_edges)):
+        ids = dense_ids(graph.nodes, graph.n_nodes, scratch)
+        encoded = encode_edges(graph.edges, ids, graph.n_edges, scratch, hub_rows)
+        edges, _ = scratch.save(encoded, "encoded")
     with shuffle_partitions(spark, buckets):
-        named = graph.nodes.select(key(F.col("id")).alias("id"), F.col("id").alias("name"))
+        named = ids.select(F.col("number").alias("id"), F.col("id").alias("name"))
         degrees = out_degrees(edges).withColumnRenamed("src", "id")
         vertices, seen = scratch.save_bucketed(
             named.join(degrees.hint("shuffle_hash"), "id", "left")
@@ -115,17 +118,6 @@ def prepare_ranking(
     )
 
 
-def _node_key(graph: Graph, surrogate: Callable[[Column], Column]) -> Callable[[Column], Column]:
-    """A 64-bit hash as node key if no two nodes share one, else the id itself."""
-    if graph.nodes.schema["id"].dataType.typeName() != "string":
-        return lambda column: column
-    distinct = graph.nodes.agg(F.count_distinct(surrogate(F.col("id")))).first()[0]
-    if distinct == graph.n_nodes:
-        return surrogate
-    log.info("%d node keys collide; ranking on the ids", graph.n_nodes - distinct)
-    return lambda column: column
-
-
 def initial_state(graph: RankGraph) -> DataFrame:
     """``(id, rank, out_degree)`` before the first round."""
     return graph.vertices.select("id", F.lit(INITIAL_RANK).alias("rank"), "out_degree")
@@ -160,6 +152,13 @@ def _stored_start(graph: RankGraph, start: DataFrame, scratch: Scratch) -> tuple
     )
 
 
+def exact_sum(value: Column) -> Column:
+    """The sum of numbers from 0 up, the same for every order and partitioning."""
+    coarse = F.floor(value * COARSE)
+    fine = F.floor((value * COARSE - coarse) * FINE)
+    return F.sum(coarse) / F.lit(COARSE) + F.sum(fine) / F.lit(COARSE * FINE)
+
+
 def contributions(state: DataFrame, graph: RankGraph) -> DataFrame:
     """``(dst, contrib)``: the sum of ``rank / out_degree`` over the inlinks."""
     shares = state.where("out_degree > 0").selectExpr(
@@ -172,14 +171,14 @@ def contributions(state: DataFrame, graph: RankGraph) -> DataFrame:
         received = received.union(
             graph.hub_edges.join(F.broadcast(hubs), "src").select("dst", "share")
         )
-    return received.groupBy("dst").agg(F.sum("share").alias("contrib"))
+    return received.groupBy("dst").agg(exact_sum(F.col("share")).alias("contrib"))
 
 
 def masses() -> dict[str, Column]:
     """Aggregates over a state: all rank, and the rank held by pages without outlinks."""
-    held_by_sinks = F.sum(F.when(F.col("out_degree") == 0, F.col("rank")))
+    held_by_sinks = exact_sum(F.when(F.col("out_degree") == 0, F.col("rank")))
     return {
-        "total_mass": F.coalesce(F.sum("rank"), F.lit(0.0)),
+        "total_mass": F.coalesce(exact_sum(F.col("rank")), F.lit(0.0)),
         "sink_mass": F.coalesce(held_by_sinks, F.lit(0.0)),
     }
 
@@ -204,14 +203,18 @@ def rank_graph(
     damping: float = DAMPING,
     snapshots: Iterable[int] | None = None,
     start: DataFrame | None = None,
+    journal: Journal | None = None,
 ) -> Ranking:
     """Run the rounds; keep the states of the rounds named in ``snapshots`` (the first and
     the last one unless given). Other states go once the next one is written.
 
     ``start`` holds ranks ``(id, rank)`` to go on from; every page starts at 1 without.
+    With a ``journal``, whose ``scratch`` this one has to be, the layout and every round are
+    recorded once they are stored, and what is recorded already is not done again: the run
+    goes on from the last whole round that no missing snapshot lies before.
     """
     if isinstance(graph, Graph):
-        graph = prepare_ranking(graph, scratch)
+        graph = _laid_out(graph, scratch, journal)
     snapshots = checked_snapshots({1, iterations} if snapshots is None else snapshots, iterations)
     state = initial_state(graph)
     if graph.n_nodes == 0:
@@ -222,11 +225,16 @@ def rank_graph(
     }
     metric_rows = []
     with shuffle_partitions(scratch.spark, graph.buckets):
-        if start is not None:
+        states, done = _recorded_rounds(scratch, journal, snapshots, iterations)
+        if done:
+            state, mass, metric_rows = states[done["round"]], done["mass"], done["metric_rows"]
+            log.info("going on after round %d", done["round"])
+        elif start is not None:
             state, mass = _stored_start(graph, start, scratch)
             _check_mass(0, mass["total_mass"], graph.n_nodes)
-        states = {0: state}
-        for number in range(1, iterations + 1):
+        if 0 in snapshots or not done:
+            states[0] = state if not done else initial_state(graph)
+        for number in range(done["round"] + 1 if done else 1, iterations + 1):
             metric_rows.append((number, mass["total_mass"], mass["sink_mass"]))
             update = damped_update(
                 state, contributions(state, graph), mass["sink_mass"], graph.n_nodes, damping
@@ -236,12 +244,46 @@ def rank_graph(
             )
             _check_mass(number, mass["total_mass"], graph.n_nodes)
             log.info("round %d: entering sink mass %r", number, metric_rows[-1][2])
+            if journal is not None:
+                facts = {"state": scratch.facts(state), "mass": mass, "metric_rows": metric_rows}
+                journal.write(f"round_{number}", facts)
             states[number] = state
             if number - 1 not in snapshots:
+                if journal is not None:
+                    journal.forget(f"round_{number - 1}")
                 scratch.drop_bucketed(states.pop(number - 1))
     return Ranking(graph, {n: states[n] for n in snapshots}, metric_rows)
 
 
+def _laid_out(graph: Graph, scratch: Scratch, journal: Journal | None) -> RankGraph:
+    """``prepare_ranking``, or what a journal has of it."""
+    facts = journal.read("layout") if journal is not None else None
+    if facts is not None:
+        tables = {k: facts[k] and scratch.reopen(facts[k]) for k in ("vertices", "edges", "hub_edges")}
+        return RankGraph(**{**facts, **tables})
+    laid_out = prepare_ranking(graph, scratch)
+    if journal is not None:
+        facts = {f.name: getattr(laid_out, f.name) for f in fields(laid_out)}
+        tables = {k: v if v is None else scratch.facts(v) for k, v in facts.items() if k in ("vertices", "edges", "hub_edges")}
+        journal.write("layout", {**facts, **tables})
+    return laid_out
+
+
+def _recorded_rounds(
+    scratch: Scratch, journal: Journal | None, snapshots: set[int], iterations: int
+) -> tuple[dict[int, DataFrame], dict | None]:
+    """The states to keep of a journal's rounds, and its last round that can be gone on from."""
+    records = {} if journal is None else {k: journal.read(f"round_{k}") for k in range(1, iterations + 1)}
+    records = {k: facts for k, facts in records.items() if facts is not None}
+    ends = [k for k in records if all(n in records for n in snapshots if 0 < n <= k)]
+    if not ends:
+        return {}, None
+    last = max(ends)
+    kept = {k: scratch.reopen(records[k]["state"]) for k in records if k == last or k in snapshots and k < last}
+    rows = [tuple(row) for row in records[last]["metric_rows"]]
+    return kept, {"round": last, "mass": records[last]["mass"], "metric_rows": rows}
+
+
 def checked_snapshots(snapshots: Iterable[int], iterations: int) -> set[int]:
     snapshots = set(snapshots)
     if not snapshots <= set(range(iterations + 1)):

@@ -109,6 +109,34 @@ def semi_join(
     return reduce(DataFrame.union, sides)
 
 
+def lookup(
+    df: DataFrame,
+    key: str,
+    table: DataFrame,
+    total: int,
+    scratch: Scratch,
+    floor: int = HOT_ROWS,
+) -> DataFrame:
+    """``df`` with what ``table`` (one row per ``id``) has for its ``key``; other rows drop out.
+
+    As in ``semi_join``, rows of hot keys stay where they are and meet a broadcast of the
+    hot ids' rows, the others shuffle and probe a hash table.
+    """
+    values = [c for c in table.columns if c != "id"]
+    probed = table.withColumnRenamed("id", key)
+    hot = hot_keys(df, key, total, scratch, floor)
+    if hot is None:
+        return df.join(probed.hint("shuffle_hash"), key).select(*df.columns, *values)
+    hot = F.broadcast(hot.select(*_HASHES))
+    hot_table = _hashed(probed, key).join(hot, list(_HASHES), "left_semi")
+    hot_table = hot_table.select(_digest(key).alias("hot_digest"), *values)
+    hashed = _hashed(df, key)
+    hot_rows = hashed.join(hot, list(_HASHES), "left_semi").withColumn("hot_digest", _digest(key))
+    hot_rows = hot_rows.join(F.broadcast(hot_table), "hot_digest")
+    cold_rows = hashed.join(hot, list(_HASHES), "left_anti").join(probed.hint("shuffle_hash"), key)
+    return hot_rows.select(*df.columns, *values).union(cold_rows.select(*df.columns, *values))
+
+
 def with_parts(
     df: DataFrame,
     key: str,

@@ -67,6 +67,40 @@ def _rounds(rounds: int) -> str:
     return ",\n".join(steps)
 
 
+def _exact_sum(value: str) -> str:
+    """A sum that does not hang on the order of its rows: whole counts of two units."""
+    coarse, fine = float(1 << 20), float(1 << 32)
+    rest = f"({value} * {coarse!r}::double - floor({value} * {coarse!r}::double))"
+    return (
+        f"(cast(sum(cast(floor({value} * {coarse!r}::double) as bigint)) as double) / {coarse!r}::double"
+        f" + cast(sum(cast(floor({rest} * {fine!r}::double) as bigint)) as double) / {coarse * fine!r}::double)"
+    )
+
+
+def _exact_rounds(rounds: int) -> str:
+    """As ``_rounds``, equal to the last bit wherever the same sums are formed."""
+    steps = [
+        "exact_0 as materialized (select id, 1.0::double as rank, "
+        "coalesce(out_degree, 0) as out_degree from nodes left join degrees on id = src)"
+    ]
+    held = "case when out_degree = 0 then rank end"
+    for k in range(1, rounds + 1):
+        before = f"exact_{k - 1}"
+        steps.append(
+            f"""exact_{k} as materialized (
+  select s.id,
+         {1 - DAMPING!r}::double + {DAMPING!r}::double
+           * (coalesce(c.contrib, 0::double) + m.sink / cast(m.n as double)) as rank,
+         s.out_degree
+  from {before} s
+  left join (select dst, {_exact_sum("(rank / cast(out_degree as double))")} as contrib
+             from {before} join edges on id = src group by dst) c on s.id = c.dst
+  cross join (select count(*) as n, coalesce({_exact_sum(f"({held})")}, 0) as sink from {before}) m
+)"""
+        )
+    return ",\n".join(steps)
+
+
 def _ranks(rounds: int, tail: str) -> str:
     return f"with {_GRAPH}, {_rounds(rounds)} {tail}"
 
@@ -87,6 +121,11 @@ _MASSES = " union all ".join(
     f"from state_{k}"
     for k in range(ROUNDS)
 )
+_EXACT_MASSES = " union all ".join(
+    f"select {k + 1} as iteration, {_exact_sum('rank')} as total_mass, "
+    f"coalesce({_exact_sum('(case when out_degree = 0 then rank end)')}, 0) as sink_mass from exact_{k}"
+    for k in range(ROUNDS)
+)
 _OUTLINKS = (
     "select id, count(dst) as n_out, coalesce(string_agg(dst, ' ' order by dst), '') as outlinks "
     "from nodes left join edges on id = src group by id"
@@ -101,6 +140,7 @@ _WIKI_OUTLINKS = (
     f"coalesce(string_agg({_WIKI_ID.format('dst')}, ' ' order by dst), '') as value "
     "from nodes left join edges on id = src group by id"
 )
+_NUMBERS = "select id, cast(row_number() over (order by id) - 1 as int) as number from nodes"
 _MALFORMED = (
     "select 'S' || s_suppkey || chr(9) || 'none S1' as value from supplier where s_suppkey % 3 = 0"
 )
@@ -158,6 +198,17 @@ ORACLE_SQL = {
         "select row_number() over (order by round(rank, 6) desc, id) as position, "
         "id, round(rank, 6) as rank from state_8",
     ),
+    "dense_ids": _with_graph(f"select id, number from ({_NUMBERS})"),
+    "dense_edges": _with_graph(
+        f"select s.number as src, d.number as dst from edges join ({_NUMBERS}) s on src = s.id "
+        f"join ({_NUMBERS}) d on dst = d.id"
+    ),
+    "exact_ranking": f"with {_GRAPH}, {_exact_rounds(ROUNDS)} select row_number() over "
+    f"(order by rank desc, id) as position, id, rank from exact_{ROUNDS}",
+    "journal_resume": f"with {_GRAPH}, {_exact_rounds(ROUNDS)} select id, rank from exact_{ROUNDS}",
+    "published_ranking": f"with {_GRAPH}, {_exact_rounds(ROUNDS)} "
+    f"select {_WIKI_ID.format('id')} as id, rank from exact_{ROUNDS}",
+    "exact_masses": f"with {_GRAPH}, {_exact_rounds(ROUNDS - 1)} {_EXACT_MASSES}",
     "kv_text_roundtrip": _with_graph(f"select id as key, outlinks as value from ({_OUTLINKS})"),
     "adjacency_text_links": _with_graph("select src, dst from edges"),
     "ranked_page_roundtrip": _ranks(

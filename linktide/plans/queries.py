@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linktide.journal import Journal
+from linktide.operators import dictionary as d
 from linktide.operators import graph as g
 from linktide.operators import pages as p
 from linktide.operators import rank as r
@@ -17,6 +19,7 @@ from linktide.sinks import (
     write_adjacency,
     write_ranked_pages,
 )
+from linktide.sinks.published import published
 from linktide.sources import (
     malformed_ranked_pages,
     read_adjacency,
@@ -232,6 +235,31 @@ def ordered_ranking(spark, sf_dir):
     return numbered(ranking(_rounded(ranked.ranks(8))), scratch)
 
 
+def dense_ids(spark, sf_dir):
+    scratch = Scratch(spark)
+    nodes, counted = scratch.save(trade_nodes(spark, sf_dir), "nodes", {"n": F.count(F.lit(1))})
+    return d.dense_ids(nodes, counted["n"], scratch)
+
+
+def dense_edges(spark, sf_dir):
+    """The edges in numbers, with targets and sources of more than 20 links taken as hot."""
+    scratch = Scratch(spark)
+    graph = trade_graph(spark, sf_dir, scratch)
+    ids = d.dense_ids(graph.nodes, graph.n_nodes, scratch)
+    return d.encode_edges(graph.edges, ids, graph.n_edges, scratch, hot_rows=20)
+
+
+def exact_ranking(spark, sf_dir):
+    """As ``ranking``, by the last bit: nothing is rounded before ranks are compared."""
+    scratch, _, ranked = _ranking(spark, sf_dir, 8)
+    return numbered(ranking(ranked.ranks(8)), scratch)
+
+
+def exact_masses(spark, sf_dir):
+    _, _, ranked = _ranking(spark, sf_dir, r.ROUNDS)
+    return ranked.metrics(spark)
+
+
 def kv_text_roundtrip(spark, sf_dir):
     scratch = Scratch(spark)
     path = scratch.path("outlinks")
@@ -269,6 +297,18 @@ def resumed_ranking(spark, sf_dir):
     return _rounded(resumed.ranks(5))
 
 
+def journal_resume(spark, sf_dir):
+    """Three rounds with a journal, then all eight in another scratch folder: the second run
+    finds the layout and the third round recorded, and computes five rounds."""
+    folder = Scratch(spark).path("journal")
+    with Scratch(spark) as scratch:
+        graph = trade_graph(spark, sf_dir, scratch)
+        for rounds in (3, 8):
+            journal = Journal(spark, folder, {"damping": r.DAMPING})
+            ranked = r.rank_graph(graph, journal.scratch(), iterations=rounds, snapshots=(rounds,), journal=journal)
+    return ranked.ranks(8)
+
+
 def initial_page_lines(spark, sf_dir):
     """Outlink lists from text, ranked with the initial rank."""
     scratch = Scratch(spark)
@@ -288,6 +328,16 @@ def _dump_results(spark: SparkSession, sf_dir: str) -> str:
     return out
 
 
+def published_ranking(spark, sf_dir):
+    """The ranking that a pointer leads to, after a run of one round and one of eight."""
+    scratch = Scratch(spark)
+    dump, out = scratch.path("dump"), scratch.path("results")
+    write_dump(trade_blocks(spark, sf_dir, scratch), dump)
+    for rounds in (1, 8):
+        rank_dump(spark, dump, out, iterations=rounds, versioned=True, output_format="parquet")
+    return spark.read.parquet(f"{published(spark, out)}/ranking_8")
+
+
 def _read_ranking(spark: SparkSession, path: str) -> DataFrame:
     value = F.col("value").cast("double").alias("rank")
     return _rounded(read_key_values(spark, path).select(F.col("key").alias("id"), value))
@@ -347,11 +397,17 @@ QUERIES = {
         mass_by_round,
         rank_round_1,
         rank_round_8,
+        dense_ids,
+        dense_edges,
+        exact_ranking,
+        exact_masses,
         kv_text_roundtrip,
         adjacency_text_links,
         ranked_page_roundtrip,
         initial_page_lines,
         resumed_ranking,
+        journal_resume,
+        published_ranking,
         dump_ranking,
         dump_ranking_1,
         dump_outlinks,

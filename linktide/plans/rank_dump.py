@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linktide.functions import is_subpage
+from linktide.journal import Journal
 from linktide.operators.graph import Graph, clean_graph, outlink_lists, page_links, page_nodes
 from linktide.operators.pages import has_title, page_targets, parse_pages
 from linktide.operators.rank import DAMPING, ROUNDS, Ranking, checked_snapshots, rank_graph
@@ -22,6 +23,7 @@ from linktide.sinks import (
     write_key_values,
     write_ranking,
 )
+from linktide.sinks.published import drop_version, new_version, publish
 from linktide.sources import drop_file_heads, file_heads, read_records
 
 log = logging.getLogger(__name__)
@@ -91,6 +93,8 @@ def rank_dump(
     snapshots: Iterable[int] | None = None,
     output_format: str = "text",
     replace: bool = False,
+    versioned: bool = False,
+    resume: bool = False,
 ) -> DumpReport:
     """Rank the pages of a dump and write the results below ``output_path``.
 
@@ -99,6 +103,13 @@ def rank_dump(
     without it are of a run that failed. Results that are there already are refused, or
     removed first with ``replace``; nothing else below ``output_path`` is touched.
     ``output_format`` is ``text`` (ids must be free of whitespace) or ``parquet``.
+
+    ``versioned`` results go to a new folder below ``versions`` and are published by a
+    pointer once they are whole (``linktide.sinks.published`` finds them): earlier results
+    stay readable until then, and for good if the run fails. With ``resume`` the graph, the
+    layout and the rounds are recorded below ``_journal`` until the results are written; a run
+    on the same files and damping that finds the journal of one whose driver died goes on
+    after its last whole round.
     """
     if output_format not in ("text", "parquet"):
         raise ValueError(f"output_format {output_format!r} is neither text nor parquet")
@@ -108,22 +119,60 @@ def rank_dump(
         raise ValueError(f"damping is {damping}, not between 0 and 1")
     snapshots = checked_snapshots({1, iterations} if snapshots is None else snapshots, iterations)
     out = output_path.rstrip("/")
-    _clear_results(spark, out, replace)
-    with Scratch(spark) as scratch:
-        records = read_records(spark, input_path, PAGE_START, PAGE_END)
-        graph, counts = dump_graph(records, scratch)
+    if not versioned:
+        _clear_results(spark, out, replace, unfinished=resume)
+    journal = None
+    if resume:
+        journal = Journal(spark, f"{out}/_journal", {"input": _files(spark, input_path), "damping": damping})
+    with journal.scratch() if journal else Scratch(spark) as scratch:
+        graph, counts = _journaled_graph(spark, input_path, scratch, journal)
         log.info("total pages: %d", graph.n_nodes)
         ranked = rank_graph(
-            graph, scratch, iterations=iterations, damping=damping, snapshots=snapshots
+            graph, scratch, iterations=iterations, damping=damping, snapshots=snapshots, journal=journal
         )
         write = _write_text if output_format == "text" else _write_parquet
-        with shuffle_partitions(spark, string_partitions(spark, graph.n_nodes + graph.n_edges)):
-            write(spark, graph, ranked, scratch, out)
-        system, path = _file_system(spark, f"{out}/{_MARKER}")
-        system.create(path).close()
-        return DumpReport(
-            **counts, n_pages=graph.n_nodes, n_links=graph.n_edges, masses=ranked.metric_rows
-        )
+        folder = new_version(out) if versioned else out
+        try:
+            with shuffle_partitions(spark, string_partitions(spark, graph.n_nodes + graph.n_edges)):
+                write(spark, graph, ranked, scratch, folder)
+            system, path = _file_system(spark, f"{folder}/{_MARKER}")
+            system.create(path).close()
+        except BaseException:
+            if versioned:
+                drop_version(spark, folder)
+            raise
+        if versioned:
+            publish(spark, out, folder)
+    if journal:
+        journal.remove()
+    return DumpReport(**counts, n_pages=graph.n_nodes, n_links=graph.n_edges, masses=ranked.metric_rows)
+
+
+def _journaled_graph(
+    spark: SparkSession, input_path, scratch: Scratch, journal: Journal | None
+) -> tuple[Graph, dict]:
+    """``dump_graph`` of a dump's records, or what a journal has of it."""
+    facts = journal.read("graph") if journal else None
+    if facts is not None:
+        tables = {k: scratch.reopen(facts[k]) for k in ("nodes", "edges")}
+        return Graph(**tables, n_nodes=facts["n_nodes"], n_edges=facts["n_edges"]), facts["counts"]
+    graph, counts = dump_graph(read_records(spark, input_path, PAGE_START, PAGE_END), scratch)
+    if journal:
+        tables = {k: scratch.facts(getattr(graph, k)) for k in ("nodes", "edges")}
+        journal.write("graph", {**tables, "n_nodes": graph.n_nodes, "n_edges": graph.n_edges, "counts": counts})
+    return graph, counts
+
+
+def _files(spark: SparkSession, input_path) -> list[list]:
+    """What the input is made of: paths with bytes and, of files, the time of change."""
+    found = []
+    for pattern in [input_path] if isinstance(input_path, str) else list(input_path):
+        system, path = _file_system(spark, pattern)
+        for status in system.globStatus(path) or []:
+            size = system.getContentSummary(status.getPath()).getLength()
+            changed = 0 if status.isDirectory() else status.getModificationTime()
+            found.append([str(status.getPath()), size, changed])
+    return sorted(found)
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -132,14 +181,15 @@ def _file_system(spark: SparkSession, path: str):
     return path.getFileSystem(context._jsc.hadoopConfiguration()), path
 
 
-def _clear_results(spark: SparkSession, out: str, replace: bool) -> None:
-    """Results of another run must not stand beside those of this one."""
+def _clear_results(spark: SparkSession, out: str, replace: bool, unfinished: bool = False) -> None:
+    """Results of another run must not stand beside those of this one. ``unfinished``
+    results, without the marker of a whole run, are replaced."""
     system, path = _file_system(spark, out)
     if not system.exists(path):
         return
     entries = {status.getPath().getName(): status.getPath() for status in system.listStatus(path)}
     found = sorted(name for name in entries if _RESULT.fullmatch(name))
-    if found and not replace:
+    if found and not (replace or unfinished and _MARKER not in entries):
         raise FileExistsError(f"{out} holds results: {', '.join(found)}")
     for name in found:
         system.delete(entries[name], True)

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import atexit
 import itertools
+import json
 import tempfile
 import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql.types import StructType
 
 ROWS_PER_PARTITION = 2_000_000
 # Run tables are in a database of their own: what a killed session leaves is found there.
@@ -61,16 +63,19 @@ class Scratch:
 
     DataFrames returned by ``save`` and ``save_bucketed`` read from that folder,
     so call ``close`` (or leave the ``with`` block) only after using them. What is
-    still open when Python exits is closed then.
+    still open when Python exits is closed then. With ``keep`` only the catalog tables go:
+    the files stay for a later session to ``reopen``.
     """
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None, keep: bool = False):
         self.spark = spark
+        self.keep = keep
         self.run_id = uuid.uuid4().hex[:12]
         self.folder = f"{(root or scratch_root(spark)).rstrip('/')}/linktide-{self.run_id}"
         self._serial = itertools.count()
         self._tables: list[str] = []
         self._stored: list[tuple[DataFrame, str, str]] = []
+        self._facts: list[tuple[DataFrame, dict]] = []
         context = spark.sparkContext
         self._jvm_path = context._jvm.org.apache.hadoop.fs.Path
         self._path = self._jvm_path(self.folder)
@@ -94,8 +99,39 @@ class Scratch:
         df, seen = _observed(df, metrics)
         df.write.parquet(path)
         stored = self.spark.read.schema(df.schema).parquet(path)
+        self._facts.append((stored, {"path": path, "schema": df.schema.json()}))
         return stored, seen.get if seen else {}
 
+    def facts(self, stored: DataFrame) -> dict:
+        """What ``reopen`` needs to read a stored table in another session."""
+        return next(facts for df, facts in self._facts if df is stored)
+
+    def reopen(self, facts: dict) -> DataFrame:
+        """The stored table of these facts, whichever session has written it."""
+        schema = StructType.fromJson(json.loads(facts["schema"]))
+        if "buckets" not in facts:
+            stored = self.spark.read.schema(schema).parquet(facts["path"])
+        else:
+            table = self._create(schema, facts["path"], facts["key"], facts["buckets"])
+            stored = self.spark.table(table)
+            self._stored.append((stored, table, facts["path"]))
+        self._facts.append((stored, facts))
+        return stored
+
+    def _create(self, schema: StructType, path: str, key: str, buckets: int) -> str:
+        """A catalog table over a folder of hash-bucketed files."""
+        table = f"linktide_{self.run_id}_{next(self._serial):03d}_{path.rsplit('/', 1)[1]}"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        location = path.replace("'", "\\'")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{DATABASE}`")
+        table = f"{DATABASE}.{table}"
+        self.spark.sql(
+            f"CREATE TABLE {table} ({columns}) USING parquet "
+            f"CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{location}'"
+        )
+        self._tables.append(table)
+        return table
+
     def save_bucketed(
         self,
         df: DataFrame,
@@ -110,22 +146,15 @@ class Scratch:
         whole buckets.
         """
         path = self.path(name)
-        table = f"linktide_{self.run_id}_{path.rsplit('/', 1)[1]}"
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-        location = path.replace("'", "\\'")
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{DATABASE}`")
-        table = f"{DATABASE}.{table}"
-        self.spark.sql(
-            f"CREATE TABLE {table} ({columns}) USING parquet "
-            f"CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{location}'"
-        )
-        self._tables.append(table)
+        table = self._create(df.schema, path, key, buckets)
         df, seen = _observed(df, metrics)
         # A task writes few buckets: keeping their files open saves sorting by bucket.
         with settings(self.spark, {"spark.sql.maxConcurrentOutputFileWriters": 8}):
             df.write.insertInto(table)
         stored = self.spark.table(table)
         self._stored.append((stored, table, path))
+        facts = {"path": path, "schema": df.schema.json(), "key": key, "buckets": buckets}
+        self._facts.append((stored, facts))
         return stored, seen.get if seen else {}
 
     def drop_bucketed(self, df: DataFrame) -> None:
@@ -144,7 +173,8 @@ class Scratch:
             return
         while self._tables:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._tables.pop()}")
-        self._file_system.delete(self._path, True)
+        if not self.keep:
+            self._file_system.delete(self._path, True)
 
 
 def _observed(df: DataFrame, metrics: dict[str, Column] | None):

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import random
+from fractions import Fraction
 
 import pytest
 from model import induced_edges, masses_and_ranks
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from linktide import rank_graph
+from linktide import clean_graph, rank_graph
 from linktide.operators import rank as r
 from linktide.operators.graph import outlink_lists
+from linktide.scratch import settings
 
 
 def _random_graph(seed, n=40, m=160, red=5):
@@ -68,26 +70,53 @@ def test_no_hub_table_without_hubs(graph_of, scratch):
     assert r.prepare_ranking(graph_of("ab", [("a", "b")]), scratch).hub_edges is None
 
 
-def test_colliding_keys_fall_back_to_ids(graph_of, scratch):
+@pytest.mark.parametrize("hub_rows", [2, 1000])
+def test_nodes_have_dense_numbers(graph_of, scratch, hub_rows):
     nodes, links = _random_graph(4)
-    _, ranks = masses_and_ranks(nodes, induced_edges(set(nodes), links), 2)
-    laid_out = r.prepare_ranking(
-        graph_of(nodes, links), scratch, surrogate=lambda id: F.pmod(F.crc32(id), 7)
-    )
-    assert dict(laid_out.edges.dtypes) == {"src": "string", "dst": "string"}
-    ranked = rank_graph(laid_out, scratch, iterations=2, snapshots=(2,))
-    _assert_close(_ranks(ranked, 2), ranks[1])
-
-
-def test_keys_are_numbers_normally(graph_of, scratch):
-    laid_out = r.prepare_ranking(graph_of("ab", [("a", "b")]), scratch)
-    assert dict(laid_out.edges.dtypes) == {"src": "bigint", "dst": "bigint"}
+    links += [(n, "n7") for n in nodes] + [("n7", n) for n in nodes]
+    edges = induced_edges(set(nodes), links)
+    laid_out = r.prepare_ranking(graph_of(nodes, links), scratch, hub_rows=hub_rows)
+    assert dict(laid_out.edges.dtypes) == {"src": "int", "dst": "int"}
+    names = {row.id: row.name for row in laid_out.vertices.collect()}
+    assert [names[k] for k in range(len(nodes))] == sorted(nodes)
+    stored = laid_out.edges.collect() + (laid_out.hub_edges.collect() if laid_out.hub_edges else [])
+    assert sorted((names[e.src], names[e.dst]) for e in stored) == sorted(edges)
+
+
+def test_sums_do_not_hang_on_the_order(spark):
+    rng = random.Random(9)
+    values = [rng.random() * 10 ** rng.randrange(-8, 7) for _ in range(3000)] + [0.0, 1 / 3, 2.0**40]
+    sums = set()
+    for parts in (1, 3, 50):
+        rng.shuffle(values)
+        rows = spark.createDataFrame([(v,) for v in values], "v double").repartition(parts)
+        sums.add(rows.agg(r.exact_sum(F.col("v"))).first()[0])
+    assert len(sums) == 1
+    assert sums.pop() == pytest.approx(sum(map(Fraction, values)), abs=3003 / 2**52, rel=2**-52)
+    assert spark.range(0).select(F.lit(1.0).alias("v")).agg(r.exact_sum(F.col("v"))).first()[0] is None
+
+
+def test_ranks_are_bit_equal_under_any_partitioning(spark, scratch):
+    rng = random.Random(11)
+    nodes = [f"n{i}" for i in range(300)]
+    links = [(rng.choice(nodes), rng.choice(nodes[:40])) for _ in range(4000)]
+    found = []
+    for parts, hub_rows in ((3, 200_000), (50, 200_000), (7, 12)):
+        rng.shuffle(links)
+        with settings(spark, {"spark.sql.shuffle.partitions": parts}):
+            graph = clean_graph(
+                spark.createDataFrame([(n,) for n in nodes], "id string").repartition(parts),
+                spark.createDataFrame(links, "src string, dst string").repartition(parts),
+                scratch,
+            )
+            laid_out = r.prepare_ranking(graph, scratch, hub_rows=hub_rows)
+            ranked = rank_graph(laid_out, scratch)
+        found.append((_ranks(ranked, 8), ranked.metric_rows))
+    assert found[0] == found[1] == found[2]
 
 
 @pytest.mark.parametrize("hot_rows", [2, 1000])
 def test_numeric_ids_are_their_own_keys(spark, scratch, hot_rows):
-    from linktide import clean_graph
-
     pairs = {(1, i) for i in range(2, 9)} | {(i, 9) for i in range(2, 12)} | {(3, 3)}
     nodes = set(range(1, 10))
     graph = clean_graph(
