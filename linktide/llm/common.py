@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +19,8 @@ LOWER[65:91] += 32
 
 # Text handled at once inside a task; a longer single text is one block of its own.
 BLOCK_BYTES = 2 << 20
+# Bytes hashed at once; a longer single span is hashed by itself.
+HASHED_BYTES = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,8 +49,18 @@ def text_blocks(
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """``(rows, data, offsets)``: row ``i``'s UTF-8 is ``data[offsets[i]:offsets[i + 1]]``.
 
-    Null texts are empty. Blocks hold whole texts of about ``limit`` bytes together.
+    Null texts are empty. Blocks hold whole texts of about ``limit`` bytes together. Before
+    the first block and after the last one, what earlier work has freed goes back to the
+    system: workers live on, and would hold the most that any stage has needed.
     """
+    release_memory()
+    yield from _text_blocks(batches, column, limit)
+    release_memory()
+
+
+def _text_blocks(
+    batches: Iterator[pa.RecordBatch], column: str, limit: int
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     for batch in batches:
         texts = batch.column(column).cast(pa.large_binary()).fill_null(b"")
         if not len(texts):
@@ -64,21 +77,25 @@ def text_blocks(
             first = last
 
 
-_tables: list[tuple[np.ndarray, np.ndarray]] = []
+def release_memory() -> None:
+    """Give freed memory back to the system, where the allocators can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of an odd base and of its inverse; one table per process."""
-    if not _tables or len(_tables[0][0]) < n:
-        base, size = 0x9E3779B97F4A7C15, -(-n // (1 << 20)) << 20
-        up, down = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 1 << 64), np.uint64)
-        up[0] = down[0] = 1
-        np.multiply.accumulate(up, out=up)
-        np.multiply.accumulate(down, out=down)
-        _tables[:] = [(up, down)]
-    return _tables[0]
+    """The first ``n`` powers of an odd base and of its inverse."""
+    base = 0x9E3779B97F4A7C15
+    up, down = np.full(n, base, np.uint64), np.full(n, pow(base, -1, 1 << 64), np.uint64)
+    up[0] = down[0] = 1
+    np.multiply.accumulate(up, out=up)
+    np.multiply.accumulate(down, out=down)
+    return up, down
 
 
+_UP, _DOWN = _powers(HASHED_BYTES + 1)
 _BYTE_VALUES = np.random.default_rng(7).integers(1 << 63, (1 << 64) - 1, 256, np.uint64)
 
 
@@ -90,12 +107,23 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of ``data[start:end]``, whatever stands around."""
-    up, down = _powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * up[: len(data)], out=sums[1:])
-    h = (sums[ends] - sums[starts]) * down[starts]
-    return mixed(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    """64-bit hashes of ``data[start:end]``, whatever stands around; both ``starts`` and
+    ``ends`` ascend. Spans are hashed in parts of the data, so memory does not grow with it.
+    """
+    found = np.empty(len(starts), np.uint64)
+    a = 0
+    while a < len(starts):
+        low = int(starts[a])
+        b = max(a + 1, int(np.searchsorted(ends, low + HASHED_BYTES, "right")))
+        part = data[low : int(ends[b - 1])]
+        up, down = (_UP, _DOWN) if len(part) <= HASHED_BYTES else _powers(len(part) + 1)
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_BYTE_VALUES[part] * up[: len(part)], out=sums[1:])
+        begin, end = starts[a:b] - low, ends[a:b] - low
+        h = (sums[end] - sums[begin]) * down[begin]
+        found[a:b] = mixed(h + (end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        a = b
+    return found
 
 
 def word_spans(

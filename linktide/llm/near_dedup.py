@@ -315,9 +315,10 @@ def drop_near_duplicates(docs: DataFrame, scratch: Scratch, **options) -> DataFr
     document. Texts without words stay. So do rows without a doc_id, as they can't be
     named.
     """
-    rows = near_duplicates(docs, scratch, **options).where("doc_id is not null")
-    counted = rows.groupBy("doc_id").agg(F.count_if("kept").alias("n"), F.count(F.lit(1)).alias("rows"))
-    counted, _ = scratch.save(counted, "kept")
+    with Scratch(docs.sparkSession) as steps:  # they go before the result is read
+        rows = near_duplicates(docs, steps, **options).where("doc_id is not null")
+        counted = rows.groupBy("doc_id").agg(F.count_if("kept").alias("n"), F.count(F.lit(1)).alias("rows"))
+        counted, _ = scratch.save(counted, "kept")
     # Rows that are surely the one kept row of their doc_id stay where they are; only the
     # others, and the few that the filter takes for them, move to be looked up.
     doubted = counted.where("n <> 1 or rows <> 1")

@@ -125,9 +125,11 @@ def _sums(rows: DataFrame, of_batch: Callable[[pa.RecordBatch], np.ndarray], siz
 
     parts = rows.mapInArrow(task, "sums array<double>")
     n = parts.rdd.getNumPartitions()
-    if n > 64:  # the driver gets about the square root of the number of tasks
-        parts = parts.repartition(int(n**0.5)).mapInArrow(add, "sums array<double>")
-    return np.sum([r["sums"] for r in parts.toLocalIterator()] or [np.zeros(size)], axis=0)
+    while n > 64:  # the driver gets 64 rows at most
+        n = max(1, int(n**0.5))
+        parts = parts.repartition(n).mapInArrow(add, "sums array<double>")
+    # One job for all tasks; what the driver gets is bounded by the step before.
+    return parts.toArrow().column("sums").combine_chunks().flatten().to_numpy().reshape(-1, size).sum(axis=0)
 
 
 def bin_edges(features: DataFrame) -> tuple[np.ndarray, ...]:
@@ -294,15 +296,16 @@ def quality_scores(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> Data
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double")
 
 
-def keep_good(
-    docs: DataFrame, labels: DataFrame, scratch: Scratch, threshold: float = THRESHOLD
-) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score ``threshold`` or more, with all columns.
 
     Texts are scored again where they are, so that only features are stored and no text
-    is moved to be filtered.
+    is moved to be filtered; the features go once the model is fitted. Null, empty and
+    wordless texts score like each other and are judged by that score; repeated rows and
+    null doc_ids are judged by their text. An empty table stays empty.
     """
-    model, _ = _trained(docs, labels, scratch)
+    with Scratch(docs.sparkSession) as scratch:
+        model, _ = _trained(docs, labels, scratch)
     if model is None:
         return docs
 

@@ -20,6 +20,8 @@ numbers are little-endian.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from io import BytesIO
 from typing import BinaryIO
 
 import numpy as np
@@ -27,48 +29,92 @@ import numpy as np
 MAGIC = b"LTDACS01"
 CHUNK_BITS = 8
 BLOCK_BITS = 512
+# Ids that are coded at once.
+PIECE_IDS = 1 << 20
 
 
 def _padded(part: bytes) -> bytes:
     return part + bytes(-len(part) % 8)
 
 
-def pack(doc_ids: list[int | None], documents: list[np.ndarray]) -> bytes:
-    """The file of these documents' ids (unsigned 32-bit), in the order given."""
-    left = np.concatenate([*documents, np.zeros(0, np.uint32)]).astype(np.uint32)
-    n_ids, levels = len(left), []
-    while True:
-        chunks = (left & np.uint32((1 << CHUNK_BITS) - 1)).astype(np.uint8).tobytes()
-        left = left >> np.uint32(CHUNK_BITS)
-        more = left > 0
-        if not more.any():
-            levels.append((len(left), chunks, b"", b""))
-            break
-        bits = np.zeros(-(-len(left) // BLOCK_BITS) * BLOCK_BITS, np.uint8)
-        bits[: len(left)] = more
-        ones = bits.reshape(-1, BLOCK_BITS).sum(axis=1, dtype=np.uint64)
-        ranks = np.concatenate([np.zeros(1, np.uint64), np.cumsum(ones)])[:-1].astype("<u8")
-        bitmap = np.packbits(bits, bitorder="little").tobytes()
-        levels.append((len(left), chunks, bitmap, ranks.tobytes()))
-        left = left[more]
+def _pieces(documents: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """The ids of all documents, about ``PIECE_IDS`` at a time."""
+    held, size = [], 0
+    for ids in documents:
+        for k in range(0, len(ids), PIECE_IDS):
+            held.append(ids[k : k + PIECE_IDS])
+            size += len(held[-1])
+            if size >= PIECE_IDS:
+                yield np.concatenate(held).astype(np.uint32)
+                held, size = [], 0
+    if held:
+        yield np.concatenate(held).astype(np.uint32)
+
+
+def _of_level(ids: np.ndarray, level: int) -> np.ndarray:
+    """Those of the ids that have chunks on this level, without their lower chunks."""
+    shifted = ids >> np.uint32(CHUNK_BITS * level)
+    return shifted[shifted > 0] if level else shifted
+
+
+def _flags(documents: list[np.ndarray], level: int) -> bytes:
+    """The bitmap of a level, padded to whole blocks."""
+    parts, rest = [], np.zeros(0, bool)
+    for ids in _pieces(documents):
+        flags = np.concatenate([rest, _of_level(ids, level) >> np.uint32(CHUNK_BITS) > 0])
+        whole = len(flags) - len(flags) % 8
+        parts.append(np.packbits(flags[:whole], bitorder="little").tobytes())
+        rest = flags[whole:]
+    parts.append(np.packbits(rest, bitorder="little").tobytes())
+    bitmap = b"".join(parts)
+    return bitmap + bytes(-len(bitmap) % (BLOCK_BITS // 8))
+
+
+def write_pack(out: BinaryIO, doc_ids: list[int | None], documents: list[np.ndarray]) -> None:
+    """Write the file of these documents' ids (unsigned 32-bit), in the order given.
+
+    Level by level and piece by piece: besides the documents themselves, only a bitmap and
+    a piece are held.
+    """
     sizes = [len(d) for d in documents]
+    counts = [sum(sizes)]
+    for level in range(1, 4):
+        above = sum(int((d >> np.uint32(CHUNK_BITS * level) > 0).sum()) for d in documents)
+        if not above:
+            break
+        counts.append(above)
     starts = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype("<u8")
     index = [
         np.array([0 if d is None else d for d in doc_ids], "<i8").tobytes(),
         _padded(np.array([d is not None for d in doc_ids], np.uint8).tobytes()),
         starts.tobytes(),
     ]
-    at = 32 + 32 * len(levels) + sum(map(len, index))
-    heads, parts = [], []
-    for count, chunks, bitmap, ranks in levels:
-        head = [count]
-        for part in (chunks, bitmap, ranks):
-            head.append(at if part or part is chunks else 0)
-            parts.append(_padded(part))
-            at += len(parts[-1])
-        heads.append(np.array(head, "<u8").tobytes())
-    numbers = np.array([len(doc_ids), n_ids, len(levels)], "<u8").tobytes()
-    return b"".join([MAGIC, numbers, *heads, *index, *parts])
+    at = 32 + 32 * len(counts) + sum(map(len, index))
+    heads = []
+    for level, count in enumerate(counts):
+        blocks = -(-count // BLOCK_BITS) if level + 1 < len(counts) else 0
+        bitmap = at + count + -count % 8
+        ranks = bitmap + blocks * (BLOCK_BITS // 8)
+        heads.append(np.array([count, at, bitmap if blocks else 0, ranks if blocks else 0], "<u8").tobytes())
+        at = ranks + 8 * blocks
+    numbers = np.array([len(doc_ids), counts[0], len(counts)], "<u8").tobytes()
+    out.write(b"".join([MAGIC, numbers, *heads, *index]))
+    for level, count in enumerate(counts):
+        for ids in _pieces(documents):
+            out.write((_of_level(ids, level) & np.uint32((1 << CHUNK_BITS) - 1)).astype(np.uint8).tobytes())
+        out.write(bytes(-count % 8))
+        if level + 1 < len(counts):
+            bitmap = _flags(documents, level)
+            out.write(bitmap)
+            ones = np.bitwise_count(np.frombuffer(bitmap, "<u8")).reshape(-1, BLOCK_BITS // 64).sum(axis=1)
+            out.write(np.concatenate([[0], np.cumsum(ones)])[:-1].astype("<u8").tobytes())
+
+
+def pack(doc_ids: list[int | None], documents: list[np.ndarray]) -> bytes:
+    """The bytes of ``write_pack``."""
+    out = BytesIO()
+    write_pack(out, doc_ids, documents)
+    return out.getvalue()
 
 
 class TokenFile:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from linktide.llm.common import table, text_blocks
 from linktide.llm.encoding import encoder
-from linktide.llm.token_file import TokenFile, pack
+from linktide.llm.token_file import TokenFile, write_pack
 from linktide.scratch import Scratch
 
 END_ID = 2
@@ -55,7 +55,7 @@ def write_token_files(
             name = f"{part:06d}-{number:04d}-{uuid.uuid4().hex[:12]}.tokens"
             system.create_dir(root, recursive=True)
             with system.open_output_stream(f"{root}/{name}") as out:
-                out.write(pack(doc_ids, documents))
+                write_pack(out, doc_ids, documents)
             row = [f"{folder}/{name}", part, number, len(doc_ids), size]
             number, doc_ids, documents, size = number + 1, [], [], 0
             return pa.RecordBatch.from_arrays(

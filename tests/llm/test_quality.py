@@ -38,12 +38,12 @@ def test_odd_rows(spark, make_docs, scratch, odd_texts):
     rows = quality_scores(docs, labels, scratch).collect()
     assert Counter(r.doc_id for r in rows) == Counter(i for i, _ in odd_texts)
     assert len({r.score for r in rows if r.doc_id in (1, 2, 3)}) == 1
-    kept = keep_good(docs, labels, scratch, threshold=0.0)
+    kept = keep_good(docs, labels, threshold=0.0)
     assert kept.columns == docs.columns and kept.count() == len(odd_texts)
     nothing = labels.where("false")
     assert {r.score for r in quality_scores(docs, nothing, scratch).collect()} == {0.5}
     empty = make_docs([])
-    assert quality_scores(empty, labels, scratch).collect() == [] and keep_good(empty, labels, scratch).count() == 0
+    assert quality_scores(empty, labels, scratch).collect() == [] and keep_good(empty, labels).count() == 0
 
 
 def test_features_of_no_words():
