@@ -12,43 +12,30 @@ from linktide.llm.token_output import token_output
 from linktide.scratch import Scratch
 
 
-_open: list[Scratch] = []
-
-
-def _stage_scratch(spark: SparkSession) -> Scratch:
-    """A stage's own folder. What the stages before have stored goes: their results are
-    written by the time that the next stage begins."""
-    while _open:
-        _open.pop().close()
-    _open.append(Scratch(spark))
-    return _open[-1]
-
-
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return keep_good(docs, labels, _stage_scratch(spark))
+    return keep_good(docs, labels)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays (five words, similarity 0.8)."""
-    return drop_near_duplicates(docs, _stage_scratch(spark))
+    return drop_near_duplicates(docs, Scratch(spark))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out; texts that are mostly benchmark go."""
-    _stage_scratch(spark)
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target takes it."""
-    return mix_documents(docs, _stage_scratch(spark))
+    return mix_documents(docs, Scratch(spark))
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files in ascending doc_id order, and what was read back from them."""
-    return token_output(docs, _stage_scratch(spark))
+    return token_output(docs, Scratch(spark))
 
 
 STAGES = [
