@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from linktide.llm.common import mixed, span_hashes, table, text_blocks
 from linktide.llm.membership import IdFilter
 from linktide.llm.suffix_order import suffix_array
+from linktide.operators.skew import lookup
 from linktide.scratch import Scratch
 
 LENGTH = 400
-GROUP_ROWS = 1000
+GROUP_ROWS = 20_000
 BLOCK_SYMBOLS = 100_000
 _GRAM = 16
 
@@ -63,42 +64,70 @@ def _least_places(data: np.ndarray, reach: int) -> np.ndarray:
     return (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
+def _repeating(data: np.ndarray, ends: np.ndarray, starts: np.ndarray, length: int):
+    """``(repeated, told)`` per window: it stands again up to ``_GRAM`` bytes on or before;
+    an equal one stands that near before it. ``ends`` are those of the windows' rows."""
+    repeated, told = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
+    for period in range(1, _GRAM + 1):
+        differ = np.concatenate([[0], np.cumsum(data[:-period] != data[period:], dtype=np.int32)])
+        inside = np.flatnonzero(starts + length + period <= ends)
+        begin = starts[inside]
+        same = inside[differ[begin + length] == differ[begin]]
+        repeated[same] = repeated[same + period] = told[same + period] = True
+    return repeated, told
+
+
 def _runs(data: np.ndarray, offsets: np.ndarray, cut: Cut):
-    """``(row, low, high, anchor, key)`` per run, places counted from the row's start."""
+    """``(row, low, high, anchor, key)`` per run and ``(row, start, end)`` per passage that
+    repeats itself at once, places counted from the row's start.
+
+    Where letters repeat in short periods every window has an anchor of its own. Of equal
+    windows a few bytes apart only the first is told then, and all are marked here.
+    """
     last = offsets[1:] - cut.length  # the last window of each row
     counts = np.maximum(0, last - offsets[:-1] + 1)
     total = int(counts.sum())
+    nothing = np.zeros(0, np.int64)
     if not total:
-        return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),)
+        return (*(nothing,) * 4, np.zeros(0, np.uint64)), (nothing,) * 3
     sums = np.concatenate([[0], np.cumsum(counts)])
     rows = np.repeat(np.arange(len(counts)), counts)
     starts = np.arange(total) + (offsets[:-1] - sums[:-1])[rows]
     anchors = _least_places(data, cut.reach)[starts]
-    fresh = np.ones(total, bool)
-    fresh[1:] = (anchors[1:] != anchors[:-1]) | (rows[1:] != rows[:-1])
-    first = np.flatnonzero(fresh)
-    high = np.concatenate([first[1:], [total]]) - 1
+
+    def firsts() -> np.ndarray:
+        fresh = np.ones(len(starts), bool)
+        fresh[1:] = (anchors[1:] != anchors[:-1]) | (rows[1:] != rows[:-1]) | (starts[1:] != starts[:-1] + 1)
+        return np.flatnonzero(fresh)
+
+    first, passages = firsts(), (nothing,) * 3
+    if len(first) * _GRAM > total:
+        repeated, told = _repeating(data, offsets[1:][rows], starts, cut.length)
+        at = np.flatnonzero(repeated)
+        begins = at[np.concatenate([[True], (np.diff(at) > 1) | (np.diff(rows[at]) > 0)])] if len(at) else at
+        ends = at[np.concatenate([(np.diff(at) > 1) | (np.diff(rows[at]) > 0), [True]])] if len(at) else at
+        base = offsets[:-1][rows[begins]]
+        passages = rows[begins], starts[begins] - base, starts[ends] + cut.length - base
+        starts, anchors, rows = starts[~told], anchors[~told], rows[~told]
+        first = firsts()
+    high = np.concatenate([first[1:], [len(starts)]]) - 1
     row, anchor = rows[first], anchors[first]
     base = offsets[:-1][row]
     keys = span_hashes(data, anchor, anchor + cut.core)
-    return row, starts[first] - base, starts[high] - base, anchor - base, keys
+    return (row, starts[first] - base, starts[high] - base, anchor - base, keys), passages
 
 
 def text_runs(docs: DataFrame, cut: Cut) -> DataFrame:
-    """``(doc_id, text_id, n_bytes, sha256, lows, highs, anchors, keys)`` per row."""
-    schema = (
-        "doc_id long, text_id binary, n_bytes long, sha256 string, lows array<long>, "
-        "highs array<long>, anchors array<long>, keys array<long>"
-    )
+    """``(doc_id, text_id, n_bytes, sha256, lows, highs, anchors, keys, starts, ends)`` per row."""
+    names = ["lows", "highs", "anchors", "keys", "starts", "ends"]
+    schema = "doc_id long, text_id binary, n_bytes long, sha256 string, " + ", ".join(f"{n} array<long>" for n in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_blocks(batches, "text"):
-            row, low, high, anchor, key = _runs(data, offsets, cut)
-            ends = pa.array(np.searchsorted(row, np.arange(len(offsets))), pa.int32())
-            lists = [
-                pa.ListArray.from_arrays(ends, pa.array(x.view(np.int64)))
-                for x in (low, high, anchor, key)
-            ]
+            lists = []
+            for row, *columns in _runs(data, offsets, cut):
+                ends = pa.array(np.searchsorted(row, np.arange(len(offsets))), pa.int32())
+                lists += [pa.ListArray.from_arrays(ends, pa.array(x.view(np.int64))) for x in columns]
             raw = memoryview(data.tobytes())
             digests = [hashlib.sha256(raw[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
@@ -106,7 +135,7 @@ def text_runs(docs: DataFrame, cut: Cut) -> DataFrame:
                     rows.column("doc_id"), pa.array([d.digest() for d in digests], pa.binary()),
                     pa.array(np.diff(offsets)), pa.array([d.hexdigest() for d in digests]), *lists,
                 ],
-                ["doc_id", "text_id", "n_bytes", "sha256", "lows", "highs", "anchors", "keys"],
+                ["doc_id", "text_id", "n_bytes", "sha256", *names],
             )
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
@@ -185,14 +214,34 @@ _TYPES = [pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.bina
 _MARKS = "segment_id binary, first long, last long"
 
 
+def _agreed(a: bytes, b: bytes) -> int:
+    """The length of the longest common prefix, by halving."""
+    low, high = 0, min(len(a), len(b))
+    if a[:high] == b[:high]:
+        return high
+    while high - low > 1:
+        middle = (low + high) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle
+    return low
+
+
 def _common(parts: list[bytes]) -> int:
-    """The length of the longest common prefix."""
-    low, high = min(parts), max(parts)
-    size = min(len(low), len(high))
-    if low[:size] == high[:size]:
-        return size
-    a, b = np.frombuffer(low[:size], np.uint8), np.frombuffer(high[:size], np.uint8)
-    return int(np.argmax(a != b))
+    """The length of the longest prefix that all have."""
+    return _agreed(min(parts), max(parts))
+
+
+def _shared_prefixes(parts: list[bytes]) -> list[int]:
+    """For each, the length of the longest prefix that it shares with any other one."""
+    order = sorted(range(len(parts)), key=parts.__getitem__)
+    found = [0] * len(parts)
+    for i, j in zip(order[:-1], order[1:], strict=True):
+        agreed = _agreed(parts[i], parts[j])
+        found[i] = max(found[i], agreed)
+        found[j] = agreed
+    return found
 
 
 class _Order:
@@ -202,7 +251,9 @@ class _Order:
     middle. A window that starts before the middle is a suffix of its own; it is shared
     if it equals its neighbour in the order. Windows that start in the middle differ
     only behind it: those of two segments are equal as far as the bytes behind agree,
-    which is the most for neighbours in the order of the middles.
+    which is the most for neighbours in the order of the middles. A segment's bytes around
+    its middle take part as far as another segment of the group has them too, and one byte
+    more behind, which settles the order: no window beyond can be shared.
     """
 
     def __init__(self, length: int):
@@ -220,20 +271,21 @@ class _Order:
     def add(self, rows: list[dict]) -> None:
         middle = 258 + self.groups
         self.groups += 1
-        left = [r["segment"][r["low"] : r["core"]] for r in rows]
+        left = [r["segment"][r["low"] : r["core"]][::-1] for r in rows]
         right = [r["segment"][r["core"] + r["core_size"] : r["high"] + self.length] for r in rows]
-        before, after = _common([x[::-1] for x in left]), _common(right)
-        for row, own_left, own_right in zip(rows, left, right, strict=True):
+        before, after = _common(left), _common(right)
+        shared_left, shared_right = _shared_prefixes(left), _shared_prefixes(right)
+        for k, row in enumerate(rows):
             low, high, end = row["low"], row["high"], row["core"] + row["core_size"] + after
             number = len(self.segments)
             self.segments.append((row["segment_id"], row["segment"], high))
             base = len(self.symbols)
-            first = row["core"] - before  # of the middle
-            self.symbols += [b + 2 for b in own_left[: len(own_left) - before]]
-            self.windows += [(base + p - low, number, p) for p in range(low, min(first, high + 1))]
+            first, reached = row["core"] - before, row["core"] - shared_left[k]  # of the middle, of the left
+            self.symbols += [b + 2 for b in left[k][before : shared_left[k]][::-1]]
+            self.windows += [(base + p - reached, number, p) for p in range(reached, min(first, high + 1))]
             self.middles.append((len(self.symbols), number, max(low, first), end))
             self.symbols.append(middle)
-            self.symbols += [b + 2 for b in own_right[after:]]
+            self.symbols += [b + 2 for b in right[k][after : shared_right[k] + 1]]
             self.symbols.append(1)
 
     def _share(self, number: int, first: int, last: int) -> None:
@@ -259,7 +311,7 @@ class _Order:
                 behind = self.segments[number][1][end : self.segments[number][2] + self.length]
                 symbol = self.symbols[place]
                 if last_middle is not None and last_middle[0] == symbol:
-                    agreed = _common([behind, last_middle[1]])
+                    agreed = _agreed(behind, last_middle[1])
                     for k, start, stop in (middle, last_middle[2]):
                         self._share(k, start, stop + agreed - self.length)
                 last_middle = (symbol, behind, middle)
@@ -396,11 +448,11 @@ def repeated_spans(
         F.sort_array(F.collect_list(F.struct("low", "high", "anchor", "key"))).alias("runs")
     )
     wanted, _ = scratch.save(wanted, "wanted")
-    held, _ = scratch.save(_candidates(docs, wanted, cut, scratch), "segments")
+    held, seen = scratch.save(_candidates(docs, wanted, cut, scratch), "segments", {"n": F.count(F.lit(1))})
 
-    kinds = held.groupBy("key", "segment_id").agg(F.sum("copies").alias("n"))
+    kinds = held.groupBy("key", "segment_id").agg(F.sum("copies").alias("n"), F.max("high").alias("high"))
     kinds, _ = scratch.save(kinds, "kinds")
-    whole = kinds.where("n > 1").select("segment_id").distinct()
+    whole = kinds.where("n > 1").select("segment_id", F.lit(0).cast("long").alias("first"), F.col("high").alias("last"))
     several = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("key")
     several, _ = scratch.save(several, "several")
     columns = ["segment", "core", "core_size", "low", "high"]
@@ -408,12 +460,17 @@ def repeated_spans(
         *[F.first(c).alias(c) for c in columns]
     )
     shared = shared_windows(compared, cut, scratch, group_rows)
-    marked = held.select("segment_id", "text_id", "at", "low", "high")
-    spans = marked.join(whole, "segment_id").select(
-        "text_id", (F.col("at") + F.col("low")).alias("start"), (F.col("at") + F.col("high") + length).alias("end")
-    ).union(marked.drop("low", "high").join(shared, "segment_id").select(
-        "text_id", (F.col("at") + F.col("first")).alias("start"), (F.col("at") + F.col("last") + length).alias("end")
-    ))
+    # One row per segment; a segment has some hundred windows at most.
+    marks = whole.union(shared.select(whole.columns)).groupBy(F.col("segment_id").alias("id")).agg(
+        F.collect_set(F.struct("first", "last")).alias("marks")
+    )
+    marks, _ = scratch.save(marks, "marks")
+    placed = held.select("segment_id", "text_id", "at")
+    found = lookup(placed, "segment_id", marks, seen["n"], scratch).select("text_id", "at", F.explode("marks").alias("m"))
+    spans = found.select("text_id", (F.col("at") + F.col("m.first")).alias("start"), (F.col("at") + F.col("m.last") + length).alias("end"))
+    at_once = rows.where(F.size("starts") > 0).groupBy("text_id").agg(F.first("starts").alias("starts"), F.first("ends").alias("ends"))
+    at_once = at_once.select("text_id", F.explode(F.arrays_zip("starts", "ends")).alias("s"))
+    spans = spans.union(at_once.select("text_id", F.col("s.starts").alias("start"), F.col("s.ends").alias("end")))
     merged = spans.groupBy("text_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
     def joined(found: pa.Array) -> list[list[dict]]:

@@ -77,6 +77,42 @@ def test_against_all_windows(make_docs, scratch, length, group_rows):
     assert Counter((r.doc_id, r.n_bytes) for r in sizes) == Counter((i, len((t or "").encode())) for i, t in rows)
 
 
+def test_periodic_texts(make_docs, scratch):
+    """Short periods, each text's windows in others as well, once and more often."""
+    units = ["=", "ab", "-=", "xyz ", "é", "0123456789abcdef", "0123456789abcdefg", "aab" * 7 + "c"]
+    texts = [u * (400 // len(u)) for u in units] + [u * 45 for u in units[:5]]
+    texts += ["k" + "=" * 64 + "q", "=" * 63, "head " + "ab" * 40 + " tail " + "xyz " * 17, "ab" * 32 + "!", "=" * 64]
+    rows = list(enumerate(texts))
+    found, spans = repeated_spans(make_docs(rows), scratch, length=64)
+    names = {bytes(r.text_id): r.doc_id for r in found.collect()}
+    got = {names[bytes(r.text_id)]: [(s.start, s.end) for s in r.spans] for r in spans.collect()}
+    for (i, _), (want, _) in zip(rows, expected([t.encode() for t in texts], 64), strict=True):
+        assert got.get(i, []) == want, i
+
+
+def test_a_long_text_of_one_byte(spark, make_docs, scratch):
+    docs = make_docs([(1, "-" * 1_000_000), (2, "ab" + "-" * 400 + "cd"), (3, "ef" + "-" * 399 + "gh")])
+    found, spans = repeated_spans(docs, scratch)
+    runs = {r.doc_id: len(r.lows) for r in spark.read.parquet(f"{scratch.folder}/000_runs").collect()}
+    assert runs[1] == 1  # not one per byte
+    names = {bytes(r.text_id): r.doc_id for r in found.collect()}
+    got = {names[bytes(r.text_id)]: [(s.start, s.end) for s in r.spans] for r in spans.collect()}
+    assert got == {1: [(0, 1_000_000)], 2: [(2, 402)]}
+
+
+def test_a_group_in_many_surroundings(make_docs, scratch):
+    """One passage between letters of its own in each of many texts, ordered in one group."""
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcd") for _ in range(n))
+    passage = word(45)
+    texts = [word(rng.randrange(40)) + passage + word(rng.randrange(40)) for _ in range(300)]
+    found, spans = repeated_spans(make_docs(list(enumerate(texts))), scratch, length=40)
+    names = {bytes(r.text_id): r.doc_id for r in found.collect()}
+    got = {names[bytes(r.text_id)]: [(s.start, s.end) for s in r.spans] for r in spans.collect()}
+    for i, (want, _) in enumerate(expected([t.encode() for t in texts], 40)):
+        assert got.get(i, []) == want
+
+
 def test_odd_texts_and_no_rows(make_docs, scratch, odd_texts):
     rows, spans = repeated_spans(make_docs(odd_texts), scratch)
     assert rows.count() == len(odd_texts)
