@@ -14,7 +14,8 @@ SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 
-# A few of the most frequent words of the languages that the rules are for.
+# The most frequent words of the languages that the rules are for: English, German, French
+# and Spanish. Texts in others have next to none of them, and fail.
 STOP_WORDS = (
     "the of and to in a is that it for was with as on be "
     "der die das und zu den von mit ist im ein nicht sich auf "
@@ -45,7 +46,7 @@ class Rule:
 RULES = (
     Rule("word_length", 2.0, 12.0),
     Rule("symbol_ratio", most=0.25),
-    Rule("stop_kinds", least=1),
+    Rule("stop_ratio", least=0.05),
     Rule("dup_line_ratio", most=0.5),
     Rule("word_share", least=0.6),
 )
@@ -96,7 +97,7 @@ def document_metrics(docs: DataFrame) -> DataFrame:
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.struct(F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("kinds"))).alias("lines"),
         let(words, _repeat_words).cast("long").alias("n_repeat_words"),
-        F.size(F.array_intersect(words, F.array(*map(F.lit, STOP_WORDS)))).alias("stop_kinds"),
+        F.size(F.filter(words, lambda w: F.lower(w).isin(STOP_WORDS))).alias("n_stops"),
         F.length(text).alias("n_chars"),
     )
 
@@ -106,7 +107,7 @@ def document_metrics(docs: DataFrame) -> DataFrame:
     dup_lines = (F.col("lines.n") - F.col("lines.kinds")).cast("long")
     return counted.select(
         "doc_id", "n_words", "word_chars", "n_symbols", dup_lines.alias("n_dup_lines"), "n_repeat_words",
-        "stop_kinds",
+        ratio(F.col("n_stops"), F.col("n_words")).alias("stop_ratio"),
         ratio(F.col("word_chars"), F.col("n_words")).alias("word_length"),
         ratio(F.col("n_symbols"), F.col("n_words")).alias("symbol_ratio"),
         ratio(dup_lines, F.col("lines.n")).alias("dup_line_ratio"),
@@ -154,7 +155,7 @@ counted as (
     length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols,
     len(lines) as n_lines, len(lines) - len(list_distinct(lines)) as n_dup_lines,
     coalesce(n_repeat_words, 0) as n_repeat_words, length(text) as n_chars,
-    len(list_intersect(list_distinct(w), [{_STOPS}])) as stop_kinds
+    len([x for x in w if list_contains([{_STOPS}], lower(x))]) as n_stops
   from split left join repeated using (doc_id)),
 judged as (
   select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from counted)
@@ -162,6 +163,6 @@ select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as
   cast(n_symbols as bigint) as n_symbols, cast(n_dup_lines as bigint) as n_dup_lines,
   cast(n_repeat_words as bigint) as n_repeat_words, base_failed,
   not base_failed and word_chars between 2 * n_words and 12 * n_words and n_symbols <= 0.25 * n_words
-    and stop_kinds >= 1 and n_dup_lines <= 0.5 * n_lines and word_chars >= 0.6 * n_chars as kept
+    and n_stops / n_words >= 0.05 and n_dup_lines <= 0.5 * n_lines and word_chars >= 0.6 * n_chars as kept
 from judged
 """

@@ -87,6 +87,13 @@ def test_a_rule_of_ones_own(make_docs):
     assert "Python" not in plan and "Exchange hash" not in plan
 
 
+def test_stop_words_are_a_share_of_all_words(make_docs):
+    words = [f"word{k}" for k in range(95)]
+    docs = make_docs([(k, " ".join([*words, *["The"] * k, "ze"])) for k in (1, 4, 5, 6)])
+    found = {r.doc_id: (round(r.stop_ratio, 3), "stop_ratio" in r.failed) for r in quality_rules(docs, RULES).collect()}
+    assert found == {1: (0.01, True), 4: (0.04, True), 5: (0.05, True), 6: (0.059, False)}
+
+
 @pytest.mark.parametrize("n", [6, 5000])
 def test_rules_on_long_repeats(make_docs, n):
     row = quality_rules(make_docs([(1, "one two three four five six " * n)])).first()
