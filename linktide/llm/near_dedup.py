@@ -75,17 +75,43 @@ def prefix_postings(classes: DataFrame, least_matches: int = LEAST_MATCHES) -> D
     in the prefix but need no posting. ``weight`` is high for the centre of a group.
     """
     postings = classes.select("set_id", F.explode("signature").alias("pair"))
+    prefix = F.lit(COORDINATES - least_matches + 1)
+    return _rare_first(postings.withColumns({"total": F.lit(COORDINATES), "prefix": prefix}))
+
+
+def _rare_first(postings: DataFrame) -> DataFrame:
+    """``(pair, set_id, weight)`` of the ``prefix`` rarest of a set's ``total`` postings."""
     lists = postings.groupBy("pair").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    by_class = postings.join(lists, "pair").groupBy("set_id").agg(
+    by_class = postings.join(lists, "pair").groupBy("set_id", "total", "prefix").agg(
         F.sort_array(F.collect_list(F.struct("n", "pair"))).alias("pairs"),
         F.sum(F.round(F.log2("n") * 1024).cast("long")).alias("weight"),
     )
-    left = F.lit(COORDINATES - least_matches + 1) - (F.lit(COORDINATES) - F.size("pairs"))
+    left = (F.col("prefix") - (F.col("total") - F.size("pairs"))).cast("int")
     return by_class.where(left > 0).select(
         F.explode(F.slice(F.col("pairs.pair"), F.lit(1), left)).alias("pair"), "set_id", "weight"
     )
 
 
+def shingle_postings(sets: DataFrame, percent: int) -> DataFrame:
+    """``(pair, set_id, weight)``: each set's rarest shingles among ``sets(set_id, shingles)``.
+
+    Sets whose similarity is ``percent``/100 or more share that part of either's shingles, so
+    they share one of the ``n - ceil(n percent / 100) + 1`` rarest. What many sets have in
+    common, as a licence or a page's frame, is last in this order and posts nothing.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for set_id, shingles in zip(batch.column("set_id").to_pylist(), batch.column("shingles").to_pylist(), strict=True):
+                found = np.frombuffer(shingles, np.int64)
+                n = len(found)
+                prefix = n - -(-n * percent // 100) + 1
+                columns = [pa.array([set_id] * n, pa.binary()), pa.array(found), *[pa.array([v] * n, pa.int32()) for v in (n, prefix)]]
+                yield pa.RecordBatch.from_arrays(columns, ["set_id", "pair", "total", "prefix"])
+
+    schema = "set_id binary, pair long, total int, prefix int"
+    return _rare_first(sets.select("set_id", "shingles").mapInArrow(run, schema))
+
+
 def leader_groups(postings: DataFrame) -> DataFrame:
     """``(leader, set_id)``: each list's members go to the list's central member.
 
@@ -147,15 +173,17 @@ def _group_links(block: _Block, first: int) -> tuple[list[tuple[int, int]], np.n
 
 def exact_links(
     groups: DataFrame, sets: DataFrame, scratch: Scratch, percent: int, least_matches: int,
-    group_rows: int = GROUP_ROWS,
+    group_rows: int = GROUP_ROWS, by_shingle: bool = False,
 ) -> DataFrame:
     """``(a, b)``: links between classes that connect what all links would connect.
 
     ``groups(leader, set_id)``, ``sets(set_id, signature, shingles)``. Inside a group a
     pair counts if its signatures agree ``least_matches`` times and then by the full
     sets; members that are connected already are not compared. A group above
-    ``group_rows`` is dealt out: its members meet the leader in blocks, and those that
-    the leader does not link meet every block of the group.
+    ``group_rows`` is dealt out: its members meet the leader in blocks. Where it does not
+    link them all, the members of such groups are grouped anew by their rarest shingles
+    (``by_shingle``), so that texts which only have common passages part. If a leader of
+    those does not link all of a large group either, the rest meets every block of it.
     """
     sized = groups.groupBy("leader").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members, seen = scratch.save(
@@ -196,6 +224,13 @@ def exact_links(
     starred, _ = scratch.save(starred, "starred")
     links = links.union(starred.where("not left").select("a", "b"))
     left = starred.where("left").select(F.col("a").alias("leader"), F.col("b").alias("set_id"))
+    if not by_shingle:
+        unlinked, _ = scratch.save(left.select("leader").distinct(), "unlinked")
+        again = large.join(unlinked, "leader", "left_semi").select("set_id").distinct()
+        again, _ = scratch.save(sets.join(again, "set_id", "left_semi"), "again")
+        postings, _ = scratch.save(shingle_postings(again, percent), "shingle_postings")
+        anew, _ = scratch.save(leader_groups(postings), "shingle_groups")
+        return links.union(exact_links(anew, again, scratch, percent, least_matches, group_rows, by_shingle=True))
     counts = left.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / group_rows).alias("parts"))
     place = F.pmod(F.xxhash64("set_id"), F.col("parts"))
     probes = (

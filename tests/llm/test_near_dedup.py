@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from pathlib import Path
 
 import pytest
 
@@ -68,6 +69,27 @@ def test_against_all_pairs(make_docs, scratch, odd_texts, words, group_rows):
     assert by_value(map(tuple, found.collect())) == by_value(expected(rows, words))
 
 
+def boilerplate(n, seed=3):
+    """Texts that share most of their words and are linked with nothing, and a few pairs."""
+    rng = random.Random(seed)
+    frame = " ".join(f"licence{k}" for k in range(70))
+    rows = [(k, f"{frame} " + " ".join(f"own{rng.randrange(10**9)}" for _ in range(45))) for k in range(n)]
+    return rows + [(n + k, t + " end") for k, (_, t) in enumerate(rows[: n // 50])]
+
+
+@pytest.mark.parametrize("n", [600, 1200])
+def test_groups_that_only_share_a_frame_stay_linear(spark, make_docs, scratch, n):
+    rows = boilerplate(n)
+    found = near_duplicates(make_docs(rows), scratch, words=4, group_rows=50).collect()
+    assert {r.doc_id: r.component_id for r in found} == {k: k if k < n else k - n for k, _ in rows}
+    tables = {p.name.split("_", 1)[1]: p for p in sorted(Path(scratch.folder).iterdir())}
+    assert "unlinked" in tables  # the leader of a large group has left a rest
+    stored = {name: spark.read.parquet(str(p)).count() for name, p in tables.items()}
+    # Nothing that is moved for the rest grows with the square of the group.
+    assert stored["again"] <= len(rows) and stored["members"] <= 4 * len(rows)
+    assert stored["shingle_groups"] <= 4 * len(rows)
+
+
 def test_no_rows_and_no_words(make_docs, scratch):
     assert near_duplicates(make_docs([]), scratch).collect() == []
     rows = near_duplicates(make_docs([(1, None), (2, "")]), scratch).collect()
