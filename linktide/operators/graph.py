@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linktide.operators.skew import HOT_ROWS, semi_join, with_parts
+from linktide.operators.node_filter import NodeFilter
+from linktide.operators.skew import HOT_ROWS, KeyParts, semi_join, with_parts
 from linktide.scratch import Scratch, shuffle_partitions, string_partitions
 
 
@@ -50,8 +51,9 @@ def clean_graph(
     """Distinct nodes and the distinct links between them.
 
     ``max_links`` is the number of ``links``, or a number above it, for links that
-    are cheap to read again; without it they are stored and counted first. Links move
-    once, to the partition of their target's page, and duplicates are dropped there.
+    are cheap to read again; without it they are stored and counted first. Links that
+    pass a bit filter of the nodes move once, to the partition of their target's page, and
+    duplicates are dropped there.
     """
     spark = scratch.spark
     counted = {"n": F.count(F.lit(1))}
@@ -63,6 +65,10 @@ def clean_graph(
         nodes = nodes.where(F.col("id").isNotNull()).select("id").distinct()
         nodes, seen = scratch.save(nodes, "nodes", counted)
     n_nodes = seen["n"]
+    known = NodeFilter(nodes, n_nodes, scratch)
+    links = known.keep(links, "dst")
+    if not sources_are_nodes:
+        links = known.keep(links, "src")
     with shuffle_partitions(spark, string_partitions(spark, max_links + n_nodes)):
         if not sources_are_nodes:
             links = semi_join(links, "src", nodes, max_links, scratch, hot_rows)
@@ -100,12 +106,14 @@ def outlink_lists(
     scratch: Scratch,
     list_rows: int = HOT_ROWS,
     degrees: DataFrame | None = None,
+    parts: KeyParts | None = None,
 ) -> DataFrame:
     """``(id, part, degree, outlinks)`` for every page, in parts as in ``inlink_lists``; a page
-    without outlinks has an empty list. ``degrees`` is ``out_degrees`` where stored.
+    without outlinks has an empty list. ``degrees`` is ``out_degrees`` where stored,
+    ``parts`` is ``outlink_parts`` where known.
     """
-    counted = None if degrees is None else degrees.withColumnRenamed("out_degree", "n_rows")
-    edges = with_parts(graph.edges, "src", "dst", graph.n_edges, scratch, list_rows, counted)
+    parts = parts or outlink_parts(graph, scratch, list_rows, degrees)
+    edges = parts.of_rows(graph.edges, "src", "dst")
     members = edges.select(
         F.col("src").alias("id"), "part", "key_rows", F.col("dst").alias("member")
     )
@@ -116,6 +124,14 @@ def outlink_lists(
     return _lists(members.union(pages), "outlinks")
 
 
+def outlink_parts(
+    graph: Graph, scratch: Scratch, list_rows: int = HOT_ROWS, degrees: DataFrame | None = None
+) -> KeyParts:
+    """How many parts the outlink lists of pages have; most have one."""
+    counted = None if degrees is None else degrees.withColumnRenamed("out_degree", "n_rows")
+    return KeyParts(graph.edges, "src", graph.n_edges, scratch, list_rows, counted)
+
+
 def _lists(members: DataFrame, list_name: str) -> DataFrame:
     # Shuffling plain rows first beats partial lists: hardly any meet before the shuffle.
     together = members.repartition("id", "part")

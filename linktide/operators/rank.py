@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from linktide.journal import Journal
 from linktide.operators.dictionary import dense_ids, encode_edges
-from linktide.operators.graph import Graph, clean_graph, out_degrees, outlink_lists
+from linktide.operators.graph import Graph, clean_graph, out_degrees, outlink_lists, outlink_parts
 from linktide.operators.skew import HOT_ROWS, hot_threshold
 from linktide.scratch import Scratch, shuffle_partitions, string_partitions
 
@@ -128,9 +128,18 @@ def initial_pages(lists: DataFrame) -> DataFrame:
     return lists.select("id", F.lit(INITIAL_RANK).alias("rank"), "outlinks")
 
 
-def ranked_pages(ranks: DataFrame, graph: Graph, scratch: Scratch) -> DataFrame:
-    """``(id, rank, outlinks)``: ranks with the page structure, one row per list part."""
-    return ranks.join(outlink_lists(graph, scratch), "id").select("id", "rank", "outlinks")
+def ranked_pages(
+    ranks: DataFrame, graph: Graph, scratch: Scratch, list_rows: int = HOT_ROWS
+) -> DataFrame:
+    """``(id, rank, outlinks)``: ranks with the page structure, one row per list part.
+
+    A hub's rank is copied to the parts of its list, and they are joined by id and part, in
+    the partitions that the lists are put together in.
+    """
+    parts = outlink_parts(graph, scratch, list_rows)
+    lists = outlink_lists(graph, scratch, list_rows, parts=parts)
+    ranks = parts.per_part(ranks, "id")
+    return ranks.join(lists, ["id", "part"]).select("id", "rank", "outlinks")
 
 
 def pages_graph(pages: DataFrame, scratch: Scratch) -> tuple[Graph, DataFrame]:

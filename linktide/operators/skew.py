@@ -89,10 +89,12 @@ def semi_join(
     ``df`` is read once per side if there are hot keys.
     """
     wanted = ids.select(F.col("id").alias(key))
+    # As ids are distinct, an inner join: Spark would push a semi join below other joins of
+    # ``df``, such as a filter that is to keep rows from moving.
     probed = wanted.hint("shuffle_hash")
     hot = hot_keys(df, key, total, scratch, floor)
     if hot is None:
-        sides = [df.join(probed, key, "left_semi")]
+        sides = [df.join(probed, key)]
     else:
         hot = F.broadcast(hot.select(*_HASHES))
         hot_wanted = _hashed(wanted, key).join(hot, list(_HASHES), "left_semi")
@@ -100,7 +102,7 @@ def semi_join(
         hashed = _hashed(df, key)
         hot_rows = hashed.join(hot, list(_HASHES), "left_semi").withColumn("hot_digest", _digest(key))
         sides = [
-            hashed.join(hot, list(_HASHES), "left_anti").join(probed, key, "left_semi"),
+            hashed.join(hot, list(_HASHES), "left_anti").join(probed, key),
             hot_rows.join(F.broadcast(hot_wanted), "hot_digest", "left_semi"),
         ]
     sides = [side.select(df.columns) for side in sides]
@@ -137,6 +139,47 @@ def lookup(
     return hot_rows.select(*df.columns, *values).union(cold_rows.select(*df.columns, *values))
 
 
+class KeyParts:
+    """How the rows of keys with more than ``floor`` rows are dealt over parts.
+
+    What part a row is in hangs on its key's rows and ``floor`` alone, not on ``total``.
+    Up to MAX_HOT_KEYS keys are broadcast; with more they are joined in a shuffle.
+    """
+
+    def __init__(
+        self,
+        df: DataFrame,
+        key: str,
+        total: int,
+        scratch: Scratch,
+        floor: int = HOT_ROWS,
+        counted: DataFrame | None = None,
+    ):
+        hot, n_hot = _keys_above(df, key, total, scratch, floor, counted)
+        self._hot = F.broadcast(hot) if hot is not None and n_hot <= MAX_HOT_KEYS else hot
+
+    def of_rows(self, df: DataFrame, key: str, spread: str) -> DataFrame:
+        """Add ``part`` and ``key_rows``: 0 and null for keys of one part, a hash of
+        ``spread`` and the key's rows for others."""
+        if self._hot is None:
+            return df.withColumns({"part": F.lit(0).cast("long"), "key_rows": F.lit(None).cast("long")})
+        part = F.coalesce(F.pmod(F.xxhash64(spread), F.col("n_parts")), F.lit(0))
+        return _hashed(df, key).join(self._hot, list(_HASHES), "left").select(
+            *df.columns, part.cast("long").alias("part"), F.col("n_rows").alias("key_rows")
+        )
+
+    def per_part(self, df: DataFrame, key: str) -> DataFrame:
+        """``df``, one row per key, once for each ``part`` of its key: what is joined with the
+        parts of a key by ``key`` and ``part`` does not meet all of them in one place."""
+        if self._hot is None:
+            return df.withColumn("part", F.lit(0).cast("long"))
+        last = F.coalesce(F.col("n_parts"), F.lit(1)) - 1
+        parts = F.sequence(F.lit(0).cast("long"), last.cast("long"))
+        return _hashed(df, key).join(self._hot, list(_HASHES), "left").select(
+            *df.columns, F.explode(parts).alias("part")
+        )
+
+
 def with_parts(
     df: DataFrame,
     key: str,
@@ -146,17 +189,5 @@ def with_parts(
     floor: int = HOT_ROWS,
     counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``part`` and ``key_rows``: 0 and null for keys of up to ``floor`` rows, a hash of
-    ``spread`` and the key's rows for others.
-
-    What part a row is in hangs on its key's rows and ``floor`` alone, not on ``total``.
-    Up to MAX_HOT_KEYS keys are broadcast; with more the rows are joined in a shuffle.
-    """
-    hot, n_hot = _keys_above(df, key, total, scratch, floor, counted)
-    if hot is None:
-        return df.withColumns({"part": F.lit(0).cast("long"), "key_rows": F.lit(None).cast("long")})
-    part = F.coalesce(F.pmod(F.xxhash64(spread), F.col("n_parts")), F.lit(0))
-    hot = F.broadcast(hot) if n_hot <= MAX_HOT_KEYS else hot
-    return _hashed(df, key).join(hot, list(_HASHES), "left").select(
-        *df.columns, part.cast("long").alias("part"), F.col("n_rows").alias("key_rows")
-    )
+    """``KeyParts.of_rows`` where the parts are used once; ``counted`` as in ``hot_keys``."""
+    return KeyParts(df, key, total, scratch, floor, counted).of_rows(df, key, spread)

@@ -174,6 +174,10 @@ ORACLE_SQL = {
     "dump_edges": _with_graph(
         f"select {_WIKI_ID.format('src')} as src, {_WIKI_ID.format('dst')} as dst from edges"
     ),
+    "dump_edges_parts": _with_graph(
+        f"select {_WIKI_ID.format('src')} as src, {_WIKI_ID.format('dst')} as dst from edges"
+    ),
+    "ranked_pages_parts": f"with {_GRAPH}, {_exact_rounds(1)} select id, rank, out_degree as n_out from exact_1",
     "red_link_filter": _with_graph("select src, dst from edges"),
     "inlink_lists": _with_graph(_INLINKS),
     "outlink_lists": _with_graph(_OUTLINKS),

@@ -286,6 +286,22 @@ def ranked_page_roundtrip(spark, sf_dir):
     )
 
 
+def ranked_pages_parts(spark, sf_dir):
+    """Ranked pages from lists in parts of about 20 members, put together again."""
+    scratch, graph, ranked = _ranking(spark, sf_dir, 1)
+    pages = r.ranked_pages(ranked.ranks(1), graph, scratch, list_rows=20)
+    return pages.groupBy("id", "rank").agg(F.sum(F.size("outlinks")).alias("n_out"))
+
+
+def dump_edges_parts(spark, sf_dir):
+    """As ``dump_edges``, from pages written as blocks of about 20 links."""
+    scratch = Scratch(spark)
+    path = scratch.path("dump")
+    write_dump(trade_blocks(spark, sf_dir, scratch, list_rows=20), path)
+    graph, _ = dump_graph(read_blocks(spark, path, PAGE_START, PAGE_END), scratch)
+    return graph.edges
+
+
 def resumed_ranking(spark, sf_dir):
     """Three rounds, ranked pages to text and back, then the remaining five rounds."""
     scratch, graph, ranked = _ranking(spark, sf_dir, 3)
@@ -404,6 +420,8 @@ QUERIES = {
         kv_text_roundtrip,
         adjacency_text_links,
         ranked_page_roundtrip,
+        ranked_pages_parts,
+        dump_edges_parts,
         initial_page_lines,
         resumed_ranking,
         journal_resume,

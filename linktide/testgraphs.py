@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linktide.operators.graph import Graph, clean_graph
-from linktide.operators.skew import semi_join, with_parts
+from linktide.operators.skew import HOT_ROWS, KeyParts, semi_join
 from linktide.scratch import Scratch
 
 
@@ -44,7 +44,9 @@ def trade_graph(spark: SparkSession, sf_dir: str, scratch: Scratch) -> Graph:
     return clean_graph(trade_nodes(spark, sf_dir), trade_links(spark, sf_dir), scratch)
 
 
-def trade_blocks(spark: SparkSession, sf_dir: str, scratch: Scratch) -> DataFrame:
+def trade_blocks(
+    spark: SparkSession, sf_dir: str, scratch: Scratch, list_rows: int = HOT_ROWS
+) -> DataFrame:
     """``(block)``: the trade graph as wiki pages, red links and noise links included.
 
     A page with very many links is rendered as several blocks with the same title,
@@ -57,8 +59,9 @@ def trade_blocks(spark: SparkSession, sf_dir: str, scratch: Scratch) -> DataFram
     links = semi_join(links, "src", nodes, counted["n"], scratch)
     # A struct sorts by its first field, so the links stand in the order of their targets.
     linked = F.struct("dst", _written_link(F.col("dst")).alias("link"))
+    parts = KeyParts(links, "src", counted["n"], scratch, list_rows)
     lists = (
-        with_parts(links, "src", "dst", counted["n"], scratch)
+        parts.of_rows(links, "src", "dst")
         .groupBy(F.col("src").alias("id"), "part")
         .agg(F.sort_array(F.collect_list(linked)).alias("links"))
     )
@@ -68,7 +71,8 @@ def trade_blocks(spark: SparkSession, sf_dir: str, scratch: Scratch) -> DataFram
         F.lit("]]"),
     )
     text = F.concat_ws(" ", F.col("links.link"), noise)
-    pages = nodes.join(lists, "id", "left").select(_block(_title(F.col("id")), text))
+    pages = parts.per_part(nodes, "id").join(lists, ["id", "part"], "left")
+    pages = pages.where("part = 0 or links is not null").select(_block(_title(F.col("id")), text))
     talk = nodes.where(F.col("id").startswith("C")).select(
         _block(F.concat(_title(F.col("id")), F.lit("/talk")), F.lit("[[S 1]]"))
     )

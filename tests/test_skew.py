@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from linktide.operators import skew
-from linktide.operators.graph import inlink_lists, outlink_lists
+from linktide.operators.graph import drop_red_links, inlink_lists, outlink_lists
+from linktide.operators.node_filter import MOST_NODES, NodeFilter
+from linktide.operators.rank import ranked_pages
 
 
 @pytest.fixture
@@ -97,3 +101,46 @@ def test_lists_of_a_hub_come_in_parts(graph_of, scratch, list_rows):
         assert all(r[name] == sorted(r[name]) for r in rows)
         assert len(rows) == 1 if list_rows == 1000 else len(rows) > 5
         assert len({r.part for r in rows}) == len(rows)
+
+
+def test_node_filter_keeps_all_pages_and_few_red_links(spark, scratch):
+    nodes = spark.range(5000).select(F.concat(F.lit("n"), "id").alias("id"))
+    links = spark.range(40_000).select(F.concat(F.lit("n"), "id").alias("dst"), F.lit(1).alias("src"))
+    for asked in (nodes, nodes.select(F.substring("id", 2, 9).cast("long").alias("id"))):
+        ends = links if asked is nodes else links.select(F.substring("dst", 2, 9).cast("long").alias("dst"), "src")
+        kept = NodeFilter(asked, 5000, scratch).keep(ends, "dst")
+        assert kept.columns == ["dst", "src"]
+        n = kept.count()
+        assert kept.join(asked, F.col("dst") == F.col("id"), "left_semi").count() == 5000
+        assert n < 5000 + 0.05 * 35_000
+    assert NodeFilter(nodes, MOST_NODES + 1, scratch).keep(links, "dst") is links
+    nothing = NodeFilter(nodes.limit(0), 0, scratch)
+    assert nothing.keep(links, "dst") is links
+
+
+def test_red_links_are_dropped_before_they_move(spark, graph_of, scratch):
+    nodes = [f"n{i}" for i in range(50)]
+    links = [(n, f"red{k}") for n in nodes for k in range(40)] + [(n, "n7") for n in nodes] + [("red1", n) for n in nodes]
+    graph = graph_of(nodes, links)
+    assert {(e.src, e.dst) for e in graph.edges.collect()} == {(n, "n7") for n in nodes}
+    stored = spark.createDataFrame(links, "src string, dst string")
+    known = NodeFilter(graph.nodes, 50, scratch)
+    filtered = known.keep(known.keep(stored, "dst"), "src")
+    assert filtered.count() < 50 + 0.1 * 2050
+    plan = drop_red_links(filtered, graph.nodes, 2100, scratch)._jdf.queryExecution().executedPlan().toString()
+    # Read from below: the filter's broadcast join stands under the exchange of the links.
+    assert plan.index("ShuffledHashJoin") < plan.index("BroadcastHashJoin")
+    assert plan.count("BroadcastHashJoin") == 2 and "LeftSemi" not in plan
+
+
+def test_hubs_meet_their_parts_apart(spark, graph_of, scratch):
+    nodes = [f"n{i}" for i in range(60)]
+    graph = graph_of(nodes, [("n0", n) for n in nodes] + [("n1", n) for n in nodes[:30]] + [("n2", "n3")])
+    ranks = graph.nodes.withColumn("rank", F.length("id").cast("double"))
+    pages = ranked_pages(ranks, graph, scratch, list_rows=10)
+    rows = pages.collect()
+    assert sum(r.id == "n0" for r in rows) > 3 and all(r["rank"] == len(r.id) for r in rows)
+    found = {n: sorted(x for r in rows if r.id == n for x in r.outlinks) for n in nodes}
+    assert found == dict.fromkeys(nodes, []) | {"n0": sorted(nodes), "n1": sorted(nodes[:30]), "n2": ["n3"]}
+    plan = pages._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(id#\d+, \d", plan)  # no exchange on the id alone
