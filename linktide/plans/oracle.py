@@ -149,7 +149,16 @@ _CORRUPT = (
     "cast([1, 2, 0][1 + p_partkey % 3] as bigint) as n_links from part"
 )
 
+_DENSE_EDGES = (
+    f"select s.number as src, d.number as dst from edges join ({_NUMBERS}) s on src = s.id "
+    f"join ({_NUMBERS}) d on dst = d.id"
+)
+
 ORACLE_SQL = {
+    "neighbour_blocks": _with_graph(_DENSE_EDGES),
+    "neighbours_of_pages": _with_graph(
+        f"select * from ({_DENSE_EDGES}) where src < 10 or src between 200 and 230"
+    ),
     "block_scan_parts": _BLOCKS,
     "corrupt_pages": _CORRUPT,
     "malformed_lines": _MALFORMED,
@@ -203,10 +212,7 @@ ORACLE_SQL = {
         "id, round(rank, 6) as rank from state_8",
     ),
     "dense_ids": _with_graph(f"select id, number from ({_NUMBERS})"),
-    "dense_edges": _with_graph(
-        f"select s.number as src, d.number as dst from edges join ({_NUMBERS}) s on src = s.id "
-        f"join ({_NUMBERS}) d on dst = d.id"
-    ),
+    "dense_edges": _with_graph(_DENSE_EDGES),
     "exact_ranking": f"with {_GRAPH}, {_exact_rounds(ROUNDS)} select row_number() over "
     f"(order by rank desc, id) as position, id, rank from exact_{ROUNDS}",
     "journal_resume": f"with {_GRAPH}, {_exact_rounds(ROUNDS)} select id, rank from exact_{ROUNDS}",

@@ -19,6 +19,7 @@ from linktide.sinks import (
     write_adjacency,
     write_ranked_pages,
 )
+from linktide.sinks.neighbours import block_edges, read_neighbours, write_neighbours
 from linktide.sinks.published import published
 from linktide.sources import (
     malformed_ranked_pages,
@@ -249,6 +250,26 @@ def dense_edges(spark, sf_dir):
     return d.encode_edges(graph.edges, ids, graph.n_edges, scratch, hot_rows=20)
 
 
+def _written_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark)
+    graph = trade_graph(spark, sf_dir, scratch)
+    ids = d.dense_ids(graph.nodes, graph.n_nodes, scratch)
+    path = scratch.path("neighbours")
+    write_neighbours(d.encode_edges(graph.edges, ids, graph.n_edges, scratch), path, scratch)
+    return read_neighbours(spark, path)
+
+
+def neighbour_blocks(spark, sf_dir):
+    """All edges, from the gap-coded blocks of their pages."""
+    return block_edges(_written_neighbours(spark, sf_dir))
+
+
+def neighbours_of_pages(spark, sf_dir):
+    """The neighbours of the first and of some later pages, read by page."""
+    blocks = _written_neighbours(spark, sf_dir)
+    return block_edges(blocks.where("page < 10 or page between 200 and 230"))
+
+
 def exact_ranking(spark, sf_dir):
     """As ``ranking``, by the last bit: nothing is rounded before ranks are compared."""
     scratch, _, ranked = _ranking(spark, sf_dir, 8)
@@ -415,6 +436,8 @@ QUERIES = {
         rank_round_8,
         dense_ids,
         dense_edges,
+        neighbour_blocks,
+        neighbours_of_pages,
         exact_ranking,
         exact_masses,
         kv_text_roundtrip,
