@@ -25,6 +25,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--replace", action="store_true", help="remove results that are there")
     parser.add_argument("--versioned", action="store_true", help="publish by a pointer once whole")
     parser.add_argument("--resume", action="store_true", help="go on after the last whole round")
+    parser.add_argument("--quarantine", action="store_true", help="write what could not be read")
     options = parser.parse_args(arguments)
     logging.basicConfig(level=logging.WARNING)
     logging.getLogger("linktide").setLevel(logging.INFO)
@@ -39,6 +40,7 @@ def main(arguments: list[str] | None = None) -> None:
         replace=options.replace,
         versioned=options.versioned,
         resume=options.resume,
+        quarantine=options.quarantine,
     )
     print(f"pages: {report.n_pages}, links: {report.n_links}")
     print(f"blocks: {report.n_blocks}, corrupt: {report.n_corrupt}, untitled: {report.n_untitled}")

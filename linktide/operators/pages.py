@@ -25,9 +25,15 @@ _XML_OPTIONS = {
 }
 
 
-def parse_pages(blocks: DataFrame) -> DataFrame:
+# Why a block is in quarantine, and how much of it is kept there.
+UNTITLED, BROKEN = "no title", "broken markup"
+EXCERPT = 500
+
+
+def parse_pages(blocks: DataFrame, excerpts: bool = False) -> DataFrame:
     """``(title, texts, is_corrupt)`` per block, and where a block is from if ``blocks``
-    are records (``RECORD_COLUMNS``); the title is normalised.
+    are records (``RECORD_COLUMNS``); the title is normalised. With ``excerpts`` also the
+    ``reason`` for which a block goes to quarantine, and its first ``EXCERPT`` characters.
 
     Each block is parsed on its own, so a malformed one costs only its own links:
     its title is read from the title element alone.
@@ -43,10 +49,17 @@ def parse_pages(blocks: DataFrame) -> DataFrame:
     rescued = F.from_xml(title_only, _PAGE_FIELDS, _XML_OPTIONS)["title"]
     revisions = F.coalesce(F.col("page.revision.text"), F.array().cast("array<string>"))
     texts = F.filter(F.concat(revisions, F.array("page.text")), lambda text: text.isNotNull())
+    title = normalise_title(F.when(is_corrupt, rescued).otherwise(F.col("page.title")))
+    told = []
+    if excerpts:
+        # A broken block with a title stays as a page without links; one without is lost.
+        reason = F.when(~F.coalesce(title != "", F.lit(False)), UNTITLED).when(is_corrupt, BROKEN)
+        told = [reason.alias("reason"), F.when(reason.isNotNull(), F.substring("block", 1, EXCERPT)).alias("excerpt")]
     return parsed.select(
-        normalise_title(F.when(is_corrupt, rescued).otherwise(F.col("page.title"))).alias("title"),
+        title.alias("title"),
         F.when(is_corrupt, F.array().cast("array<string>")).otherwise(texts).alias("texts"),
         is_corrupt.alias("is_corrupt"),
+        *told,
         *others,
     )
 
@@ -83,7 +96,7 @@ def page_targets(pages: DataFrame, keep: bool = False) -> DataFrame:
 
     One narrow row per page, so that nodes and links come from a single parse.
     """
-    others = [c for c in (*RECORD_COLUMNS, "is_corrupt") if keep and c in pages.columns]
+    others = [c for c in (*RECORD_COLUMNS, "is_corrupt", "reason", "excerpt") if keep and c in pages.columns]
     raws = F.flatten(F.transform("texts", raw_links))
     kept = F.filter(raws, lambda raw: keeps_link(raw, F.col("title")))
     return pages.select(

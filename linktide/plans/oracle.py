@@ -154,7 +154,25 @@ _DENSE_EDGES = (
     f"join ({_NUMBERS}) d on dst = d.id"
 )
 
+_QUARANTINED_LINES = """
+select 'S' || s_suppkey as id,
+  ['rank is no number', 'no rank', 'no rank', 'page'][1 + s_suppkey % 4] as reason,
+  case when s_suppkey % 4 = 3 then 2 end::bigint as n_out,
+  (select count(*) filter (s_suppkey % 4 = 3) || ' ' || count(*) filter (s_suppkey % 4 in (1, 2))
+     || ' ' || count(*) filter (s_suppkey % 4 = 0) from supplier) as counts
+from supplier
+"""
+_QUARANTINED_PAGES = """
+select case when p_partkey % 4 = 2 then 'broken markup' else 'no title' end as reason, p_partkey as number,
+  case when p_partkey % 4 = 2 then 'P_' || p_partkey else '' end as id,
+  (select count(*) from part where p_partkey % 4 in (0, 1)) as n_untitled,
+  (select count(*) from part where p_partkey % 4 = 2) as n_corrupt
+from part where p_partkey % 4 <> 3
+"""
+
 ORACLE_SQL = {
+    "quarantined_lines": _QUARANTINED_LINES,
+    "quarantined_pages": _QUARANTINED_PAGES,
     "neighbour_blocks": _with_graph(_DENSE_EDGES),
     "neighbours_of_pages": _with_graph(
         f"select * from ({_DENSE_EDGES}) where src < 10 or src between 200 and 230"

@@ -27,6 +27,7 @@ from linktide.sources import (
     read_blocks,
     read_key_values,
     read_ranked_pages,
+    split_ranked_pages,
 )
 from linktide.testgraphs import trade_blocks, trade_graph, trade_links, trade_nodes, write_dump
 
@@ -112,6 +113,42 @@ def malformed_lines(spark, sf_dir):
     return malformed_ranked_pages(spark, path)
 
 
+def quarantined_lines(spark, sf_dir):
+    """Ranked-page lines of suppliers with and without faults, split in one scan: the good
+    ones, and the bad ones with their reason."""
+    scratch = Scratch(spark)
+    path = scratch.path("lines")
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("k"))
+    kind = F.pmod("k", F.lit(4))
+    rank = F.when(kind == 0, "\tnone S1").when(kind == 1, "").when(kind == 2, "\t").otherwise("\t1.5 S1 S2")
+    suppliers.select(F.concat(F.lit("S"), "k", rank)).write.text(path)
+    pages, bad, counts = split_ranked_pages(spark, path, scratch)
+    good = pages.select("id", F.lit("page").alias("reason"), F.size("outlinks").cast("long").alias("n_out"))
+    bad = bad.select(F.regexp_extract("line", r"^\S*", 0).alias("id"), "reason", F.lit(None).cast("long"))
+    total = F.array(*[F.lit(counts[c]).cast("long") for c in ("pages", "no rank", "rank is no number")])
+    return good.union(bad).withColumn("counts", F.array_join(total, " "))
+
+
+def quarantined_pages(spark, sf_dir):
+    """Blocks of a dump without a title or with broken markup, as a run puts them aside."""
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("k"))
+    kind = F.pmod("k", F.lit(4))
+    title = F.when(kind == 1, "").otherwise(F.concat(F.lit("P "), "k"))
+    text = F.when(kind == 2, "[[P 3]] <b>broken").when(kind == 3, "[[P 4]]").otherwise("no link")
+    head = F.when(kind == 0, "<page>").otherwise(F.concat(F.lit("<page><title>"), title, F.lit("</title>")))
+    block = F.concat(head, F.lit("<text>"), text, F.lit("</text><id>"), "k", F.lit("</id></page>"))
+    scratch = Scratch(spark)
+    dump, out = scratch.path("dump"), scratch.path("results")
+    write_dump(parts.select(block.alias("block")), dump)
+    report = rank_dump(spark, dump, out, iterations=1, quarantine=True)
+    bad = spark.read.parquet(f"{out}/quarantine")
+    number = F.regexp_extract("excerpt", "<id>([0-9]+)</id>", 1).cast("long").alias("number")
+    return bad.select(
+        "reason", number, F.coalesce("id", F.lit("")).alias("id"),
+        F.lit(report.n_untitled).cast("long").alias("n_untitled"), F.lit(report.n_corrupt).cast("long").alias("n_corrupt"),
+    )
+
+
 def parse_pages(spark, sf_dir):
     return _pages(spark, sf_dir).select("title", F.size("texts").alias("n_texts"))
 
@@ -415,6 +452,8 @@ QUERIES = {
         block_scan_parts,
         corrupt_pages,
         malformed_lines,
+        quarantined_lines,
+        quarantined_pages,
         parse_pages,
         extract_links,
         filter_links,

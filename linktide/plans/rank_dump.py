@@ -36,7 +36,7 @@ PAGE_END = "</page>"
 BROADCAST_FILES = 1_000_000
 
 _MARKER = "_SUCCESS"
-_RESULT = re.compile(rf"outlinks|n|masses|ranking_\d+|{_MARKER}")
+_RESULT = re.compile(rf"outlinks|n|masses|quarantine|ranking_\d+|{_MARKER}")
 
 
 @dataclass(frozen=True)
@@ -50,14 +50,21 @@ class DumpReport:
 
 
 def dump_graph(blocks: DataFrame, scratch: Scratch) -> tuple[Graph, dict]:
-    """The clean link graph of page blocks or of ``read_records``, and counts of the blocks.
+    """The clean link graph of page blocks or of ``read_records``, and counts of the blocks."""
+    return ingest(blocks, scratch)[:2]
+
+
+def ingest(blocks: DataFrame, scratch: Scratch) -> tuple[Graph, dict, DataFrame]:
+    """The clean link graph, counts of the blocks, and the quarantine: ``(reason, file, id,
+    excerpt)`` of blocks without a title, which are lost, and of those with broken markup,
+    which stay as pages without links. Plain blocks have no ``file``.
 
     Each block is parsed once: titles and targets are stored narrow, and nodes and
     links are both read from there. A link's source is a page by construction. Of
     records, each file's first one is found in what is stored, and left out.
     """
     pages, written = scratch.save(
-        page_targets(parse_pages(blocks), keep=True),
+        page_targets(parse_pages(blocks, excerpts=True), keep=True),
         "pages",
         {"n_links": F.coalesce(F.sum(F.size("targets")), F.lit(0))},
     )
@@ -80,7 +87,9 @@ def dump_graph(blocks: DataFrame, scratch: Scratch) -> tuple[Graph, dict]:
         max_links=written["n_links"],
         sources_are_nodes=True,
     )
-    return graph, counts.asDict()
+    file = F.col("record_file") if "record_file" in pages.columns else F.lit(None).cast("string")
+    bad = pages.where("reason is not null").select("reason", file.alias("file"), "id", "excerpt")
+    return graph, counts.asDict(), bad
 
 
 def rank_dump(
@@ -95,6 +104,7 @@ def rank_dump(
     replace: bool = False,
     versioned: bool = False,
     resume: bool = False,
+    quarantine: bool = False,
 ) -> DumpReport:
     """Rank the pages of a dump and write the results below ``output_path``.
 
@@ -109,7 +119,8 @@ def rank_dump(
     stay readable until then, and for good if the run fails. With ``resume`` the graph, the
     layout and the rounds are recorded below ``_journal`` until the results are written; a run
     on the same files and damping that finds the journal of one whose driver died goes on
-    after its last whole round.
+    after its last whole round. ``quarantine`` also writes what could not be read in full,
+    with the reason, as the parquet table ``quarantine``; the report has their numbers.
     """
     if output_format not in ("text", "parquet"):
         raise ValueError(f"output_format {output_format!r} is neither text nor parquet")
@@ -125,7 +136,7 @@ def rank_dump(
     if resume:
         journal = Journal(spark, f"{out}/_journal", {"input": _files(spark, input_path), "damping": damping})
     with journal.scratch() if journal else Scratch(spark) as scratch:
-        graph, counts = _journaled_graph(spark, input_path, scratch, journal)
+        graph, counts, bad = _journaled_graph(spark, input_path, scratch, journal)
         log.info("total pages: %d", graph.n_nodes)
         ranked = rank_graph(
             graph, scratch, iterations=iterations, damping=damping, snapshots=snapshots, journal=journal
@@ -135,6 +146,8 @@ def rank_dump(
         try:
             with shuffle_partitions(spark, string_partitions(spark, graph.n_nodes + graph.n_edges)):
                 write(spark, graph, ranked, scratch, folder)
+            if quarantine:
+                bad.write.mode("overwrite").parquet(f"{folder}/quarantine")
             system, path = _file_system(spark, f"{folder}/{_MARKER}")
             system.create(path).close()
         except BaseException:
@@ -150,17 +163,19 @@ def rank_dump(
 
 def _journaled_graph(
     spark: SparkSession, input_path, scratch: Scratch, journal: Journal | None
-) -> tuple[Graph, dict]:
-    """``dump_graph`` of a dump's records, or what a journal has of it."""
+) -> tuple[Graph, dict, DataFrame]:
+    """``ingest`` of a dump's records, or what a journal has of it."""
     facts = journal.read("graph") if journal else None
     if facts is not None:
         tables = {k: scratch.reopen(facts[k]) for k in ("nodes", "edges")}
-        return Graph(**tables, n_nodes=facts["n_nodes"], n_edges=facts["n_edges"]), facts["counts"]
-    graph, counts = dump_graph(read_records(spark, input_path, PAGE_START, PAGE_END), scratch)
+        graph = Graph(**tables, n_nodes=facts["n_nodes"], n_edges=facts["n_edges"])
+        return graph, facts["counts"], scratch.reopen(facts["bad"])
+    graph, counts, bad = ingest(read_records(spark, input_path, PAGE_START, PAGE_END), scratch)
     if journal:
-        tables = {k: scratch.facts(getattr(graph, k)) for k in ("nodes", "edges")}
+        bad, _ = scratch.save(bad, "bad")
+        tables = {k: scratch.facts(getattr(graph, k)) for k in ("nodes", "edges")} | {"bad": scratch.facts(bad)}
         journal.write("graph", {**tables, "n_nodes": graph.n_nodes, "n_edges": graph.n_edges, "counts": counts})
-    return graph, counts
+    return graph, counts, bad
 
 
 def _files(spark: SparkSession, input_path) -> list[list]:

@@ -6,6 +6,7 @@ from linktide.sources.lines import (
     read_adjacency,
     read_key_values,
     read_ranked_pages,
+    split_ranked_pages,
 )
 
 __all__ = [
@@ -16,5 +17,6 @@ __all__ = [
     "read_blocks",
     "read_key_values",
     "read_ranked_pages",
+    "split_ranked_pages",
     "read_records",
 ]

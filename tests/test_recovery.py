@@ -113,7 +113,7 @@ def test_a_dump_run_that_died_goes_on(spark, dump, tmp_path, rounds, monkeypatch
     with pytest.raises(DriverDied):
         rank_dump(spark, str(dump), str(out), **options)
     rounds.done, rounds.die_in = 0, None
-    monkeypatch.setattr(plan, "dump_graph", None)  # not parsed again
+    monkeypatch.setattr(plan, "ingest", None)  # not parsed again
     report = rank_dump(spark, str(dump), str(out), **options)
     assert rounds.done == 3 and report.n_pages == 5 and len(report.masses) == 8
     folder = published(spark, str(out)) if versioned else out
