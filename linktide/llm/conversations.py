@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from linktide.llm.alternation import ASSISTANT, BLOCK_TURNS, START, advance, block_table, ended
 from linktide.llm.common import table
+from linktide.llm.crc_grams import sql_crc32
 from linktide.scratch import Scratch
 
 # Conversations with more turns are cut into pieces that several tasks align.
@@ -343,3 +344,76 @@ def repaired(turns: DataFrame, scratch: Scratch, long_turns: int = LONG_TURNS) -
 
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repaired(damaged(table(spark, sf_dir, "conversations")), Scratch(spark))
+
+
+OP12_SQL = rf"""
+with recursive named as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as name from conversations),
+kinds as (select *, {sql_crc32('name')} % 20 as kind from named),
+hurt as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+    case when kind = 1 then '' when kind = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from kinds, unnest(range(case kind when 0 then 0 when 3 then 2 else 1 end)) as copies(k)),
+placed as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as n from hurt),
+judged as (
+  select *, left(role, 1) as initial, regexp_replace(text, '[\x20\x09-\x0D]+$', '') as worded,
+    row_number() over (partition by conv_id, role, text order by n) > 1 as again,
+    left(lag(role) over (partition by conv_id order by n), 1) as previous from placed),
+faulty as (
+  select *, case when worded = '' then 'blank' when again then 'duplicate'
+    when right(worded, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault from judged),
+turns as (
+  select *, fault in ('blank', 'duplicate') as goes, (fault = 'truncated')::bigint as more from faulty),
+inserts(state, k, opened) as (values
+  ('', 0, ''), ('', 1, 'u'), ('', 2, 'a'), ('', 3, 'u'), ('s', 0, 's'), ('s', 1, 'u'), ('s', 2, 'a'), ('s', 3, 'u'),
+  ('u', 0, 'u'), ('u', 1, 'a'), ('u', 2, 'u'), ('a', 0, 'a'), ('a', 1, 'u'), ('a', 2, 'a')),
+walk as (
+  select distinct conv_id, 0::bigint as n, '' as state, {{'cost': 0::bigint, 'audit': ''}} as best from conversations
+  union all
+  select conv_id, n, after, min({{'cost': cost, 'audit': audit}}) from (
+    select w.conv_id, t.n, e.after, w.best.cost + 2 * i.k + e.cost as cost,
+      w.best.audit || repeat('I', i.k) || e.edit as audit
+    from walk w join turns t on t.conv_id is not distinct from w.conv_id and t.n = w.n + 1
+    join inserts i on i.state = w.state,
+    lateral (
+      select 'D' as edit, 3 as cost, i.opened as after
+      union all
+      select case when t.initial = wanted then 'K' else 'R' end, t.more + case when t.initial = wanted then 0 else 2 end, wanted
+      from (select case when i.opened = 'u' then 'a' else 'u' end as wanted) where not t.goes
+      union all
+      select 'K', t.more, 's' where not t.goes and i.opened = '' and t.initial = 's') as e)
+  group by conv_id, n, after),
+ends as (
+  select w.conv_id, min({{'cost': best.cost + e.cost, 'audit': best.audit || e.audit}}) as best
+  from walk w join (select conv_id, max(n) as n from walk group by conv_id) m
+    on m.conv_id is not distinct from w.conv_id and m.n = w.n
+  join (values ('', 0, ''), ('s', 4, 'II'), ('u', 2, 'I'), ('a', 0, '')) as e(state, cost, audit) on e.state = w.state
+  group by w.conv_id),
+edits as (
+  select conv_id, best.audit[p] as edit, p, p - length(replace(best.audit[1:p], 'I', '')) as inserted
+  from ends, unnest(range(1, length(best.audit) + 1)) as places(p)),
+kept as (
+  select e.conv_id, e.p, e.edit, t.role, t.text, row_number() over (partition by e.conv_id order by e.p) as line
+  from edits e left join turns t on t.conv_id is not distinct from e.conv_id and e.edit <> 'I' and t.n = e.p - e.inserted
+  where e.edit <> 'D'),
+lined as (
+  select *, line - max(case when line = 1 and edit = 'K' and left(role, 1) = 's' then 1 else 0 end) over (partition by conv_id) as spot
+  from kept),
+texts as (
+  select conv_id, string_agg(
+    case when edit = 'K' then role when spot % 2 = 1 then 'user' else 'assistant' end || ':' ||
+    case when edit = 'I' then '' else text end, chr(10) order by p) as text
+  from lined group by conv_id),
+told as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps,
+    count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+    count(*) filter (fault = 'truncated') as truncated,
+    count(*) filter (n > 1 and previous || initial not in ('su', 'ua', 'au')) as illegal
+  from turns group by conv_id)
+select e.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, best.cost as cost, best.audit as audit,
+  sha256(coalesce(x.text, '')) as repaired_sha256
+from ends e left join told t on t.conv_id is not distinct from e.conv_id
+left join texts x on x.conv_id is not distinct from e.conv_id
+"""

@@ -136,3 +136,16 @@ class RunningCrcs:
         k = k[k + words <= self.last]
         end = k + words - 1
         return k, self.after[end] ^ shift(self.before[k], self.ends[end] - self.starts[k])
+
+
+def sql_crc32(text: str) -> str:
+    """DuckDB SQL for the CRC-32 of a text expression's UTF-8, four bits at a time."""
+    rests = range(16)
+    for _ in range(4):
+        rests = [(r >> 1) ^ POLYNOMIAL if r & 1 else r >> 1 for r in rests]
+    table = "[" + ", ".join(map(str, rests)) + "]"
+    nibbles = f"string_split(regexp_replace(hex(encode({text})), '(.)(.)', '\\2\\1', 'g'), '')"
+    return (
+        f"xor(list_reduce([4294967295] || [strpos('123456789ABCDEF', h) for h in {nibbles}], "
+        f"lambda c, x: xor(c >> 4, {table}[1 + (xor(c, x) & 15)])), 4294967295)"
+    )

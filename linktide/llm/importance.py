@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linktide.llm.common import table, text_blocks
-from linktide.llm.crc_grams import RunningCrcs
+from linktide.llm.crc_grams import RunningCrcs, sql_crc32
 from linktide.scratch import Scratch
 from linktide.sinks.ranking import numbered
 
@@ -123,3 +123,37 @@ def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     rows = importance_sample(docs, target, Scratch(spark))
     return rows.select("doc_id", "n_features", "weight", "score", F.col("rank").cast("long").alias("rank"))
+
+
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+OP13_SQL = f"""
+with docs as (select row_number() over () as r, doc_id, {_WORDS} as w from documents),
+texts as (select r, w from docs union all select -1, {_WORDS} from benchmark),
+spelled as (
+  select r, array_to_string(w[i:i + n - 1], ' ') as f
+  from texts, (values (1), (2), (3)) as sizes(n), unnest(range(1, len(w) - n + 2)) as places(i)),
+coded as (select f, {sql_crc32('f')} % 10000 as b from (select distinct f from spelled)),
+counted as (select r, b, count(*) as n from spelled join coded using (f) group by r, b),
+sides as (
+  select b, coalesce(sum(n) filter (r > 0), 0)::double as s, coalesce(sum(n) filter (r < 0), 0)::double as t
+  from (select * from counted union all select 1, range, 0 from range(10000)) group by b),
+gains as (
+  select b, cast(floor(1000 * ln(((t + 1) * (sum(s) over () + 10000)) / ((s + 1) * (sum(t) over () + 10000)))) as bigint) as g
+  from sides),
+weighed as (select r, sum(n) as n_features, sum(n * g) as weight from counted join gains using (b) group by r),
+hashed as (
+  select *, cast('0x' || substr(sha256('42:' || coalesce(cast(doc_id as varchar), '')), 1, 8) as bigint) as h
+  from docs left join weighed using (r)),
+scored as (
+  select doc_id, len(w) >= 20 as enough, coalesce(n_features, 0)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+    (coalesce(weight, 0) + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double))))::bigint as score
+  from hashed),
+placed as (
+  select *, row_number() over (partition by enough order by score desc, doc_id nulls first, n_features) as place,
+    5 * count(*) filter (enough) over () // 100 as drawn
+  from scored)
+select doc_id, n_features, weight, score, case when enough and place <= drawn then place end as rank from placed
+"""

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from linktide.llm.conversations import op12_conversation_repair
+from linktide.llm.conversations import OP12_SQL, op12_conversation_repair
 from linktide.llm.decontaminate import OP5_SQL, op5_benchmark_decontamination
-from linktide.llm.importance import op13_importance_resampling
+from linktide.llm.importance import OP13_SQL, op13_importance_resampling
 from linktide.llm.mixing import OP6_SQL, op6_mix_sources
 from linktide.llm.near_dedup import op8_minhash_near_dedup
 from linktide.llm.pii import op7_personal_data
@@ -36,4 +36,6 @@ ORACLE_SQL = {
     "op3_quality_rules": OP3_SQL,
     "op5_benchmark_decontamination": OP5_SQL,
     "op6_mix_sources": OP6_SQL,
+    "op12_conversation_repair": OP12_SQL,
+    "op13_importance_resampling": OP13_SQL,
 }

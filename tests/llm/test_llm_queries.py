@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import struct
+import zlib
 from pathlib import Path
 
 import duckdb
 import pytest
+from tokenizers import Tokenizer
 
 from linktide.llm.queries import ORACLE_SQL, QUERIES
+from linktide.llm.token_output import word_bpe_path
 from tests.llm.test_near_dedup import expected
 from tests.llm.test_spans import PII, SECRETS, found
 from tests.llm.test_suffix_dedup import expected as expected_passages
@@ -18,6 +22,7 @@ COLUMNS = {
     "op1_quality_classifier": "doc_id held_out score predicted",
     "op2_token_files": "doc_id start n_tokens ids_crc32",
     "op9_token_counts": "doc_id section start end n_tokens n_crossing",
+    "op11_toxicity": "doc_id held_out score predicted n_passages",
 }
 
 
@@ -54,6 +59,39 @@ def test_columns(spark, texts, name):
     assert {r.doc_id for r in result.select("doc_id").collect()} == set(texts)
 
 
+def test_token_files(spark, texts):
+    tokenizer, at, want = Tokenizer.from_file(word_bpe_path()), 0, []
+    for i, text in sorted(texts.items()):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+        want.append((i, at, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))))
+        at += len(ids)
+    assert sorted(map(tuple, QUERIES["op2_token_files"](spark, SF_DIR).collect())) == want
+
+
+def test_token_counts(spark, texts):
+    """Each token of the library goes to the line that holds most of its characters."""
+    import public_tokenizers
+
+    tokenizer, want = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), []
+    tokenizer.encode_special_tokens = True
+    for i, text in texts.items():
+        lines, at = [], 0
+        for line in text.splitlines(keepends=True) if set(text) <= set(map(chr, range(0x20, 0x250))) | {"\n"} else []:
+            lines.append([at, at + len(line), 0, 0])
+            at += len(line)
+        if at != len(text) or not lines:
+            continue  # other line ends than \n: left to the tests of the parts
+        for a, b in tokenizer.encode(text, add_special_tokens=False).offsets:
+            shared = [min(b, line[1]) - max(a, line[0]) for line in lines]
+            own = lines[shared.index(max(shared))]
+            own[2] += 1
+            own[3] += a < own[0] or b > own[1]
+        want += [(i, k, *line) for k, line in enumerate(lines)]
+    told = {w[0] for w in want}
+    rows = [tuple(r) for r in QUERIES["op9_token_counts"](spark, SF_DIR).collect() if r.doc_id in told]
+    assert sorted(rows) == sorted(want) and len(told) > 0.8 * len(texts)
+
+
 def test_passages(spark, texts):
     rows = {r.doc_id: r for r in QUERIES["op4_suffix_dedup"](spark, SF_DIR).collect()}
     raw = {i: t.encode() for i, t in texts.items()}

@@ -7,10 +7,14 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from linktide.llm.quality import FEATURES, keep_good, op1_quality_classifier, quality_scores, text_features
+from linktide.llm.quality import (
+    FEATURES, PRIOR_SHARE, Model, _pass, _sums, bin_edges, fit, keep_good, op1_quality_classifier, quality_scores,
+    text_features,
+)
 from linktide.llm.rules import RULES, Rule, quality_rules
 
 SF_DIR = "/root/testdata/sf0.1"
@@ -46,9 +50,70 @@ def test_odd_rows(spark, make_docs, scratch, odd_texts):
     assert quality_scores(empty, labels, scratch).collect() == [] and keep_good(empty, labels).count() == 0
 
 
-def test_features_of_no_words():
-    import numpy as np
+def feature_rows(spark, n=600, share=0.3, seed=1):
+    """Features of a mixture, ``share`` of them like the trusted rows, as numbers and as a table."""
+    rng = np.random.default_rng(seed)
+    good = rng.random(n) < share
+    features = rng.normal(size=(n, len(FEATURES))).astype(np.float32)
+    features[good] += np.linspace(0, 3, len(FEATURES)).astype(np.float32)
+    trusted = good & (rng.random(n) < 0.4)
+    rows = [(i, f.tolist(), bool(t)) for i, (f, t) in enumerate(zip(features, trusted, strict=True))]
+    return features.astype(np.float64), good, trusted, spark.createDataFrame(
+        rows, "doc_id long, features array<float>, trusted boolean"
+    ).repartition(3)
+
+
+def test_sums_and_risk_against_plain_numpy(spark):
+    features, _, trusted, rows = feature_rows(spark)
+    edges = bin_edges(rows)
+    size = 1 + sum(len(e) + 1 for e in edges)
+    weights = np.random.default_rng(2).normal(size=size) / 4
+    model = Model(edges, weights, 0.3)
+    design = np.zeros((len(features), size))
+    for i, row in enumerate(features):
+        at = 1
+        design[i, 0] = 1
+        for k, e in enumerate(edges):
+            design[i, at + sum(x < row[k] for x in e)] = 1
+            at += len(e) + 1
+    s = _pass(rows, model, negative=True)
+    sigma = 1 / (1 + np.exp(-design @ weights))
+    n_u, n_p = len(features), trusted.sum()
+    assert s["head"][:2].tolist() == [n_u, n_p]
+    np.testing.assert_allclose(s["u1"], design.T @ sigma, rtol=1e-9)
+    np.testing.assert_allclose(s["p1"], design[trusted].sum(axis=0))
+    np.testing.assert_allclose(s["u2"].reshape(size, size), (design * (sigma * (1 - sigma))[:, None]).T @ design, rtol=1e-4, atol=1e-4)
+
+    def risk(w):
+        z = design @ w
+        positive, negative = np.logaddexp(0, -z), np.logaddexp(0, z)
+        return 0.3 * positive[trusted].mean() + negative.mean() - 0.3 * negative[trusted].mean()
+
+    told = 0.3 * s["head"][4] / n_p + s["head"][2] / n_u - 0.3 * s["head"][3] / n_p
+    assert told == pytest.approx(risk(weights))
+    gradient = s["u1"] / n_u - 0.3 * s["p1"] / n_p
+    for k in range(0, size, 17):
+        step = np.zeros(size)
+        step[k] = 1e-5
+        assert gradient[k] == pytest.approx((risk(weights + step) - risk(weights - step)) / 2e-5, abs=1e-7)
+
+
+@pytest.mark.parametrize("share", [0.2, 0.6])
+def test_prior_and_fit_of_a_mixture(spark, share):
+    features, good, _, rows = feature_rows(spark, n=4000, share=share, seed=5)
+    model = fit(rows)
+    assert model.prior / PRIOR_SHARE == pytest.approx(share, abs=0.08)
+    found = model.scores(features) >= 0.5
+    assert (found == good).mean() > 0.93
+
+
+def test_many_partitions_are_added_up(spark):
+    features, _, _, rows = feature_rows(spark)
+    sums = [_sums(rows.repartition(n), lambda b: np.array([len(b), 1.0 * sum(b["doc_id"].to_pylist())]), 2) for n in (1, 200)]
+    assert sums[0].tolist() == sums[1].tolist() == [600, 600 * 599 / 2]
+
 
+def test_features_of_no_words():
     assert text_features(np.frombuffer(b" \n\t", np.uint8)) == [0.0] * len(FEATURES)
 
 
