@@ -177,6 +177,33 @@ def test_weak_parts_need_their_complement(make_docs, scratch):
     }
 
 
+def test_recall_of_planted_weak_pairs(make_docs, scratch):
+    """An identifier and a key, either order, at distances around the scope, in prose; keys,
+    identifiers and endpoints alone beside them."""
+    rng = random.Random(12)
+    letters = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789+/"
+
+    def prose(n):
+        return ("lorem ipsum dolor sit amet " * (n // 20 + 2))[:n].rsplit(" ", 1)[0].ljust(n, " ")
+
+    rows, linked = [], set()
+    for k in range(150):
+        key = "aB3" + "".join(rng.choice(letters) for _ in range(rng.randrange(24, 60))).strip("=")
+        ident = f"client_id=app{k:04}" if k % 2 else "AIDA" + "".join(rng.choice("ABCDEFGH234567") for _ in range(14))
+        gap = rng.choice([2, 20, 150, 290, 299, 300, 301, 320, 700])
+        first, second = (ident, key) if rng.random() < 0.5 else (key, ident)
+        rows.append((k, f"{prose(40)} {first} {prose(gap - 2)} {second} {prose(90)}"))
+        if gap <= secrets.SCOPE:
+            linked.add(k)
+    alone = {200: "client_id=somebody", 201: "aB3" + "xY7" * 12, 202: "https://host.example.com/path"}
+    rows += [(k, f"{prose(100)} {t} {prose(500)}") for k, t in alone.items()]
+    result = secrets.scan_secrets(make_docs(rows), scratch).collect()
+    told = {r.doc_id: sorted(s.kind for s in r.found) for r in result}
+    odd = {k for k, kinds in told.items() if kinds} ^ linked
+    assert not odd, [(dict(rows)[k], told[k]) for k in sorted(odd)[:2]]  # recall and precision are 1
+    assert all(told[k] == ["ident", "key"] for k in linked)
+
+
 def test_keys_after_a_name_and_of_any_length(make_docs, scratch):
     key, url = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "https://db.example.com/x"
     token = "aB3" * 166 + "cD"
