@@ -171,6 +171,14 @@ from part where p_partkey % 4 <> 3
 """
 
 ORACLE_SQL = {
+    "replaced_results": _with_graph(
+        "select 'outlinks' as result, count(*) as n_rows from nodes "
+        "union all select 'ranking_1', count(*) from nodes union all select 'notes', count(*) from nodes "
+        "union all select 'n', 1 union all select 'masses', 1"
+    ),
+    "rank_completeness": _with_graph(
+        "select count(*) as n_pages, count(*) as n_ranked, 0::bigint as n_apart from nodes"
+    ),
     "quarantined_lines": _QUARANTINED_LINES,
     "quarantined_pages": _QUARANTINED_PAGES,
     "neighbour_blocks": _with_graph(_DENSE_EDGES),

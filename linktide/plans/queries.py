@@ -412,6 +412,32 @@ def published_ranking(spark, sf_dir):
     return spark.read.parquet(f"{published(spark, out)}/ranking_8")
 
 
+def replaced_results(spark, sf_dir):
+    """What is left of a first run's results after a second one replaced them: one round's
+    ranking and no other, beside a table that is none of the results."""
+    scratch = Scratch(spark)
+    dump, out = scratch.path("dump"), scratch.path("results")
+    write_dump(trade_blocks(spark, sf_dir, scratch), dump)
+    rank_dump(spark, dump, out, iterations=2, output_format="parquet")
+    trade_nodes(spark, sf_dir).write.parquet(f"{out}/notes")
+    rank_dump(spark, dump, out, iterations=1, output_format="parquet", replace=True)
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(out).select(
+        F.regexp_extract(F.col("_metadata.file_path"), r"/([a-z_0-9]+)/[^/]*$", 1).alias("result")
+    )
+    return rows.groupBy("result").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def rank_completeness(spark, sf_dir):
+    """Pages, ranked pages, and pages of either kind that the other lacks."""
+    _, graph, ranked = _ranking(spark, sf_dir, 2)
+    ranks = ranked.ranks(2).select("id", F.lit(1).alias("ranked"))
+    both = graph.nodes.withColumn("known", F.lit(1)).join(ranks, "id", "full")
+    return both.agg(
+        F.count("known").alias("n_pages"), F.count("ranked").alias("n_ranked"),
+        F.count_if(F.col("known").isNull() | F.col("ranked").isNull()).alias("n_apart"),
+    )
+
+
 def _read_ranking(spark: SparkSession, path: str) -> DataFrame:
     value = F.col("value").cast("double").alias("rank")
     return _rounded(read_key_values(spark, path).select(F.col("key").alias("id"), value))
@@ -488,6 +514,8 @@ QUERIES = {
         resumed_ranking,
         journal_resume,
         published_ranking,
+        replaced_results,
+        rank_completeness,
         dump_ranking,
         dump_ranking_1,
         dump_outlinks,
