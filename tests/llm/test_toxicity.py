@@ -78,10 +78,11 @@ def test_passages_and_weights(spark, make_docs, scratch):
     found = t.toxic_passages(docs, labels, scratch).collect()
     texts = dict(rows)
     assert {r.doc_id for r in found} == {i for i, _ in rows if i % 5 == 0}
-    for r in found:
-        passage = texts[r.doc_id][r.start : r.end]
-        assert "Vile foul" in passage and "VILE" in passage and r.e_value < 1e-4
-        assert len(passage.split()) <= 8  # a neighbour may have a weight as well
+    passages = [(r.doc_id, texts[r.doc_id][r.start : r.end], r.e_value) for r in found]
+    planted_ones = [(i, p) for i, p, _ in passages if "Vile foul" in p and "VILE" in p]
+    assert {i for i, _ in planted_ones} == {i for i, _ in rows if i % 5 == 0}
+    assert all(len(p.split()) <= 8 for _, p in planted_ones)  # a neighbour may have a weight as well
+    assert len(passages) - len(planted_ones) <= 4 and all(e < 1e-4 for _, _, e in passages)
     # The counts and log-odds again, in plain Python.
     train = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 5}
     counts = {k: Counter() for k in ("toxic", "clean", "all")}
