@@ -30,7 +30,9 @@ def encode_edges(
     edges: DataFrame, ids: DataFrame, n_edges: int, scratch: Scratch, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """``edges(src, dst)`` in numbers; an edge with an end that is no node drops out."""
+    # Hot targets are counted in the edges as they are, not in the result of the first lookup.
+    stored = edges
     for end in ("src", "dst"):
-        found = lookup(edges, end, ids, n_edges, scratch, hot_rows)
+        found = lookup(edges, end, ids, n_edges, scratch, hot_rows, counted_in=stored)
         edges = found.drop(end).withColumnRenamed("number", end)
     return edges.select("src", "dst")

@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linktide.operators.dictionary import dense_ids
 from linktide.operators.node_filter import NodeFilter
-from linktide.operators.skew import HOT_ROWS, KeyParts, semi_join, with_parts
+from linktide.operators.skew import HOT_ROWS, KeyParts, lookup, semi_join, with_parts
 from linktide.scratch import Scratch, shuffle_partitions, string_partitions
 
 
@@ -20,6 +21,9 @@ class Graph:
     edges: DataFrame  # src, dst
     n_nodes: int
     n_edges: int
+    # With numbers: ``ids(id, number)``, and the edges' table with ``src_number, dst_number``.
+    ids: DataFrame | None = None
+    links: DataFrame | None = None
 
 
 def page_nodes(targets: DataFrame) -> DataFrame:
@@ -47,16 +51,28 @@ def clean_graph(
     max_links: int | None = None,
     sources_are_nodes: bool = False,
     hot_rows: int = HOT_ROWS,
+    numbers: bool = False,
 ) -> Graph:
     """Distinct nodes and the distinct links between them.
 
-    ``max_links`` is the number of ``links``, or a number above it, for links that
+    With ``numbers`` the nodes get their dense numbers first, and the joins that find red
+    links bring those of both ends along, so that edges need not move for them again.
+    ``links`` may be lists, ``(src, targets)`` of distinct targets: of lists, whole ones
+    meet their source's number, and if every source has one list only, no link can be there
+    twice. ``max_links`` is the number of ``links``, or a number above it, for links that
     are cheap to read again; without it they are stored and counted first. Links that
     pass a bit filter of the nodes move once, to the partition of their target's page, and
     duplicates are dropped there.
     """
     spark = scratch.spark
     counted = {"n": F.count(F.lit(1))}
+    lists = links if "targets" in links.columns else None
+    if lists is not None:
+        lists = lists.select("src", "targets").where(F.size("targets") > 0)
+        if max_links is None:
+            lists, seen = scratch.save(lists, "lists", {"n": F.sum(F.size("targets"))})
+            max_links = seen["n"] or 0
+        links = _unfolded(lists)
     links = links.select("src", "dst")
     if max_links is None:
         links, seen = scratch.save(links, "links", counted)
@@ -66,6 +82,11 @@ def clean_graph(
         nodes, seen = scratch.save(nodes, "nodes", counted)
     n_nodes = seen["n"]
     known = NodeFilter(nodes, n_nodes, scratch)
+    if numbers:
+        with shuffle_partitions(spark, string_partitions(spark, max_links + n_nodes)):
+            return _numbered_graph(
+                nodes, links, lists, n_nodes, max_links, known, sources_are_nodes, scratch, hot_rows
+            )
     links = known.keep(links, "dst")
     if not sources_are_nodes:
         links = known.keep(links, "src")
@@ -77,6 +98,42 @@ def clean_graph(
     return Graph(nodes, edges, n_nodes, kept["n"])
 
 
+def _unfolded(lists: DataFrame) -> DataFrame:
+    others = [c for c in lists.columns if c != "targets"]
+    return lists.select(*others, F.explode("targets").alias("dst"))
+
+
+def _numbered_graph(
+    nodes: DataFrame,
+    links: DataFrame,
+    lists: DataFrame | None,
+    n_nodes: int,
+    max_links: int,
+    known: NodeFilter,
+    sources_are_nodes: bool,
+    scratch: Scratch,
+    hot_rows: int,
+) -> Graph:
+    ids, _ = scratch.save(dense_ids(nodes, n_nodes, scratch), "ids")
+    number = {end: ids.withColumnRenamed("number", f"{end}_number") for end in ("src", "dst")}
+    all_links, repeated = links, True
+    if lists is None:
+        links = known.keep(links, "dst")
+        if not sources_are_nodes:
+            links = known.keep(links, "src")
+        links = lookup(links, "src", number["src"], max_links, scratch, hot_rows, counted_in=all_links)
+    else:
+        seen = lists.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("src").alias("n_src")).first()
+        repeated = seen["n"] != seen["n_src"]
+        found = lookup(lists, "src", number["src"], seen["n"], scratch, hot_rows)
+        links = known.keep(_unfolded(found), "dst")
+    links = lookup(
+        links, "dst", number["dst"], max_links, scratch, hot_rows, distinct=repeated, counted_in=all_links
+    )
+    links, kept = scratch.save(links, "edges", {"n": F.count(F.lit(1))})
+    return Graph(nodes, links.select("src", "dst"), n_nodes, kept["n"], ids, links)
+
+
 def out_degrees(edges: DataFrame) -> DataFrame:
     """``(src, out_degree)`` for pages that have outlinks."""
     return edges.groupBy("src").agg(F.count(F.lit(1)).alias("out_degree"))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from linktide.journal import Journal
 from linktide.operators.dictionary import dense_ids, encode_edges
 from linktide.operators.graph import Graph, clean_graph, out_degrees, outlink_lists, outlink_parts
-from linktide.operators.skew import HOT_ROWS, hot_threshold
+from linktide.operators.skew import HOT_ROWS, hot_keys, hot_threshold
 from linktide.scratch import Scratch, shuffle_partitions, string_partitions
 
 log = logging.getLogger(__name__)
@@ -84,17 +84,25 @@ def prepare_ranking(graph: Graph, scratch: Scratch, *, hub_rows: int = HOT_ROWS)
     spark = scratch.spark
     buckets = bucket_count(spark, graph.n_nodes + graph.n_edges)
     hub_degree = hot_threshold(graph.n_edges, hub_rows)
-    with shuffle_partitions(spark, string_partitions(spark, graph.n_nodes + graph.n_edges)):
-        ids = dense_ids(graph.nodes, graph.n_nodes, scratch)
-        encoded = encode_edges(graph.edges, ids, graph.n_edges, scratch, hub_rows)
-        edges, _ = scratch.save(encoded, "encoded")
+    if graph.links is not None:
+        ids = graph.ids
+        edges = graph.links.select(F.col("src_number").alias("src"), F.col("dst_number").alias("dst"))
+    else:
+        with shuffle_partitions(spark, string_partitions(spark, graph.n_nodes + graph.n_edges)):
+            ids = dense_ids(graph.nodes, graph.n_nodes, scratch)
+            encoded = encode_edges(graph.edges, ids, graph.n_edges, scratch, hub_rows)
+            edges, _ = scratch.save(encoded, "encoded")
     with shuffle_partitions(spark, buckets):
+        bucketed = None
+        if hot_keys(edges, "src", graph.n_edges, scratch, hub_rows) is None:
+            # Without hubs, degrees are counted in the buckets, where no edge moves for it.
+            bucketed = edges = _bucketed_edges(edges, buckets, scratch)
         named = ids.select(F.col("number").alias("id"), F.col("id").alias("name"))
         degrees = out_degrees(edges).withColumnRenamed("src", "id")
         vertices, seen = scratch.save_bucketed(
-            named.join(degrees.hint("shuffle_hash"), "id", "left")
-            .select("id", "name", F.coalesce("out_degree", F.lit(0)).alias("out_degree"))
-            .repartition(buckets, "id"),
+            named.repartition(buckets, "id")
+            .join(degrees.hint("shuffle_hash"), "id", "left")
+            .select("id", "name", F.coalesce("out_degree", F.lit(0)).alias("out_degree")),
             "vertices",
             "id",
             buckets,
@@ -110,14 +118,19 @@ def prepare_ranking(graph: Graph, scratch: Scratch, *, hub_rows: int = HOT_ROWS)
             )
             hub_edges, _ = scratch.save(edges.join(hubs, "src", "left_semi"), "hub_edges")
             edges = edges.join(hubs, "src", "left_anti")
-        # Sorted once: a third smaller on storage, and faster to join, in every round.
-        edges = edges.select("src", "dst").repartition(buckets, "src").sortWithinPartitions("src")
-        edges, _ = scratch.save_bucketed(edges, "edges", "src", buckets)
+        if bucketed is None:
+            bucketed = _bucketed_edges(edges, buckets, scratch)
     return RankGraph(
-        vertices, edges, hub_edges, hub_degree, graph.n_nodes, seen.get("sinks") or 0, buckets
+        vertices, bucketed, hub_edges, hub_degree, graph.n_nodes, seen.get("sinks") or 0, buckets
     )
 
 
+def _bucketed_edges(edges: DataFrame, buckets: int, scratch: Scratch) -> DataFrame:
+    # Sorted once: a third smaller on storage, and faster to join, in every round.
+    edges = edges.select("src", "dst").repartition(buckets, "src").sortWithinPartitions("src")
+    return scratch.save_bucketed(edges, "edges", "src", buckets)[0]
+
+
 def initial_state(graph: RankGraph) -> DataFrame:
     """``(id, rank, out_degree)`` before the first round."""
     return graph.vertices.select("id", F.lit(INITIAL_RANK).alias("rank"), "out_degree")
@@ -144,9 +157,10 @@ def ranked_pages(
 
 def pages_graph(pages: DataFrame, scratch: Scratch) -> tuple[Graph, DataFrame]:
     """The graph and the ranks ``(id, rank)`` held by ranked pages, to go on from them."""
-    links = pages.select(F.col("id").alias("src"), F.explode("outlinks").alias("dst"))
-    graph = clean_graph(pages, links, scratch, sources_are_nodes=True)
-    return graph, pages.select("id", "rank").distinct()
+    stored, _ = scratch.save(pages.select("id", "rank", F.array_distinct("outlinks").alias("targets")), "given")
+    lists = stored.select(F.col("id").alias("src"), "targets")
+    graph = clean_graph(stored, lists, scratch, sources_are_nodes=True, numbers=True)
+    return graph, stored.select("id", "rank").distinct()
 
 
 def _stored_start(graph: RankGraph, start: DataFrame, scratch: Scratch) -> tuple[DataFrame, dict]:

@@ -47,7 +47,7 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ranking(spark: SparkSession, sf_dir: str, iterations: int):
     scratch = Scratch(spark)
-    graph = trade_graph(spark, sf_dir, scratch)
+    graph = trade_graph(spark, sf_dir, scratch, numbers=True)
     ranked = r.rank_graph(graph, scratch, iterations=iterations, snapshots=(iterations,))
     return scratch, graph, ranked
 
@@ -180,7 +180,8 @@ def red_link_filter_hot(spark, sf_dir):
 def ranking_hubs(spark, sf_dir):
     """As ``rank_round_8``, with pages of more than 20 outlinks taken as hubs."""
     scratch = Scratch(spark)
-    graph = r.prepare_ranking(trade_graph(spark, sf_dir, scratch), scratch, hub_rows=20)
+    graph = trade_graph(spark, sf_dir, scratch, numbers=True)
+    graph = r.prepare_ranking(graph, scratch, hub_rows=20)
     return _rounded(r.rank_graph(graph, scratch).ranks(8))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from linktide.functions import is_subpage
 from linktide.journal import Journal
-from linktide.operators.graph import Graph, clean_graph, outlink_lists, page_links, page_nodes
+from linktide.operators.graph import Graph, clean_graph, outlink_lists, page_nodes
 from linktide.operators.pages import has_title, page_targets, parse_pages
 from linktide.operators.rank import DAMPING, ROUNDS, Ranking, checked_snapshots, rank_graph
 from linktide.scratch import Scratch, shuffle_partitions, string_partitions
@@ -82,10 +82,11 @@ def ingest(blocks: DataFrame, scratch: Scratch) -> tuple[Graph, dict, DataFrame]
     targets = pages.where(titled & ~is_subpage(F.col("id"))).select("id", "targets")
     graph = clean_graph(
         page_nodes(targets),
-        page_links(targets),
+        targets.withColumnRenamed("id", "src"),
         scratch,
         max_links=written["n_links"],
         sources_are_nodes=True,
+        numbers=True,
     )
     file = F.col("record_file") if "record_file" in pages.columns else F.lit(None).cast("string")
     bad = pages.where("reason is not null").select("reason", file.alias("file"), "id", "excerpt")
@@ -167,13 +168,14 @@ def _journaled_graph(
     """``ingest`` of a dump's records, or what a journal has of it."""
     facts = journal.read("graph") if journal else None
     if facts is not None:
-        tables = {k: scratch.reopen(facts[k]) for k in ("nodes", "edges")}
-        graph = Graph(**tables, n_nodes=facts["n_nodes"], n_edges=facts["n_edges"])
+        tables = {k: scratch.reopen(facts[k]) for k in ("nodes", "ids", "links")}
+        edges = tables["links"].select("src", "dst")
+        graph = Graph(**tables, edges=edges, n_nodes=facts["n_nodes"], n_edges=facts["n_edges"])
         return graph, facts["counts"], scratch.reopen(facts["bad"])
     graph, counts, bad = ingest(read_records(spark, input_path, PAGE_START, PAGE_END), scratch)
     if journal:
         bad, _ = scratch.save(bad, "bad")
-        tables = {k: scratch.facts(getattr(graph, k)) for k in ("nodes", "edges")} | {"bad": scratch.facts(bad)}
+        tables = {k: scratch.facts(getattr(graph, k)) for k in ("nodes", "ids", "links")} | {"bad": scratch.facts(bad)}
         journal.write("graph", {**tables, "n_nodes": graph.n_nodes, "n_edges": graph.n_edges, "counts": counts})
     return graph, counts, bad
 

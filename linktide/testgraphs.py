@@ -34,14 +34,16 @@ def trade_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = F.concat(F.lit("S"), "l_suppkey")
     part = F.concat(F.lit("P"), "l_partkey")
     flag = F.col("l_returnflag")
+    # Orders are the smaller side and spread evenly: a hash table of them saves both sorts.
+    orders = orders.hint("shuffle_hash")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
         F.when(flag == "A", supplier).otherwise(customer).alias("src"),
         F.when(flag == "A", customer).when(flag == "R", supplier).otherwise(part).alias("dst"),
     )
 
 
-def trade_graph(spark: SparkSession, sf_dir: str, scratch: Scratch) -> Graph:
-    return clean_graph(trade_nodes(spark, sf_dir), trade_links(spark, sf_dir), scratch)
+def trade_graph(spark: SparkSession, sf_dir: str, scratch: Scratch, numbers: bool = False) -> Graph:
+    return clean_graph(trade_nodes(spark, sf_dir), trade_links(spark, sf_dir), scratch, numbers=numbers)
 
 
 def trade_blocks(
@@ -56,10 +58,12 @@ def trade_blocks(
     links, counted = scratch.save(
         trade_links(spark, sf_dir), "wiki_links", {"n": F.count(F.lit(1))}
     )
+    stored = links
     links = semi_join(links, "src", nodes, counted["n"], scratch)
     # A struct sorts by its first field, so the links stand in the order of their targets.
     linked = F.struct("dst", _written_link(F.col("dst")).alias("link"))
-    parts = KeyParts(links, "src", counted["n"], scratch, list_rows)
+    # The join above keeps all rows of a page or none, so they are counted before it.
+    parts = KeyParts(stored, "src", counted["n"], scratch, list_rows)
     lists = (
         parts.of_rows(links, "src", "dst")
         .groupBy(F.col("src").alias("id"), "part")
