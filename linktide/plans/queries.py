@@ -31,6 +31,9 @@ from linktide.sources import (
 )
 from linktide.testgraphs import trade_blocks, trade_graph, trade_links, trade_nodes, write_dump
 
+# A task of ``block_scan_parts`` sorts the blocks of a few files of so many pages.
+NODES_PER_FILE = 50_000
+
 # The returned DataFrames read scratch tables, so the queries leave them in place.
 
 
@@ -71,21 +74,28 @@ def block_scan_bzip2(spark, sf_dir):
 def block_scan_parts(spark, sf_dir):
     """Blocks of files that start inside a page and end in another, with small splits."""
     scratch = Scratch(spark)
+    path = _write_parts(spark, sf_dir, scratch)
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": 50_000}):
+        found = read_blocks(spark, f"{path}/file=*", PAGE_START, PAGE_END)
+        counted, _ = scratch.save(found.agg(F.count(F.lit(1)).alias("n_blocks")), "counted")
+    return counted
+
+
+def _write_parts(spark: SparkSession, sf_dir: str, scratch: Scratch) -> str:
+    """The files of ``block_scan_parts``: four or more, so that none grows with the tables."""
+    n_files = max(4, -(-trade_nodes(spark, sf_dir).count() // NODES_PER_FILE))
     blocks = trade_blocks(spark, sf_dir, scratch).select(F.lit(1).alias("place"), "block")
     tail = '<page id="0"><title>X</title></page> the end of a page</text></revision></page>'
     edges = [(0, tail), (2, "<page><title>cut off</title><text>[[S 1]]")]
     ends = spark.createDataFrame(edges, "place int, block string")
-    files = F.explode(F.sequence(F.lit(0), F.lit(3)))
-    parted = blocks.withColumn("file", F.pmod(F.xxhash64("block"), F.lit(4)).cast("int")).union(
+    files = F.explode(F.sequence(F.lit(0), F.lit(n_files - 1)))
+    parted = blocks.withColumn("file", F.pmod(F.xxhash64("block"), F.lit(n_files)).cast("int")).union(
         ends.withColumn("file", files)
     )
     path = scratch.path("parts")
-    dealt = parted.repartition(4, "file").sortWithinPartitions("file", "place")
+    dealt = parted.repartition(n_files, "file").sortWithinPartitions("file", "place")
     dealt.select("file", F.col("block").alias("value")).write.partitionBy("file").text(path)
-    with settings(spark, {"spark.sql.files.maxPartitionBytes": 50_000}):
-        found = read_blocks(spark, f"{path}/file=*", PAGE_START, PAGE_END)
-        counted, _ = scratch.save(found.agg(F.count(F.lit(1)).alias("n_blocks")), "counted")
-    return counted
+    return path
 
 
 def corrupt_pages(spark, sf_dir):

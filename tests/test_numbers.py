@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linktide.operators import dictionary, rank, skew
 from linktide.operators.graph import clean_graph
+from linktide.plans import queries
 from linktide.scratch import Scratch
 
 NODES = ["d", "b", "a", "c", "a"]
@@ -81,3 +82,13 @@ def test_targets_are_counted_before_the_first_lookup(spark, scratch, monkeypatch
     encoded = dictionary.encode_edges(edges, ids, 50, scratch)
     assert [df is edges for df in plans] == [True, True]
     assert encoded.count() == 50
+
+
+def test_files_of_parts_grow_in_number(spark, scratch, monkeypatch):
+    monkeypatch.setattr(queries, "NODES_PER_FILE", 20)
+    path = queries._write_parts(spark, "/root/testdata/sf0.001", scratch)
+    files = spark.read.text(path).select("file").distinct().count()
+    assert files == -(-349 // 20)
+    counted = queries.block_scan_parts(spark, "/root/testdata/sf0.001").first().n_blocks
+    monkeypatch.setattr(queries, "NODES_PER_FILE", 1_000_000)
+    assert counted == queries.block_scan_parts(spark, "/root/testdata/sf0.001").first().n_blocks
