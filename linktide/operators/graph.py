@@ -37,10 +37,17 @@ def page_links(targets: DataFrame) -> DataFrame:
 
 
 def drop_red_links(
-    links: DataFrame, nodes: DataFrame, n_links: int, scratch: Scratch, hot_rows: int = HOT_ROWS
+    links: DataFrame,
+    nodes: DataFrame,
+    n_links: int,
+    scratch: Scratch,
+    hot_rows: int = HOT_ROWS,
+    counted_in: DataFrame | None = None,
 ) -> DataFrame:
-    """The distinct links whose target is a node."""
-    return semi_join(links, "dst", nodes, n_links, scratch, hot_rows, distinct=True)
+    """The distinct links whose target is a node; ``counted_in`` as in ``semi_join``."""
+    return semi_join(
+        links, "dst", nodes, n_links, scratch, hot_rows, distinct=True, counted_in=counted_in
+    )
 
 
 def clean_graph(
@@ -89,11 +96,15 @@ def clean_graph(
             )
     links = known.keep(links, "dst")
     if not sources_are_nodes:
+    # Hot ends are counted in the links as they are, not in the result of the filter and a join.
+    all_links = links
         links = known.keep(links, "src")
     with shuffle_partitions(spark, string_partitions(spark, max_links + n_nodes)):
         if not sources_are_nodes:
-            links = semi_join(links, "src", nodes, max_links, scratch, hot_rows)
-        links = drop_red_links(links, nodes, max_links, scratch, hot_rows)
+            links = semi_join(
+                links, "src", nodes, max_links, scratch, hot_rows, counted_in=all_links
+            )
+        links = drop_red_links(links, nodes, max_links, scratch, hot_rows, counted_in=all_links)
         edges, kept = scratch.save(links, "edges", counted)
     return Graph(nodes, edges, n_nodes, kept["n"])
 
