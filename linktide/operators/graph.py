@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linktide.operators.dictionary import dense_ids
@@ -21,9 +21,11 @@ class Graph:
     edges: DataFrame  # src, dst
     n_nodes: int
     n_edges: int
-    # With numbers: ``ids(id, number)``, and the edges' table with ``src_number, dst_number``.
+    # With numbers: ``ids(id, number)``, the edges' table ``coded(src_number, dst, dst_number)``,
+    # and ``links``, which joins ``src`` to it.
     ids: DataFrame | None = None
     links: DataFrame | None = None
+    coded: DataFrame | None = None
 
 
 def page_nodes(targets: DataFrame) -> DataFrame:
@@ -94,10 +96,10 @@ def clean_graph(
             return _numbered_graph(
                 nodes, links, lists, n_nodes, max_links, known, sources_are_nodes, scratch, hot_rows
             )
-    links = known.keep(links, "dst")
-    if not sources_are_nodes:
     # Hot ends are counted in the links as they are, not in the result of the filter and a join.
     all_links = links
+    links = known.keep(links, "dst")
+    if not sources_are_nodes:
         links = known.keep(links, "src")
     with shuffle_partitions(spark, string_partitions(spark, max_links + n_nodes)):
         if not sources_are_nodes:
@@ -133,16 +135,37 @@ def _numbered_graph(
         if not sources_are_nodes:
             links = known.keep(links, "src")
         links = lookup(links, "src", number["src"], max_links, scratch, hot_rows, counted_in=all_links)
+        links = links.select("src_number", "dst")
     else:
         seen = lists.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("src").alias("n_src")).first()
         repeated = seen["n"] != seen["n_src"]
         found = lookup(lists, "src", number["src"], seen["n"], scratch, hot_rows)
-        links = known.keep(_unfolded(found), "dst")
+        links = known.keep(_unfolded(found.select("src_number", "targets")), "dst")
+    # A source goes on as its number: neither the second move nor the search for duplicates
+    # nor the stored edges have its id.
     links = lookup(
         links, "dst", number["dst"], max_links, scratch, hot_rows, distinct=repeated, counted_in=all_links
     )
-    links, kept = scratch.save(links, "edges", {"n": F.count(F.lit(1))})
-    return Graph(nodes, links.select("src", "dst"), n_nodes, kept["n"], ids, links)
+    coded, kept = scratch.save(
+        links.select("src_number", "dst", "dst_number"), "edges", {"n": F.count(F.lit(1))}
+    )
+    return coded_graph(nodes, ids, coded, n_nodes, kept["n"], scratch, hot_rows)
+
+
+def coded_graph(
+    nodes: DataFrame,
+    ids: DataFrame,
+    coded: DataFrame,
+    n_nodes: int,
+    n_edges: int,
+    scratch: Scratch,
+    hot_rows: int = HOT_ROWS,
+) -> Graph:
+    """The graph of stored numbers; sources get their ids where ``links`` or ``edges`` is read."""
+    names = ids.select(F.col("number").alias("id"), F.col("id").alias("src"))
+    links = lookup(coded, "src_number", names, n_edges, scratch, hot_rows)
+    links = links.select("src", "dst", "src_number", "dst_number")
+    return Graph(nodes, links.select("src", "dst"), n_nodes, n_edges, ids, links, coded)
 
 
 def out_degrees(edges: DataFrame) -> DataFrame:
@@ -177,10 +200,12 @@ def outlink_lists(
     parts: KeyParts | None = None,
 ) -> DataFrame:
     """``(id, part, degree, outlinks)`` for every page, in parts as in ``inlink_lists``; a page
-    without outlinks has an empty list. ``degrees`` is ``out_degrees`` where stored,
-    ``parts`` is ``outlink_parts`` where known.
+    without outlinks has an empty list. ``degrees`` is ``out_degrees`` where stored (of numbers,
+    if the graph has them), ``parts`` is ``outlink_parts`` where known.
     """
     parts = parts or outlink_parts(graph, scratch, list_rows, degrees)
+    if graph.coded is not None:
+        return coded_lists(graph, parts).select("id", "part", "degree", "outlinks")
     edges = parts.of_rows(graph.edges, "src", "dst")
     members = edges.select(
         F.col("src").alias("id"), "part", "key_rows", F.col("dst").alias("member")
@@ -195,14 +220,33 @@ def outlink_lists(
 def outlink_parts(
     graph: Graph, scratch: Scratch, list_rows: int = HOT_ROWS, degrees: DataFrame | None = None
 ) -> KeyParts:
-    """How many parts the outlink lists of pages have; most have one."""
-    counted = None if degrees is None else degrees.withColumnRenamed("out_degree", "n_rows")
-    return KeyParts(graph.edges, "src", graph.n_edges, scratch, list_rows, counted)
+    """How many parts the outlink lists of pages have; most have one. Of a graph with
+    numbers, parts and ``degrees`` are by number."""
+    edges, key = (graph.edges, "src") if graph.coded is None else (graph.coded, "src_number")
+    counted = None
+    if degrees is not None:
+        counted = degrees.select(F.col("src").alias(key), F.col("out_degree").alias("n_rows"))
+    return KeyParts(edges, key, graph.n_edges, scratch, list_rows, counted)
+
+
+def coded_lists(graph: Graph, parts: KeyParts) -> DataFrame:
+    """``(number, part, id, degree, outlinks)`` as in ``outlink_lists``, put together by number."""
+    edges = parts.of_rows(graph.coded, "src_number", "dst")
+    nothing = F.lit(None).cast(graph.ids.schema["id"].dataType)
+    members = edges.select(
+        F.col("src_number").alias("number"), "part", "key_rows", F.col("dst").alias("member"), nothing.alias("id")
+    )
+    # Each part of a page adds a null member with the page's id.
+    pages = parts.per_part(graph.ids, "number").select(
+        "number", "part", F.lit(None).cast("long"), nothing, "id"
+    )
+    lists = _lists(members.union(pages), "outlinks", "number", F.max("id").alias("id"))
+    return lists.where("part = 0 or size(outlinks) > 0")
 
 
-def _lists(members: DataFrame, list_name: str) -> DataFrame:
+def _lists(members: DataFrame, list_name: str, key: str = "id", *others: Column) -> DataFrame:
     # Shuffling plain rows first beats partial lists: hardly any meet before the shuffle.
-    together = members.repartition("id", "part")
+    together = members.repartition(key, "part")
     members = F.sort_array(F.collect_list("member"))
     degree = F.coalesce(F.max("key_rows"), F.count("member"))
-    return together.groupBy("id", "part").agg(degree.alias("degree"), members.alias(list_name))
+    return together.groupBy(key, "part").agg(*others, degree.alias("degree"), members.alias(list_name))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from linktide.journal import Journal
 from linktide.operators.dictionary import dense_ids, encode_edges
-from linktide.operators.graph import Graph, clean_graph, out_degrees, outlink_lists, outlink_parts
+from linktide.operators.graph import Graph, clean_graph, coded_lists, out_degrees, outlink_lists, outlink_parts
 from linktide.operators.skew import HOT_ROWS, hot_keys, hot_threshold
 from linktide.scratch import Scratch, shuffle_partitions, string_partitions
 
@@ -84,9 +84,9 @@ def prepare_ranking(graph: Graph, scratch: Scratch, *, hub_rows: int = HOT_ROWS)
     spark = scratch.spark
     buckets = bucket_count(spark, graph.n_nodes + graph.n_edges)
     hub_degree = hot_threshold(graph.n_edges, hub_rows)
-    if graph.links is not None:
+    if graph.coded is not None:
         ids = graph.ids
-        edges = graph.links.select(F.col("src_number").alias("src"), F.col("dst_number").alias("dst"))
+        edges = graph.coded.select(F.col("src_number").alias("src"), F.col("dst_number").alias("dst"))
     else:
         with shuffle_partitions(spark, string_partitions(spark, graph.n_nodes + graph.n_edges)):
             ids = dense_ids(graph.nodes, graph.n_nodes, scratch)
@@ -150,6 +150,11 @@ def ranked_pages(
     the partitions that the lists are put together in.
     """
     parts = outlink_parts(graph, scratch, list_rows)
+    if graph.coded is not None:
+        ranks = parts.per_part(ranks.join(graph.ids, "id"), "number").select("number", "part", "rank")
+        # Ranks are the hash table, so that no list moves or is sorted for the join.
+        pages = ranks.hint("shuffle_hash").join(coded_lists(graph, parts), ["number", "part"])
+        return pages.select("id", "rank", "outlinks")
     lists = outlink_lists(graph, scratch, list_rows, parts=parts)
     ranks = parts.per_part(ranks, "id")
     return ranks.join(lists, ["id", "part"]).select("id", "rank", "outlinks")
@@ -157,9 +162,14 @@ def ranked_pages(
 
 def pages_graph(pages: DataFrame, scratch: Scratch) -> tuple[Graph, DataFrame]:
     """The graph and the ranks ``(id, rank)`` held by ranked pages, to go on from them."""
-    stored, _ = scratch.save(pages.select("id", "rank", F.array_distinct("outlinks").alias("targets")), "given")
+    n_links = F.coalesce(F.sum(F.greatest(F.size("targets"), F.lit(0))), F.lit(0))
+    stored, seen = scratch.save(
+        pages.select("id", "rank", F.array_distinct("outlinks").alias("targets")), "given", {"n": n_links}
+    )
     lists = stored.select(F.col("id").alias("src"), "targets")
-    graph = clean_graph(stored, lists, scratch, sources_are_nodes=True, numbers=True)
+    graph = clean_graph(
+        stored, lists, scratch, max_links=seen["n"], sources_are_nodes=True, numbers=True
+    )
     return graph, stored.select("id", "rank").distinct()
 
 

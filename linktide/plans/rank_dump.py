@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from linktide.functions import is_subpage
 from linktide.journal import Journal
-from linktide.operators.graph import Graph, clean_graph, outlink_lists, page_nodes
+from linktide.operators.graph import Graph, clean_graph, coded_graph, outlink_lists, page_nodes
 from linktide.operators.pages import has_title, page_targets, parse_pages
 from linktide.operators.rank import DAMPING, ROUNDS, Ranking, checked_snapshots, rank_graph
 from linktide.scratch import Scratch, shuffle_partitions, string_partitions
@@ -168,14 +168,13 @@ def _journaled_graph(
     """``ingest`` of a dump's records, or what a journal has of it."""
     facts = journal.read("graph") if journal else None
     if facts is not None:
-        tables = {k: scratch.reopen(facts[k]) for k in ("nodes", "ids", "links")}
-        edges = tables["links"].select("src", "dst")
-        graph = Graph(**tables, edges=edges, n_nodes=facts["n_nodes"], n_edges=facts["n_edges"])
+        tables = {k: scratch.reopen(facts[k]) for k in ("nodes", "ids", "coded")}
+        graph = coded_graph(**tables, n_nodes=facts["n_nodes"], n_edges=facts["n_edges"], scratch=scratch)
         return graph, facts["counts"], scratch.reopen(facts["bad"])
     graph, counts, bad = ingest(read_records(spark, input_path, PAGE_START, PAGE_END), scratch)
     if journal:
         bad, _ = scratch.save(bad, "bad")
-        tables = {k: scratch.facts(getattr(graph, k)) for k in ("nodes", "ids", "links")} | {"bad": scratch.facts(bad)}
+        tables = {k: scratch.facts(getattr(graph, k)) for k in ("nodes", "ids", "coded")} | {"bad": scratch.facts(bad)}
         journal.write("graph", {**tables, "n_nodes": graph.n_nodes, "n_edges": graph.n_edges, "counts": counts})
     return graph, counts, bad
 
@@ -213,7 +212,7 @@ def _clear_results(spark: SparkSession, out: str, replace: bool, unfinished: boo
 
 
 def _outlinks(graph: Graph, ranked: Ranking, scratch: Scratch) -> DataFrame:
-    degrees = ranked.graph.vertices.select(F.col("name").alias("src"), "out_degree")
+    degrees = ranked.graph.vertices.select(F.col("id").alias("src"), "out_degree")
     return outlink_lists(graph, scratch, degrees=degrees)
 
 

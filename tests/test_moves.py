@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 from linktide.operators import graph as g
-from linktide.operators import skew
+from linktide.operators import rank, skew
+from linktide.scratch import Scratch
 
 NODES = [f"n{k}" for k in range(30)]
 LINKS = [("n0", n) for n in NODES] + [(n, "n1") for n in NODES] + [("n2", "red"), ("red", "n2"), (None, "n3"), ("n3", None)]
@@ -30,3 +34,36 @@ def test_hot_ends_of_red_links_are_counted_in_the_links_as_they_are(spark, scrat
     assert len(plans) == 2 and not any("Join" in _plan(df) for df in plans)
     kept = {(s, t) for s, t in LINKS if s in NODES and t in NODES}
     assert sorted(map(tuple, graph.edges.collect())) == sorted(kept)
+
+
+@pytest.mark.parametrize("list_rows", [5, 200_000])
+def test_lists_of_a_numbered_graph(graph_of, scratch, list_rows):
+    """The same lists as of a graph without numbers, and no stored or moved source id."""
+    plain, coded = graph_of(NODES, LINKS), graph_of(NODES, LINKS, numbers=True)
+    assert coded.coded.columns == ["src_number", "dst", "dst_number"]
+
+    def whole(lists):
+        return {
+            n: (sorted(t for r in rows for t in r.outlinks), {r.degree for r in rows})
+            for n, rows in ((n, [r for r in found if r.id == n]) for found in [lists.collect()] for n in NODES)
+        }
+
+    lists = g.outlink_lists(coded, scratch, list_rows)
+    assert lists.columns == ["id", "part", "degree", "outlinks"]
+    assert whole(lists) == whole(g.outlink_lists(plain, scratch, list_rows))
+    assert not re.search(r"hashpartitioning\((src|id)#", _plan(lists))
+    ranks = coded.nodes.withColumn("rank", F.length("id").cast("double"))
+    pages = rank.ranked_pages(ranks, coded, scratch, list_rows).collect()
+    assert all(r["rank"] == len(r.id) for r in pages) and {r.id for r in pages} == set(NODES)
+    found = {n: sorted(t for r in pages if r.id == n for t in r.outlinks) for n in NODES}
+    assert found == {n: targets for n, (targets, _) in whole(lists).items()}
+
+
+def test_given_pages_are_stored_once(spark, scratch, monkeypatch):
+    names, save = [], Scratch.save
+    monkeypatch.setattr(Scratch, "save", lambda self, df, name, *a: names.append(name) or save(self, df, name, *a))
+    rows = [("a", 1.0, ["b", "b", "x"]), ("b", 2.0, []), ("c", 3.0, None)]
+    graph, start = rank.pages_graph(spark.createDataFrame(rows, "id string, rank double, outlinks array<string>"), scratch)
+    assert "given" in names and "lists" not in names
+    assert [tuple(r) for r in graph.edges.collect()] == [("a", "b")]
+    assert sorted(map(tuple, start.collect())) == [("a", 1.0), ("b", 2.0), ("c", 3.0)]
