@@ -187,24 +187,36 @@ def _stored_start(graph: RankGraph, start: DataFrame, scratch: Scratch) -> tuple
 
 def exact_sum(value: Column) -> Column:
     """The sum of numbers from 0 up, the same for every order and partitioning."""
+    return _sum_of_counts(*_counts(value))
+
+
+def _counts(value: Column) -> tuple[Column, Column]:
+    """The whole numbers that ``exact_sum`` adds up."""
     coarse = F.floor(value * COARSE)
-    fine = F.floor((value * COARSE - coarse) * FINE)
+    return coarse, F.floor((value * COARSE - coarse) * FINE)
+
+
+def _sum_of_counts(coarse: Column, fine: Column) -> Column:
     return F.sum(coarse) / F.lit(COARSE) + F.sum(fine) / F.lit(COARSE * FINE)
 
 
 def contributions(state: DataFrame, graph: RankGraph) -> DataFrame:
     """``(dst, contrib)``: the sum of ``rank / out_degree`` over the inlinks."""
-    shares = state.where("out_degree > 0").selectExpr(
-        "id as src", "rank / out_degree as share", "out_degree"
+    # A share is counted once per page, not once per link.
+    coarse, fine = _counts(F.col("rank") / F.col("out_degree"))
+    shares = state.where("out_degree > 0").select(
+        F.col("id").alias("src"), coarse.alias("coarse"), fine.alias("fine"), "out_degree"
     )
-    received = shares.hint("shuffle_hash").join(graph.edges, "src").select("dst", "share")
+    counts = ["dst", "coarse", "fine"]
+    received = shares.hint("shuffle_hash").join(graph.edges, "src").select(counts)
     if graph.hub_edges is not None:
         # Fewer than n_edges / hub_degree rows, see hot_threshold.
         hubs = shares.where(F.col("out_degree") > graph.hub_degree)
         received = received.union(
-            graph.hub_edges.join(F.broadcast(hubs), "src").select("dst", "share")
+            graph.hub_edges.join(F.broadcast(hubs), "src").select(counts)
         )
-    return received.groupBy("dst").agg(exact_sum(F.col("share")).alias("contrib"))
+    contrib = _sum_of_counts(F.col("coarse"), F.col("fine"))
+    return received.groupBy("dst").agg(contrib.alias("contrib"))
 
 
 def masses() -> dict[str, Column]:

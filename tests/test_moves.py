@@ -67,3 +67,15 @@ def test_given_pages_are_stored_once(spark, scratch, monkeypatch):
     assert "given" in names and "lists" not in names
     assert [tuple(r) for r in graph.edges.collect()] == [("a", "b")]
     assert sorted(map(tuple, start.collect())) == [("a", 1.0), ("b", 2.0), ("c", 3.0)]
+
+
+def test_contributions_count_a_share_once_per_page(graph_of, scratch):
+    graph = rank.prepare_ranking(graph_of(NODES, LINKS), scratch)
+    received = rank.contributions(rank.initial_state(graph), graph)
+    plan = received._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("FLOOR")  # from above: below the join with the edges
+    names = dict(graph.vertices.select("id", "name").collect())
+    found = {names[r.dst]: r.contrib for r in received.collect()}
+    degrees = {n: len({t for s, t in LINKS if s == n and t in NODES}) for n in NODES}
+    for n in NODES:
+        assert found[n] == pytest.approx(sum(1 / degrees[s] for s in {s for s, t in LINKS if t == n and s in NODES}))
