@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linktide.operators.graph import Graph, clean_graph
-from linktide.operators.skew import HOT_ROWS, KeyParts, semi_join
+from linktide.operators.skew import HOT_ROWS, KeyParts
 from linktide.scratch import Scratch
 
 
@@ -58,25 +58,24 @@ def trade_blocks(
     links, counted = scratch.save(
         trade_links(spark, sf_dir), "wiki_links", {"n": F.count(F.lit(1))}
     )
-    stored = links
-    links = semi_join(links, "src", nodes, counted["n"], scratch)
-    # A struct sorts by its first field, so the links stand in the order of their targets.
-    linked = F.struct("dst", _written_link(F.col("dst")).alias("link"))
-    # The join above keeps all rows of a page or none, so they are counted before it.
-    parts = KeyParts(stored, "src", counted["n"], scratch, list_rows)
+    parts = KeyParts(links, "src", counted["n"], scratch, list_rows)
+    # Links move once, to their page's part; those of a source that is no page find none in the
+    # join below. They are written out behind the sort: only targets move and are compared.
+    dealt = parts.of_rows(links.where("src is not null"), "src", "dst")
     lists = (
-        parts.of_rows(links, "src", "dst")
+        dealt.repartition(*parts.keys("src"))
         .groupBy(F.col("src").alias("id"), "part")
-        .agg(F.sort_array(F.collect_list(linked)).alias("links"))
+        .agg(F.sort_array(F.collect_list("dst")).alias("targets"))
     )
     noise = F.concat(
         F.lit("[[File:x.png|see [[S 1]] now]] [[S 1#h]] [[S 1/t]] [["),
         F.translate(_title(F.col("id")), " ", "_"),
         F.lit("]]"),
     )
-    text = F.concat_ws(" ", F.col("links.link"), noise)
-    pages = parts.per_part(nodes, "id").join(lists, ["id", "part"], "left")
-    pages = pages.where("part = 0 or links is not null").select(_block(_title(F.col("id")), text))
+    text = F.concat_ws(" ", F.transform("targets", _written_link), noise)
+    # Nodes are the hash table, so that no list is sorted for the join.
+    pages = parts.per_part(nodes, "id").hint("shuffle_hash").join(lists, ["id", "part"], "left")
+    pages = pages.where("part = 0 or targets is not null").select(_block(_title(F.col("id")), text))
     talk = nodes.where(F.col("id").startswith("C")).select(
         _block(F.concat(_title(F.col("id")), F.lit("/talk")), F.lit("[[S 1]]"))
     )

@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from linktide import testgraphs
 from linktide.operators import graph as g
 from linktide.operators import rank, skew
 from linktide.scratch import Scratch
@@ -79,3 +80,26 @@ def test_contributions_count_a_share_once_per_page(graph_of, scratch):
     degrees = {n: len({t for s, t in LINKS if s == n and t in NODES}) for n in NODES}
     for n in NODES:
         assert found[n] == pytest.approx(sum(1 / degrees[s] for s in {s for s, t in LINKS if t == n and s in NODES}))
+
+
+@pytest.mark.parametrize("list_rows", [3, 200_000])
+def test_blocks_move_and_sort_targets_only(spark, scratch, monkeypatch, list_rows):
+    """Sources that are no page, null ends and pages without links; a link is written behind the sort."""
+    links = [("C1", "P2"), ("C1", "P10"), ("C1", "P2"), ("C1", "S4"), ("C1", None), ("C9", "P2"), (None, "P2"), ("S3", None)]
+    monkeypatch.setattr(testgraphs, "trade_nodes", lambda *a: spark.createDataFrame([("C1",), ("S3",), ("P2",)], "id string"))
+    monkeypatch.setattr(testgraphs, "trade_links", lambda *a: spark.createDataFrame(links, "src string, dst string"))
+    blocks = testgraphs.trade_blocks(spark, "", scratch, list_rows)
+    assert "|label" not in _plan(blocks).split("Exchange", 1)[1]
+    if list_rows > 3:
+        assert len(re.findall(r"Exchange hashpartitioning\(src#\d+, ", _plan(blocks))) == 1
+    found = [r.block for r in blocks.collect()]
+    titles = [re.search("<title>(.*)</title>", b)[1] for b in found]
+    assert set(titles) == {"C 1", "C 1/talk", "S 3", "P 2"}
+    texts = [re.search("<text>(.*)</text>", b)[1].split(" [[File")[0] for b, t in zip(found, titles, strict=True) if t == "C 1"]
+    written = ["[[P 10|label]]", "[[P 2|label]]", "[[P 2|label]]", "[[S 4|label]]"]
+    if list_rows > 3:
+        assert texts == [" ".join(written)] and len(found) == 4
+    else:
+        assert sorted(x for t in texts for x in re.findall(r"\[\[[PS] \d+\|label\]\]", t)) == written
+    assert all("[[S 1#h]]" in b for b, t in zip(found, titles, strict=True) if not t.endswith("/talk"))
+
