@@ -74,9 +74,12 @@ class Ranking:
 
 
 def bucket_count(spark: SparkSession, rows: int) -> int:
-    """Buckets grow with the data; small graphs get no more than there are cores."""
-    for_cores = min(spark.sparkContext.defaultParallelism, -(-rows // SMALLEST_BUCKET))
-    return max(1, for_cores, -(-rows // ROWS_PER_BUCKET))
+    """Buckets grow with the data; small graphs get no more than there are cores. Large ones get
+    as many for each core, so that none waits for a last bucket of the others in every round."""
+    cores = spark.sparkContext.defaultParallelism
+    if rows > cores * ROWS_PER_BUCKET:
+        return cores * -(-rows // (cores * ROWS_PER_BUCKET))
+    return max(1, min(cores, -(-rows // SMALLEST_BUCKET)))
 
 
 def prepare_ranking(graph: Graph, scratch: Scratch, *, hub_rows: int = HOT_ROWS) -> RankGraph:
@@ -126,8 +129,9 @@ def prepare_ranking(graph: Graph, scratch: Scratch, *, hub_rows: int = HOT_ROWS)
 
 
 def _bucketed_edges(edges: DataFrame, buckets: int, scratch: Scratch) -> DataFrame:
-    # Sorted once: a third smaller on storage, and faster to join, in every round.
-    edges = edges.select("src", "dst").repartition(buckets, "src").sortWithinPartitions("src")
+    # Sorted once, by target: in every round a target's shares follow each other, so that summing
+    # them up jumps about less in memory than their join does, and sums are shuffled in order.
+    edges = edges.select("src", "dst").repartition(buckets, "src").sortWithinPartitions("dst")
     return scratch.save_bucketed(edges, "edges", "src", buckets)[0]
 
 
