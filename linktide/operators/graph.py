@@ -139,7 +139,9 @@ def _numbered_graph(
     else:
         seen = lists.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("src").alias("n_src")).first()
         repeated = seen["n"] != seen["n_src"]
-        found = lookup(lists, "src", number["src"], seen["n"], scratch, hot_rows)
+        # No source has more lists than this; where that is too few for a hot one, none is counted.
+        most = seen["n"] - seen["n_src"] + 1
+        found = lookup(lists, "src", number["src"], seen["n"] if most > hot_rows else 0, scratch, hot_rows)
         links = known.keep(_unfolded(found.select("src_number", "targets")), "dst")
     # A source goes on as its number: neither the second move nor the search for duplicates
     # nor the stored edges have its id.

@@ -15,7 +15,7 @@ from linktide.journal import Journal
 from linktide.operators.graph import Graph, clean_graph, coded_graph, outlink_lists, page_nodes
 from linktide.operators.pages import has_title, page_targets, parse_pages
 from linktide.operators.rank import DAMPING, ROUNDS, Ranking, checked_snapshots, rank_graph
-from linktide.scratch import Scratch, shuffle_partitions, string_partitions
+from linktide.scratch import Scratch, shuffle_partitions, sorted_lists, string_partitions
 from linktide.sinks import (
     ranking,
     write_adjacency,
@@ -145,7 +145,8 @@ def rank_dump(
         write = _write_text if output_format == "text" else _write_parquet
         folder = new_version(out) if versioned else out
         try:
-            with shuffle_partitions(spark, string_partitions(spark, graph.n_nodes + graph.n_edges)):
+            partitions = string_partitions(spark, graph.n_nodes + graph.n_edges)
+            with shuffle_partitions(spark, partitions), sorted_lists(spark):
                 write(spark, graph, ranked, scratch, folder)
             if quarantine:
                 bad.write.mode("overwrite").parquet(f"{folder}/quarantine")

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from linktide.operators.graph import Graph, clean_graph
 from linktide.operators.skew import HOT_ROWS, KeyParts
-from linktide.scratch import Scratch
+from linktide.scratch import Scratch, sorted_lists, string_partitions
+
+# Links that are worth a task of their own.
+SMALLEST_PARTITION = 20_000
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,8 +65,9 @@ def trade_blocks(
     # Links move once, to their page's part; those of a source that is no page find none in the
     # join below. They are written out behind the sort: only targets move and are compared.
     dealt = parts.of_rows(links.where("src is not null"), "src", "dst")
+    partitions = min(string_partitions(spark, counted["n"]), 2 + counted["n"] // SMALLEST_PARTITION)
     lists = (
-        dealt.repartition(*parts.keys("src"))
+        dealt.repartition(partitions, *parts.keys("src"))
         .groupBy(F.col("src").alias("id"), "part")
         .agg(F.sort_array(F.collect_list("dst")).alias("targets"))
     )
@@ -84,7 +88,8 @@ def trade_blocks(
 
 def write_dump(blocks: DataFrame, path: str, compression: str | None = None) -> None:
     options = {"compression": compression} if compression else {}
-    blocks.select("block").write.options(**options).text(path)
+    with sorted_lists(blocks.sparkSession):
+        blocks.select("block").write.options(**options).text(path)
 
 
 def _title(node: Column) -> Column:
