@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from linktide.llm.suffix_dedup import cut_texts, repeated_spans
+from linktide.llm.suffix_dedup import cut_texts, op4_suffix_dedup, repeated_spans
 from linktide.llm.suffix_order import suffix_array
 
 
@@ -123,3 +123,22 @@ def test_odd_texts_and_no_rows(make_docs, scratch, odd_texts):
     assert rows.collect() == [] and spans.collect() == []
     with pytest.raises(ValueError, match="passages"):
         repeated_spans(make_docs([]), scratch, length=5)
+
+
+def test_shared_passages_go_by_bytes_and_not_by_words(spark, make_docs, tmp_path):
+    """Passages of over 50 words between two texts: 399 bytes stay, 400 and more go whole."""
+    rng, rows, want = random.Random(3), [], {}
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    sizes = [(51, 300), (55, 399), (55, 400), (90, 399), (90, 400), (120, 700)]
+    for k, (n_words, size) in enumerate(sizes):
+        letters = size - (n_words - 1)
+        passage = " ".join(word(letters // n_words + (i < letters % n_words)) for i in range(n_words))
+        assert (len(passage), len(passage.split())) == (size, n_words)
+        for i, (a, b) in ((2 * k, "()"), (2 * k + 1, "[]")):  # nothing around it in common
+            head, tail = word(40) + a, b + word(40)
+            rows.append((i, head + passage + tail))
+            kept = head + tail if size >= 400 else head + passage + tail
+            want[i] = (size + 82, size + 82 - len(kept), int(size >= 400), hashlib.sha256(kept.encode()).hexdigest())
+    make_docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    found = op4_suffix_dedup(spark, str(tmp_path)).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == want
